@@ -289,6 +289,72 @@ SELECT report_date, merchant_id, authorized_count, captured_count, settled_count
 FROM agg"""
 
 
+# ---------------------------------------------------------------------------
+# ingest
+# ---------------------------------------------------------------------------
+
+_WIRE_COLS = """event_id, psp_reference, merchant_id, merchant_name, merchant_country,
+    merchant_category_code, event_type, event_timestamp, CAST(amount AS DOUBLE) AS amount, currency,
+    CAST(original_amount AS DOUBLE) AS original_amount, original_currency, payment_method,
+    payment_method_variant, card_bin, card_last_four, issuer_country, shopper_interaction,
+    shopper_reference, acquirer_response_code, is_3ds_authenticated, risk_score"""
+
+_NOT_JSON = "FROM ev0 WHERE sid = 0 AND k % 601 = 6"
+
+PARSE_EVENTS = DELIVERED + """
+SELECT """ + _WIRE_COLS + """ FROM dv, range(2) r(i) WHERE r.i < copies
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL """ + _NOT_JSON
+
+REJECTION_REASONS = DELIVERED + """
+SELECT event_id, psp_reference, event_type, rejection_reason
+FROM dv_reason, range(2) r(i) WHERE r.i < copies
+UNION ALL
+SELECT NULL, NULL, NULL,
+  'missing_event_id, missing_psp_reference, missing_merchant_id, missing_amount, missing_currency, missing_event_type'
+""" + _NOT_JSON
+
+FX_NORMALIZE = DELIVERED + """
+SELECT event_id, currency, amount,
+  CAST(round(amount * (""" + FX_CASE.format(c="currency") + """), 2) AS DECIMAL(15,2)) AS amount_eur
+FROM dv, range(2) r(i) WHERE r.i < copies
+UNION ALL
+SELECT NULL, NULL, NULL, NULL """ + _NOT_JSON
+
+INGEST_VALID = DELIVERED + """
+SELECT * FROM valid"""
+
+INGEST_REJECTED = DELIVERED + """
+SELECT event_id, rejection_reason FROM rejected"""
+
+DEDUP_EVENTS = PE + """
+SELECT * FROM pe"""
+
+UPSERT_FIRST_WINS = PE + """
+SELECT * FROM pe WHERE event_type IN ('AUTHORIZATION', 'CAPTURE')
+UNION ALL
+SELECT event_id, psp_reference, merchant_id, merchant_name, merchant_country, merchant_category_code,
+  event_type, event_timestamp, CAST(amount * 2 AS DECIMAL(15,2)) AS amount, currency, original_amount,
+  original_currency, payment_method, payment_method_variant, card_bin, card_last_four, issuer_country,
+  shopper_interaction, shopper_reference, acquirer_response_code, is_3ds_authenticated, risk_score,
+  CAST(round(CAST(amount * 2 AS DECIMAL(15,2)) * (""" + FX_CASE.format(c="currency") + """), 2) AS DECIMAL(15,2))
+    AS amount_eur
+FROM pe WHERE event_type NOT IN ('AUTHORIZATION', 'CAPTURE')"""
+
+_ORACLES = {
+    "parse_events": PARSE_EVENTS,
+    "rejection_reasons": REJECTION_REASONS,
+    "fx_normalize": FX_NORMALIZE,
+    "ingest_valid": INGEST_VALID,
+    "ingest_rejected": INGEST_REJECTED,
+    "dedup_events": DEDUP_EVENTS,
+    "upsert_first_wins": UPSERT_FIRST_WINS,
+    "stream_ingest": INGEST_VALID,
+    "stream_rejected": INGEST_REJECTED,
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "merchant_settlement": SETTLEMENT,
@@ -297,4 +363,5 @@ def oracle_sql() -> dict[str, str]:
         "txn_lifecycle": LIFECYCLE,
         "conversion_funnel": FUNNEL,
         "auth_to_capture_hours": LATENCY,
+        **_ORACLES,
     }

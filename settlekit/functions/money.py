@@ -28,8 +28,11 @@ def fx_rate(currency) -> Column:
 
 
 def to_eur(amount, currency) -> Column:
-    """``round(amount * rate, 2)`` in decimals (half up) as DECIMAL(15,2)."""
-    return F.round(_col(amount).cast(MONEY) * fx_rate(currency), 2).cast(MONEY)
+    """``round(amount * rate, 2)`` in decimals (half up) as DECIMAL(15,2).
+
+    NULL for an unknown currency and for a result beyond DECIMAL(15,2).
+    """
+    return F.round(_col(amount).try_cast(MONEY) * fx_rate(currency), 2).try_cast(MONEY)
 
 
 def safe_ratio(numerator, denominator, digits: int = 4) -> Column:

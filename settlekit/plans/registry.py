@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from settlekit.operators import marts
-from settlekit.sources.fixtures import payment_events
+from settlekit.functions.money import to_eur
+from settlekit.functions.time import parse_event_time
+from settlekit.operators import ingest, marts
+from settlekit.schemas import EVENT_FIELDS, MONEY, PAYMENT_EVENT_COLUMNS
+from settlekit.session import scratch_path
+from settlekit.sources.fixtures import payment_events, raw_deliveries
+from settlekit.streaming.ingest import run_available_now
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +43,77 @@ def auth_to_capture_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.auth_capture_latency(_events(spark, sf_dir))
 
 
+# --- ingest -----------------------------------------------------------------
+
+
+def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return ingest.annotate(ingest.parse_messages(raw_deliveries(spark, sf_dir)))
+
+
+def parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivered message parsed: 22 fields, event time typed."""
+    parsed = ingest.parse_messages(raw_deliveries(spark, sf_dir))
+    return parsed.select(*[parse_event_time(f).alias(f) if f == "event_timestamp" else F.col(f)
+                           for f in EVENT_FIELDS])
+
+
+def rejection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _annotated(spark, sf_dir).select("event_id", "psp_reference", "event_type", ingest.REASON)
+
+
+def fx_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EUR amounts of every delivered message (NULL for unknown currencies)."""
+    parsed = ingest.parse_messages(raw_deliveries(spark, sf_dir))
+    amount = F.col("amount").try_cast(MONEY)
+    return parsed.select("event_id", "currency", amount.alias("amount"),
+                         to_eur(amount, F.col("currency")).alias("amount_eur"))
+
+
+def ingest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.dedup_events(ingest.valid_events(_annotated(spark, sf_dir)))
+
+
+def ingest_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.rejected_events(_annotated(spark, sf_dir)).select("event_id", ingest.REASON)
+
+
+def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice (a full replay) collapses to one row."""
+    ev = _events(spark, sf_dir)
+    return ingest.dedup_events(ev.unionByName(ev))
+
+
+def upsert_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Authorizations and captures are stored; a replay of all events with
+    corrected (doubled) amounts arrives: stored rows win, the rest is inserted."""
+    ev = _events(spark, sf_dir)
+    stored = ev.filter(F.col("event_type").isin("AUTHORIZATION", "CAPTURE"))
+    doubled = (F.col("amount") * 2).cast(MONEY)
+    replay = ev.withColumns({"amount": doubled, "amount_eur": to_eur(doubled, F.col("currency"))})
+    return stored.unionByName(ingest.insert_if_absent(replay, stored))
+
+
+def _stream_root(spark: SparkSession, sf_dir: str) -> str:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    root = scratch_path(spark, "stream")
+    # four message files drained two per trigger: duplicates may meet in one
+    # batch (dedup) or in two (insert-if-absent)
+    raw_deliveries(spark, sf_dir).repartition(4).write.text(f"{root}/inbox")
+    run_available_now(spark, f"{root}/inbox", root, max_files=2)
+    return root
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stream_root(spark, sf_dir)
+    return spark.read.parquet(f"{root}/payment_events").select(*PAYMENT_EVENT_COLUMNS)
+
+
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stream_root(spark, sf_dir)
+    return spark.read.parquet(f"{root}/rejected_events").select("event_id", ingest.REASON)
+
+
 QUERIES = {
     "merchant_settlement": merchant_settlement,
     "payment_method_performance": payment_method_performance,
@@ -44,4 +121,13 @@ QUERIES = {
     "txn_lifecycle": txn_lifecycle,
     "conversion_funnel": conversion_funnel,
     "auth_to_capture_hours": auth_to_capture_hours,
+    "parse_events": parse_events,
+    "rejection_reasons": rejection_reasons,
+    "fx_normalize": fx_normalize,
+    "ingest_valid": ingest_valid,
+    "ingest_rejected": ingest_rejected,
+    "dedup_events": dedup_events,
+    "upsert_first_wins": upsert_first_wins,
+    "stream_ingest": stream_ingest,
+    "stream_rejected": stream_rejected,
 }
