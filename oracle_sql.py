@@ -365,3 +365,151 @@ def oracle_sql() -> dict[str, str]:
         "auth_to_capture_hours": LATENCY,
         **_ORACLES,
     }
+
+# ---------------------------------------------------------------------------
+# data quality
+# ---------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from settlekit.plans.catalogue import EVENTS_CHECKS, QUALITY_CHECKS, QUERY_AS_OF  # noqa: E402
+
+DEFAULT_SEVERITY = {
+    "not_null": "critical", "accepted_values": "warning", "uniqueness": "critical",
+    "range_check": "warning", "freshness": "warning", "referential_integrity": "warning",
+    "statistical_outlier": "warning", "row_count": "critical",
+}
+
+# logical table name -> relation in the oracle SQL
+RELATIONS = {
+    "raw.payment_events": "pe",
+    "analytics.merchant_daily_settlement": "settle",
+    "analytics.payment_method_performance": "perf",
+    "analytics.conversion_funnel": "funnel",
+    "events": "events",
+    "customer": "customer",
+    "supplier": "supplier",
+}
+
+
+def _q(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _row(table, name, ctype, status, t, f, sev, pct_expr=None, src="") -> str:
+    p = pct_expr if pct_expr is not None else pct(f, t)
+    return (f"SELECT {_q(table)} AS table_name, {_q(name)} AS check_name, {_q(ctype)} AS check_type, "
+            f"{status} AS status, CAST({t} AS BIGINT) AS records_checked, CAST({f} AS BIGINT) AS records_failed, "
+            f"CAST({p} AS DOUBLE) AS failure_percentage, {_q(sev)} AS severity {src}")
+
+
+def _num(v) -> str:
+    return repr(float(v)) if isinstance(v, float) else str(v)
+
+
+def check_sql(table: str, cfg: dict, as_of: _dt.datetime) -> list[str]:
+    r = RELATIONS[table]
+    ct = cfg["check"]
+    sev = cfg.get("severity", DEFAULT_SEVERITY[ct])
+    fail = "CASE WHEN f > 0 THEN 'FAIL' ELSE 'PASS' END"
+    if ct == "not_null":
+        return [_row(table, f"not_null_{c}", ct, fail, "t", "f", sev,
+                     src=f"FROM (SELECT count(*) AS t, count(*) FILTER (WHERE {c} IS NULL) AS f FROM {r})")
+                for c in cfg["columns"]]
+    c = cfg.get("column")
+    if ct == "accepted_values":
+        vals = ", ".join(_q(v) for v in cfg["values"])
+        return [_row(table, f"accepted_values_{c}", ct, fail, "t", "f", sev,
+                     src=f"FROM (SELECT count(*) AS t, count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({vals})) "
+                         f"AS f FROM {r})")]
+    if ct == "uniqueness":
+        return [_row(table, f"uniqueness_{c}", ct, fail, "t", "t - d", sev,
+                     src=f"FROM (SELECT count(*) AS t, count(DISTINCT {c}) + "
+                         f"(CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 1 ELSE 0 END) AS d FROM {r})")
+                .replace("CASE WHEN f > 0", "CASE WHEN t - d > 0")]
+    if ct == "range_check":
+        conds = []
+        if cfg.get("min") is not None:
+            conds.append(f"{c} < {_num(cfg['min'])}")
+        if cfg.get("max") is not None:
+            conds.append(f"{c} > {_num(cfg['max'])}")
+        if not conds:
+            return []
+        return [_row(table, f"range_{c}", ct, fail, "t", "f", sev,
+                     src=f"FROM (SELECT count({c}) AS t, count(*) FILTER (WHERE {c} IS NOT NULL AND "
+                         f"({' OR '.join(conds)})) AS f FROM {r})")]
+    if ct == "freshness":
+        now = f"TIMESTAMP '{as_of.isoformat(sep=' ')}'"
+        age = f"((epoch_us({now}) - epoch_us(CAST(mx AS TIMESTAMP))) / 3.6e9)"
+        fresh = f"(mx IS NOT NULL AND {age} <= {float(cfg['max_age_hours'])!r})"
+        return [_row(table, f"freshness_{c}", ct, f"CASE WHEN {fresh} THEN 'PASS' ELSE 'FAIL' END", "t",
+                     f"CASE WHEN {fresh} THEN 0 ELSE t END", sev,
+                     pct_expr=f"CASE WHEN {fresh} THEN 0.0 ELSE 100.0 END",
+                     src=f"FROM (SELECT count(*) AS t, max({c}) AS mx FROM {r})")]
+    if ct == "referential_integrity":
+        ref, rc = RELATIONS[cfg["reference_table"]], cfg["reference_column"]
+        name = f"ref_integrity_{c}_to_{cfg['reference_table']}.{rc}"
+        return [_row(table, name, ct, fail, "t", "f", sev,
+                     src=f"FROM (SELECT count(*) AS t, count(*) FILTER (WHERE NOT EXISTS "
+                         f"(SELECT 1 FROM {ref} WHERE {ref}.{rc} = k.k)) AS f "
+                         f"FROM (SELECT DISTINCT {c} AS k FROM {r}) k)")]
+    if ct == "statistical_outlier":
+        n = float(cfg.get("n_stddev", 3))
+        warn = "CASE WHEN f > 0 THEN 'WARN' ELSE 'PASS' END"
+        x = f"CAST({c} AS DOUBLE)"
+        out = f"(sd IS NOT NULL AND sd <> 0 AND ({x} < mean - {n!r} * sd OR {x} > mean + {n!r} * sd))"
+        g = cfg.get("group_by")
+        if g:
+            return [_row(table, f"outlier_{c}_by_{g}", ct, warn, "t", "f", sev,
+                         src=f"FROM (SELECT count(*) AS t, count(*) FILTER (WHERE {out}) AS f FROM {r} "
+                             f"JOIN (SELECT {g}, avg({x}) AS mean, stddev_samp({x}) AS sd FROM {r} "
+                             f"WHERE {c} IS NOT NULL GROUP BY {g}) s USING ({g}) WHERE {c} IS NOT NULL)")]
+        return [_row(table, f"outlier_{c}", ct, warn, "t", "f", sev,
+                     src=f"FROM (SELECT count(*) AS t, count(*) FILTER (WHERE {out}) AS f FROM {r}, "
+                         f"(SELECT avg({x}) AS mean, stddev_samp({x}) AS sd FROM {r} WHERE {c} IS NOT NULL) s "
+                         f"WHERE {c} IS NOT NULL)")]
+    if ct == "row_count":
+        m = cfg.get("min_rows", 1)
+        return [_row(table, "row_count", ct, f"CASE WHEN t >= {m} THEN 'PASS' ELSE 'FAIL' END", "t",
+                     f"CASE WHEN t >= {m} THEN 0 ELSE t END", sev,
+                     pct_expr=f"CASE WHEN t >= {m} THEN 0.0 ELSE 100.0 END",
+                     src=f"FROM (SELECT count(*) AS t FROM {r})")]
+    return []
+
+
+MART_CTES = (PE + ",\nsettle AS (" + SETTLEMENT + "),\nperf AS (" + PERFORMANCE + "),\nfunnel AS ("
+             + FUNNEL + ")")
+
+
+def suite_sql(checks_by_table: dict[str, list[dict]], as_of: _dt.datetime) -> str:
+    parts = []
+    for table, checks in checks_by_table.items():
+        for cfg in checks:
+            parts.extend(check_sql(table, cfg, as_of))
+    return MART_CTES + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def _by_type(check_type: str) -> dict[str, list[dict]]:
+    out = {t: [c for c in cs if c["check"] == check_type] for t, cs in QUALITY_CHECKS.items()}
+    out = {t: cs for t, cs in out.items() if cs}
+    key = "outlier_grouped" if check_type == "outlier_grouped" else check_type
+    if check_type == "outlier_grouped":
+        out = {}
+    out["events"] = EVENTS_CHECKS[key]
+    return out
+
+
+DQ_KEYS = {
+    "dq_not_null": "not_null",
+    "dq_accepted_values": "accepted_values",
+    "dq_uniqueness": "uniqueness",
+    "dq_range": "range_check",
+    "dq_freshness": "freshness",
+    "dq_referential_integrity": "referential_integrity",
+    "dq_statistical_outlier": "statistical_outlier",
+    "dq_row_count": "row_count",
+    "dq_outlier_grouped": "outlier_grouped",
+}
+
+_ORACLES.update({k: suite_sql(_by_type(t), QUERY_AS_OF) for k, t in DQ_KEYS.items()})
+_ORACLES["quality_run"] = suite_sql(QUALITY_CHECKS, QUERY_AS_OF)

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from settlekit.functions.money import to_eur
 from settlekit.functions.time import parse_event_time
-from settlekit.operators import ingest, marts
+from settlekit.operators import ingest, marts, quality
+from settlekit.plans.catalogue import EVENTS_CHECKS, QUALITY_CHECKS, QUERY_AS_OF
 from settlekit.schemas import EVENT_FIELDS, MONEY, PAYMENT_EVENT_COLUMNS
 from settlekit.session import scratch_path
 from settlekit.sources.fixtures import payment_events, raw_deliveries
+from settlekit.sources.tables import read_given
 from settlekit.streaming.ingest import run_available_now
 
 
@@ -114,6 +116,47 @@ def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/rejected_events").select("event_id", ingest.REASON)
 
 
+# --- quality ----------------------------------------------------------------
+
+
+def quality_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Tables the suite can check or reference (all lazy; only used ones run)."""
+    pe = _events(spark, sf_dir)
+    return {
+        "raw.payment_events": pe,
+        "analytics.merchant_daily_settlement": marts.merchant_settlement(pe),
+        "analytics.payment_method_performance": marts.payment_method_performance(pe),
+        "analytics.conversion_funnel": marts.conversion_funnel(pe),
+        "events": read_given(spark, sf_dir, "events"),
+        "customer": read_given(spark, sf_dir, "customer"),
+        "supplier": read_given(spark, sf_dir, "supplier"),
+    }
+
+
+def _checks_of_type(check_type: str) -> dict[str, list[dict]]:
+    if check_type == "outlier_grouped":
+        return {"events": EVENTS_CHECKS["outlier_grouped"]}
+    out = {t: [c for c in cs if c["check"] == check_type] for t, cs in QUALITY_CHECKS.items()}
+    out = {t: cs for t, cs in out.items() if cs}
+    out["events"] = EVENTS_CHECKS[check_type]
+    return out
+
+
+def _dq(check_type: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        res = quality.run_suite(quality_tables(spark, sf_dir), _checks_of_type(check_type), as_of=QUERY_AS_OF)
+        return res.drop("details")
+
+    run.__name__ = f"dq_{check_type}"
+    return run
+
+
+def quality_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole catalogue over the payment events and three marts."""
+    res = quality.run_suite(quality_tables(spark, sf_dir), QUALITY_CHECKS, as_of=QUERY_AS_OF)
+    return res.drop("details")
+
+
 QUERIES = {
     "merchant_settlement": merchant_settlement,
     "payment_method_performance": payment_method_performance,
@@ -130,4 +173,14 @@ QUERIES = {
     "upsert_first_wins": upsert_first_wins,
     "stream_ingest": stream_ingest,
     "stream_rejected": stream_rejected,
+    "dq_not_null": _dq("not_null"),
+    "dq_accepted_values": _dq("accepted_values"),
+    "dq_uniqueness": _dq("uniqueness"),
+    "dq_range": _dq("range_check"),
+    "dq_freshness": _dq("freshness"),
+    "dq_referential_integrity": _dq("referential_integrity"),
+    "dq_statistical_outlier": _dq("statistical_outlier"),
+    "dq_row_count": _dq("row_count"),
+    "dq_outlier_grouped": _dq("outlier_grouped"),
+    "quality_run": quality_run,
 }
