@@ -481,12 +481,16 @@ MART_CTES = (PE + ",\nsettle AS (" + SETTLEMENT + "),\nperf AS (" + PERFORMANCE
              + FUNNEL + ")")
 
 
-def suite_sql(checks_by_table: dict[str, list[dict]], as_of: _dt.datetime) -> str:
+def suite_body(checks_by_table: dict[str, list[dict]], as_of: _dt.datetime) -> str:
     parts = []
     for table, checks in checks_by_table.items():
         for cfg in checks:
             parts.extend(check_sql(table, cfg, as_of))
-    return MART_CTES + "\n" + "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(parts)
+
+
+def suite_sql(checks_by_table: dict[str, list[dict]], as_of: _dt.datetime) -> str:
+    return MART_CTES + "\n" + suite_body(checks_by_table, as_of)
 
 
 def _by_type(check_type: str) -> dict[str, list[dict]]:
@@ -513,3 +517,45 @@ DQ_KEYS = {
 
 _ORACLES.update({k: suite_sql(_by_type(t), QUERY_AS_OF) for k, t in DQ_KEYS.items()})
 _ORACLES["quality_run"] = suite_sql(QUALITY_CHECKS, QUERY_AS_OF)
+
+# ---------------------------------------------------------------------------
+# reports
+# ---------------------------------------------------------------------------
+
+RUN_A = QUERY_AS_OF - _dt.timedelta(hours=3)
+RUN_B = QUERY_AS_OF
+
+
+def _ts(t: _dt.datetime) -> str:
+    return f"TIMESTAMP '{t.isoformat(sep=' ')}'"
+
+
+QLOG = (MART_CTES + ",\nrun_a AS (" + suite_body({"raw.payment_events": QUALITY_CHECKS["raw.payment_events"]}, RUN_A)
+        + "),\nrun_b AS (" + suite_body(QUALITY_CHECKS, RUN_B) + "),\nqlog AS (SELECT " + _ts(RUN_A)
+        + " AS check_timestamp, * FROM run_a UNION ALL SELECT " + _ts(RUN_B) + ", * FROM run_b),\n"
+        + "latest AS (SELECT * FROM qlog WHERE check_timestamp = (SELECT max(check_timestamp) FROM qlog))")
+
+_ORACLES.update({
+    "top_settlement": MART_CTES + """
+SELECT settlement_date, merchant_id, merchant_name, net_settlement_eur FROM settle
+ORDER BY net_settlement_eur DESC, settlement_date, merchant_id LIMIT 20""",
+    "auth_rate_series": MART_CTES + """
+SELECT report_date AS time, payment_method AS metric, authorization_rate AS value FROM perf""",
+    "events_by_type": PE + """
+SELECT event_type, CAST(count(*) AS BIGINT) AS total FROM pe GROUP BY event_type""",
+    "event_volume": PE + """
+SELECT CAST(count(*) AS BIGINT) AS total_events FROM pe""",
+    "worst_funnel": MART_CTES + """
+SELECT report_date, merchant_id, auth_to_capture_rate, capture_to_settle_rate, refund_rate FROM funnel
+ORDER BY auth_to_capture_rate, report_date, merchant_id LIMIT 20""",
+    "quality_scoreboard": QLOG + """
+SELECT table_name, check_name, check_type, status, severity, records_checked, records_failed,
+  failure_percentage, check_timestamp FROM latest""",
+    "quality_pass_rate": QLOG + """
+SELECT CASE WHEN n > 0 THEN """ + ratio("p", "n") + """ END AS pass_rate
+FROM (SELECT count(*) FILTER (WHERE status = 'PASS') AS p, count(*) AS n FROM latest)""",
+    "quality_summary": QLOG + """
+SELECT status, CAST(count(*) AS BIGINT) AS check_count,
+  CAST(count(*) FILTER (WHERE severity = 'critical' AND status = 'FAIL') AS BIGINT) AS critical_failures
+FROM qlog WHERE check_timestamp >= """ + _ts(RUN_B) + """ - INTERVAL 1 HOUR GROUP BY status""",
+})

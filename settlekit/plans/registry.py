@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from settlekit.functions.money import to_eur
 from settlekit.functions.time import parse_event_time
-from settlekit.operators import ingest, marts, quality
+import datetime as _dt
+
+from settlekit.operators import ingest, marts, quality, reports
 from settlekit.plans.catalogue import EVENTS_CHECKS, QUALITY_CHECKS, QUERY_AS_OF
 from settlekit.schemas import EVENT_FIELDS, MONEY, PAYMENT_EVENT_COLUMNS
 from settlekit.session import scratch_path
@@ -157,6 +159,54 @@ def quality_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.drop("details")
 
 
+# --- reports ----------------------------------------------------------------
+
+# Two runs in the quality log: the raw table three hours earlier, then the
+# whole catalogue at QUERY_AS_OF (the "latest run").
+RUN_A = QUERY_AS_OF - _dt.timedelta(hours=3)
+RUN_B = QUERY_AS_OF
+
+
+def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = quality_tables(spark, sf_dir)
+    raw_only = {"raw.payment_events": QUALITY_CHECKS["raw.payment_events"]}
+    a = quality.with_check_timestamp(quality.run_suite(tables, raw_only, as_of=RUN_A), RUN_A)
+    b = quality.with_check_timestamp(quality.run_suite(tables, QUALITY_CHECKS, as_of=RUN_B), RUN_B)
+    return a.unionByName(b)
+
+
+def top_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_settlement(marts.merchant_settlement(_events(spark, sf_dir)))
+
+
+def auth_rate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.auth_rate_series(marts.payment_method_performance(_events(spark, sf_dir)))
+
+
+def events_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.events_by_type(_events(spark, sf_dir))
+
+
+def event_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.event_volume(_events(spark, sf_dir))
+
+
+def worst_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.worst_funnel(marts.conversion_funnel(_events(spark, sf_dir)))
+
+
+def quality_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.quality_scoreboard(quality_log(spark, sf_dir)).drop("details")
+
+
+def quality_pass_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.quality_pass_rate(quality_log(spark, sf_dir))
+
+
+def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.quality_summary(quality_log(spark, sf_dir), as_of=RUN_B)
+
+
 QUERIES = {
     "merchant_settlement": merchant_settlement,
     "payment_method_performance": payment_method_performance,
@@ -183,4 +233,12 @@ QUERIES = {
     "dq_row_count": _dq("row_count"),
     "dq_outlier_grouped": _dq("outlier_grouped"),
     "quality_run": quality_run,
+    "top_settlement": top_settlement,
+    "auth_rate_series": auth_rate_series,
+    "events_by_type": events_by_type,
+    "event_volume": event_volume,
+    "worst_funnel": worst_funnel,
+    "quality_scoreboard": quality_scoreboard,
+    "quality_pass_rate": quality_pass_rate,
+    "quality_summary": quality_summary,
 }
