@@ -478,7 +478,7 @@ def check_sql(table: str, cfg: dict, as_of: _dt.datetime) -> list[str]:
 
 
 MART_CTES = (PE + ",\nsettle AS (" + SETTLEMENT + "),\nperf AS (" + PERFORMANCE + "),\nfunnel AS ("
-             + FUNNEL + ")")
+             + FUNNEL + "),\nalerts AS (" + ALERTS + ")")
 
 
 def suite_body(checks_by_table: dict[str, list[dict]], as_of: _dt.datetime) -> str:
@@ -559,3 +559,55 @@ SELECT status, CAST(count(*) AS BIGINT) AS check_count,
   CAST(count(*) FILTER (WHERE severity = 'critical' AND status = 'FAIL') AS BIGINT) AS critical_failures
 FROM qlog WHERE check_timestamp >= """ + _ts(RUN_B) + """ - INTERVAL 1 HOUR GROUP BY status""",
 })
+
+# ---------------------------------------------------------------------------
+# write contracts
+# ---------------------------------------------------------------------------
+
+from settlekit.schemas import CONTRACTS  # noqa: E402
+
+CONTRACT_TABLES = {
+    "raw.payment_events": "pe",
+    "analytics.merchant_daily_settlement": "settle",
+    "analytics.payment_method_performance": "perf",
+    "analytics.chargeback_alerts": "alerts",
+    "analytics.conversion_funnel": "funnel",
+}
+_COLUMNS = {
+    "pe": set(EVENT_COLS.replace("\n", " ").replace(" ", "").split(",")) | {"amount_eur"},
+}
+
+
+def contract_sql() -> str:
+    from settlekit.operators.marts import (ALERT_COLUMNS, FUNNEL_COLUMNS, PERFORMANCE_COLUMNS,
+                                           SETTLEMENT_COLUMNS)
+
+    cols = dict(_COLUMNS)
+    cols.update({"settle": set(SETTLEMENT_COLUMNS), "perf": set(PERFORMANCE_COLUMNS),
+                 "alerts": set(ALERT_COLUMNS), "funnel": set(FUNNEL_COLUMNS)})
+    parts = []
+    for table, rel in CONTRACT_TABLES.items():
+        spec = CONTRACTS[table]
+
+        def row(constraint, column, n):
+            return (f"SELECT {_q(table)} AS table_name, {_q(constraint)} AS constraint_name, "
+                    f"{_q(column)} AS column_name, CAST(({n}) AS BIGINT) AS violations")
+        for c in spec["not_null"]:
+            parts.append(row("not_null", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM {rel}"))
+        for c, n in spec["max_length"].items():
+            if c in cols[rel]:
+                parts.append(row(f"max_length_{n}", c,
+                                 f"SELECT count(*) FILTER (WHERE length({c}) > {n}) FROM {rel}"))
+        for c, (p, sc) in spec["decimal"].items():
+            if c in cols[rel]:
+                parts.append(row(f"decimal_{p}_{sc}", c,
+                                 f"SELECT count(*) FILTER (WHERE {c} IS NOT NULL AND "
+                                 f"TRY_CAST({c} AS DECIMAL({p},{sc})) IS NULL) FROM {rel}"))
+        if spec["key"]:
+            k = ", ".join(spec["key"])
+            parts.append(row("primary_key", ",".join(spec["key"]),
+                             f"SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM {rel} GROUP BY {k})"))
+    return MART_CTES + "\n" + "\nUNION ALL\n".join(parts)
+
+
+_ORACLES["contract_violations"] = contract_sql()

@@ -207,6 +207,28 @@ def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.quality_summary(quality_log(spark, sf_dir), as_of=RUN_B)
 
 
+# --- write contracts --------------------------------------------------------
+
+
+def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Constraint violations of the raw table and the four marts before a write."""
+    from settlekit.sinks.contracts import check_contract
+
+    pe = _events(spark, sf_dir)
+    tables = {
+        "raw.payment_events": pe,
+        "analytics.merchant_daily_settlement": marts.merchant_settlement(pe),
+        "analytics.payment_method_performance": marts.payment_method_performance(pe),
+        "analytics.chargeback_alerts": marts.chargeback_alerts(pe),
+        "analytics.conversion_funnel": marts.conversion_funnel(pe),
+    }
+    out = None
+    for name, df in tables.items():
+        part = check_contract(df, name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 QUERIES = {
     "merchant_settlement": merchant_settlement,
     "payment_method_performance": payment_method_performance,
@@ -241,4 +263,5 @@ QUERIES = {
     "quality_scoreboard": quality_scoreboard,
     "quality_pass_rate": quality_pass_rate,
     "quality_summary": quality_summary,
+    "contract_violations": contract_violations,
 }

@@ -3,7 +3,8 @@
 Every order becomes one transaction whose lifecycle events are generated by
 integer rules on the order key, so that any SQL engine can recompute the same
 rows (see FIXTURES.md). The derivation is one scan of ``orders`` with a
-broadcast of at most ten supplier rows and an in-task explode: no shuffle.
+broadcast of at most ten supplier rows and an in-task explode; the only
+shuffle spreads an input of fewer partitions than cores.
 """
 
 from __future__ import annotations
@@ -48,6 +49,11 @@ def _orders_with_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate"),
         (F.col("o_custkey") % 10).alias("m"),
     )
+    # A small input stored as few row groups scans as few tasks; spread it over
+    # the cores. A large input already has more partitions than cores.
+    cores = spark.sparkContext.defaultParallelism
+    if orders.rdd.getNumPartitions() < cores:
+        orders = orders.repartition(cores)
     # Only suppliers 0..9 (and the negative mirror keys) can match
     # o_custkey % 10: the filter is pushed to the scan, and the broadcast side
     # is counted before it is shipped.
@@ -75,7 +81,8 @@ def _lifecycle(base: DataFrame) -> DataFrame:
 def _event_columns(df: DataFrame) -> DataFrame:
     k, sid = F.col("k"), F.col("sid")
     amt = F.col("o_totalprice").cast(MONEY)
-    amount = F.when((sid == 3) & (k % 3 == 0), F.round(amt * F.lit(0.5), 2)).otherwise(amt).cast(MONEY)
+    half = F.lit("0.5").cast("decimal(2,1)")
+    amount = F.when((sid == 3) & (k % 3 == 0), F.round(amt * half, 2)).otherwise(amt).cast(MONEY)
     hours = (
         F.when(sid == 0, F.lit(0))
         .when(sid == 1, (k % 9 + 1) * 5)
