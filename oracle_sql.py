@@ -29,7 +29,7 @@ def half_up_units(num: str, den: str, digits: int) -> str:
 
 
 def money_avg(sum_expr: str, n: str) -> str:
-    units = half_up_units(f"CAST(({sum_expr}) * 100 AS HUGEINT)", n, 2)
+    units = half_up_units(f"CAST(({sum_expr}) * 100 AS HUGEINT)", n, 0)  # whole cents
     return f"(CASE WHEN ({n}) > 0 THEN CAST(CAST({units} AS DECIMAL(18,0)) * 0.01 AS DECIMAL(15,2)) END)"
 
 

@@ -68,4 +68,5 @@ def money_avg(amount_sum, count) -> Column:
     """
     n = _col(count)
     cents = (_col(amount_sum) * 100).cast("decimal(38,0)")
-    return F.when(n > 0, half_up_quotient(cents, n, 2)).cast(MONEY)
+    # cents / (100 n) = euros, rounded once to the cent
+    return F.when(n > 0, half_up_quotient(cents, n * 100, 2)).cast(MONEY)
