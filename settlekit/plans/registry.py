@@ -12,7 +12,7 @@ import datetime as _dt
 from settlekit.operators import ingest, marts, quality, reports
 from settlekit.plans.catalogue import EVENTS_CHECKS, QUALITY_CHECKS, QUERY_AS_OF
 from settlekit.schemas import EVENT_FIELDS, MONEY, PAYMENT_EVENT_COLUMNS
-from settlekit.session import scratch_path
+from settlekit.session import scratch_path, shared_dir
 from settlekit.sources.fixtures import payment_events, raw_deliveries
 from settlekit.sources.tables import read_given
 from settlekit.streaming.ingest import run_available_now
@@ -172,7 +172,10 @@ def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_only = {"raw.payment_events": QUALITY_CHECKS["raw.payment_events"]}
     a = quality.with_check_timestamp(quality.run_suite(tables, raw_only, as_of=RUN_A), RUN_A)
     b = quality.with_check_timestamp(quality.run_suite(tables, QUALITY_CHECKS, as_of=RUN_B), RUN_B)
-    return a.unionByName(b)
+    # A stored log in production; here written once to the shared checkpoint
+    # folder, so the reports (which read it twice) do not recompute the suite.
+    shared_dir(spark)
+    return a.unionByName(b).cache().checkpoint(eager=True)
 
 
 def top_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
