@@ -12,7 +12,7 @@ import datetime as _dt
 from settlekit.operators import ingest, marts, quality, reports
 from settlekit.plans.catalogue import EVENTS_CHECKS, QUALITY_CHECKS, QUERY_AS_OF
 from settlekit.schemas import EVENT_FIELDS, MONEY, PAYMENT_EVENT_COLUMNS
-from settlekit.session import scratch_path, shared_dir
+from settlekit.session import scratch_path, shared_dir, stage_table
 from settlekit.sources.fixtures import payment_events, raw_deliveries
 from settlekit.sources.tables import read_given
 from settlekit.streaming.ingest import run_available_now
@@ -122,8 +122,12 @@ def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Tables the suite can check or reference (all lazy; only used ones run)."""
-    pe = _events(spark, sf_dir)
+    """Tables the suite can check or reference (all lazy; only used ones run).
+
+    The derived events are read by many checks and marts: staged once as a
+    Parquet table, as the stored raw table would be.
+    """
+    pe = stage_table(_events(spark, sf_dir), "payment_events")
     return {
         "raw.payment_events": pe,
         "analytics.merchant_daily_settlement": marts.merchant_settlement(pe),
@@ -217,7 +221,7 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Constraint violations of the raw table and the four marts before a write."""
     from settlekit.sinks.contracts import check_contract
 
-    pe = _events(spark, sf_dir)
+    pe = stage_table(_events(spark, sf_dir), "payment_events")
     tables = {
         "raw.payment_events": pe,
         "analytics.merchant_daily_settlement": marts.merchant_settlement(pe),

@@ -68,3 +68,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+
+
+def stage_table(df, name: str):
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    For a derived table that several branches of one plan read: it is
+    computed once, and every reader gets Parquet column pruning and filter
+    pushdown, as from a stored table.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
