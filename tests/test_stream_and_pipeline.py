@@ -59,6 +59,7 @@ def test_replaying_a_batch_is_idempotent(spark, tmpdir_path):
     sink(b1, 1)
     first = sorted(r["event_id"] for r in spark.read.parquet(sink.valid_path).collect())
     assert first == ["e0", "e1", "e2", "e3", "e4"]  # e2 of batch 1 was already stored
+    assert sink.metrics[0] == {"delivered": 4, "valid": 3}
     sink(b1, 1)  # replay after a failure before the offset commit
     sink(b0, 0)
     again = spark.read.parquet(sink.valid_path)
@@ -121,3 +122,15 @@ def test_parquet_round_trip_and_partitioned_jdbc_arguments(spark, tmpdir_path):
     assert read_table(spark, "x.t", root=tmpdir_path).count() == 10
     with pytest.raises(ValueError):
         read_table(spark, "x.t", fmt="jdbc", jdbc={"url": "jdbc:none"}, partition_column="id")
+
+
+def test_command_line_jobs(spark, tmpdir_path):
+    from settlekit.__main__ import main
+
+    write_table(payment_events(spark, SF_SMALL), "raw.payment_events", mode="overwrite", root=tmpdir_path)
+    assert main(["mart", "--root", tmpdir_path, "funnel"]) == 0
+    assert read_table(spark, "analytics.conversion_funnel", root=tmpdir_path).count() > 0
+    # the raw events are decades old: freshness warns, nothing critical fails
+    assert main(["quality", "--root", tmpdir_path, "raw.payment_events"]) == 0
+    log = read_table(spark, "analytics.data_quality_log", root=tmpdir_path)
+    assert log.filter(F.col("check_name") == "freshness_event_timestamp").first()["status"] == "FAIL"
