@@ -134,3 +134,11 @@ def test_command_line_jobs(spark, tmpdir_path):
     assert main(["quality", "--root", tmpdir_path, "raw.payment_events"]) == 0
     log = read_table(spark, "analytics.data_quality_log", root=tmpdir_path)
     assert log.filter(F.col("check_name") == "freshness_event_timestamp").first()["status"] == "FAIL"
+
+
+def test_dedup_horizon_prunes_but_still_finds_copies(spark, inbox, tmpdir_path):
+    exact_valid, _ = run_available_now(spark, f"{inbox}/inbox", f"{tmpdir_path}/exact", max_files=1)
+    pruned_valid, _ = run_available_now(spark, f"{inbox}/inbox", f"{tmpdir_path}/pruned", max_files=1,
+                                        dedup_horizon_days=0)
+    assert _rows(spark.read.parquet(pruned_valid)) == _rows(spark.read.parquet(exact_valid))
+    assert "event_month" in spark.read.parquet(pruned_valid).columns
