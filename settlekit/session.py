@@ -56,20 +56,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/settlekit/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for local existence checks in tests."""
-    return p[5:] if p.startswith("file:") else p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
-
-
 def stage_table(df, name: str):
     """Write ``df`` as Parquet below the shared folder and read it back.
 
