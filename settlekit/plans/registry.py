@@ -231,7 +231,8 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     out = None
     for name, df in tables.items():
-        part = check_contract(df, name)
+        # the marts are derived: one pass each (see check_contract)
+        part = check_contract(df, name, single_pass=df is not pe)
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -1,5 +1,11 @@
 """Write contracts: the constraints a target table enforces, checked in Spark
-before the write, one aggregate per table (plus one grouped count for the key)."""
+before the write, one aggregate per table (plus one grouped count for the key).
+
+With ``single_pass`` the counters ride along in the grouped count of the key
+and are summed after it: one pass over ``df`` instead of two. That is the form
+for a derived table (a mart), whose second pass would recompute it from the
+raw events; a stored table keeps the two passes, as its key count reads the
+key column alone and shuffles no counters."""
 
 from __future__ import annotations
 
@@ -16,7 +22,8 @@ def _row(table: str, constraint: str, column: str, n: Column) -> Column:
                     F.lit(column).alias("column_name"), n.cast("long").alias("violations"))
 
 
-def check_contract(df: DataFrame, table: str, spec: dict | None = None) -> DataFrame:
+def check_contract(df: DataFrame, table: str, spec: dict | None = None, *,
+                   single_pass: bool = False) -> DataFrame:
     """One row per constraint with its number of violating rows.
 
     * ``not_null``: NULLs in a NOT NULL column;
@@ -38,10 +45,18 @@ def check_contract(df: DataFrame, table: str, spec: dict | None = None) -> DataF
             bad = F.col(c).isNotNull() & F.col(c).try_cast(f"decimal({p},{s})").isNull()
             aggs.append(F.count_if(bad).alias(f"dec_{c}"))
             rows.append(_row(table, f"decimal_{p}_{s}", c, F.col(f"dec_{c}")))
+    key = spec.get("key") or []
+    if key and single_pass:
+        per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *aggs)
+        names = [a for a in per_key.columns if a != "n" and a not in key]
+        # sums over no rows are NULL where count_if gives 0
+        total = per_key.agg(*[F.coalesce(F.sum(a), F.lit(0)).alias(a) for a in names],
+                            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d"))
+        rows.append(_row(table, "primary_key", ",".join(key), F.col("d")))
+        return total.select(F.inline(F.array(*rows)))
     parts = []
     if aggs:
         parts.append(df.agg(*aggs).select(F.inline(F.array(*rows))))
-    key = spec.get("key") or []
     if key:
         per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
         dups = per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d"))

@@ -99,12 +99,17 @@ def test_run_batch_writes_marts_log_and_gate(spark, tmpdir_path):
         run_batch(spark, tmpdir_path, as_of=latest + dt.timedelta(hours=30))  # stale-data guard
 
 
-def test_contract_violations_detected(spark):
+@pytest.mark.parametrize("single_pass", [False, True])
+def test_contract_violations_detected(spark, single_pass):
     df = spark.createDataFrame([("a", 1.5), ("a", 12.0), (None, 0.1)], "merchant_id string, chargeback_ratio double")
     spec = {"key": ["merchant_id"], "not_null": ["merchant_id"], "max_length": {"merchant_id": 0},
             "decimal": {"chargeback_ratio": (5, 4)}}
-    got = {r["constraint_name"]: r["violations"] for r in check_contract(df, "t", spec).collect()}
+    got = {r["constraint_name"]: r["violations"]
+           for r in check_contract(df, "t", spec, single_pass=single_pass).collect()}
     assert got == {"not_null": 1, "max_length_0": 2, "decimal_5_4": 1, "primary_key": 1}
+    empty = {r["constraint_name"]: r["violations"]
+             for r in check_contract(df.limit(0), "t", spec, single_pass=single_pass).collect()}
+    assert empty == dict.fromkeys(got, 0)
     with pytest.raises(ValueError):
         assert_contract(df, "t", spec)
 
