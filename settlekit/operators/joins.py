@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one past it."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def join_small_side(large: DataFrame, small: DataFrame, on, how: str = "inner",
                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Join ``large`` with a side that is usually small.
 
-    The small side is counted first (one cheap job over a pruned, filtered
-    scan). Only when the count proves it under ``max_rows`` is it broadcast,
+    The small side is counted first, up to ``max_rows + 1`` rows (one cheap
+    job over a pruned, filtered scan that stops once the bound is passed).
+    Only when the count proves it under ``max_rows`` is it broadcast,
     which also keeps a low-cardinality join key from funnelling a large share
     of ``large`` into a few shuffle tasks. Beyond the bound the join is left to
     the planner (sort-merge; AQE splits skewed partitions).
     """
-    if small.count() <= max_rows:
+    if fits(small, max_rows):
         return large.join(F.broadcast(small), on, how)
     return large.join(small, on, how)

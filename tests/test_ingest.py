@@ -133,3 +133,22 @@ def test_insert_if_absent_broadcasts_batch_keys(spark):
     plan = plan_text(df)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert [r[0] for r in df.collect()] == ["new"]
+
+
+def test_size_probe_bound_and_join_choice(spark):
+    from settlekit.operators.joins import fits, join_small_side
+
+    three = spark.range(3)
+    assert fits(three, 3) and not fits(three, 2) and fits(three.limit(0), 0)
+    large = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(3).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in plan_text(join_small_side(large, small, "k", max_rows=3))
+    # above the bound no broadcast is forced; the planner decides by its own statistics
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        over = join_small_side(large, small, "k", max_rows=2)
+        assert "BroadcastHashJoin" not in plan_text(over)
+        assert over.count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
