@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settlekit.llm import quality_trees
+from settlekit.llm import quality_trees, toxic_pu
 from settlekit.llm.folds import read
 
 
+def op6_toxic_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxic_pu.train(docs, read(spark, sf_dir, "labels"))
+    return toxic_pu.score_documents(docs, model)
+
+
 def op8_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     forest = quality_trees.train(docs, read(spark, sf_dir, "labels"))
@@ -15,6 +21,7 @@ def op8_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_toxic_pu": op6_toxic_pu,
     "op8_quality_trees": op8_quality_trees,
 }
 
