@@ -43,8 +43,8 @@ MAX_POSITIVE = 5_000       # confirmed toxic rows learned from at most
 MAX_UNLABELLED = 15_000    # unlabelled rows learned from at most
 MAX_CALIBRATION = 10_000   # labelled rows the score is calibrated on at most
 FEATURES = 400
-LEAST_Z = 8.0              # standard errors above chance that make a word a feature
-LEAST_SHARE = 0.02         # of the positives must have it: passages of a few copied texts don't count
+LEAST_Z = 6.0              # standard errors above chance that make a word a feature
+LEAST_SHARE = 0.01         # of the positives must have it: passages of a few copied texts don't count
 CUTOFF = 0.5
 
 _EDGE = np.ones(256, bool)  # bytes that are not stripped from a word's ends
