@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settlekit.llm import quality_trees, toxic_pu
+from settlekit.llm import quality_trees, token_files, tokens, toxic_pu, warc_zstd
 from settlekit.llm.folds import read
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.write(read(spark, sf_dir, "documents"), tokens.vocabulary("word_bpe_49k.json"))
+    return token_files.with_starts(token_files.read_documents(spark, path))
+
+
 def op6_toxic_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxic_pu.train(docs, read(spark, sf_dir, "labels"))
@@ -20,9 +25,15 @@ def op8_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.score_documents(docs, forest)
 
 
+def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zstd.read(spark, warc_zstd.write(read(spark, sf_dir, "pages")))
+
+
 QUERIES = {
+    "op2_token_files": op2_token_files,
     "op6_toxic_pu": op6_toxic_pu,
     "op8_quality_trees": op8_quality_trees,
+    "op10_warc_zstd": op10_warc_zstd,
 }
 
 ORACLE_SQL: dict[str, str] = {}
