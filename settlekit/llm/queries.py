@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settlekit.llm import quality_trees, token_files, tokens, toxic_pu, warc_zstd
+from settlekit.llm import parity_join, quality_trees, token_files, tokens, toxic_pu, warc_zstd
 from settlekit.llm.folds import read
 
 
@@ -25,6 +25,10 @@ def op8_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.score_documents(docs, forest)
 
 
+def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.near_duplicates(read(spark, sf_dir, "documents"), parity_join.Rule(4, 85, 100))
+
+
 def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.read(spark, warc_zstd.write(read(spark, sf_dir, "pages")))
 
@@ -33,6 +37,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op6_toxic_pu": op6_toxic_pu,
     "op8_quality_trees": op8_quality_trees,
+    "op9_parity_join": op9_parity_join,
     "op10_warc_zstd": op10_warc_zstd,
 }
 
