@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settlekit.llm import parity_join, quality_trees, token_files, tokens, toxic_pu, warc_zstd
+from settlekit.llm import parity_join, quality_trees, suffix_cover, token_files, tokens, toxic_pu, warc_zstd
 from settlekit.llm.folds import read
 
 
@@ -13,6 +13,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(token_files.read_documents(spark, path))
 
 
+def op3_suffix_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_cover.dedup(read(spark, sf_dir, "documents"))
+
+
 def op6_toxic_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxic_pu.train(docs, read(spark, sf_dir, "labels"))
@@ -35,6 +39,7 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_files": op2_token_files,
+    "op3_suffix_cover": op3_suffix_cover,
     "op6_toxic_pu": op6_toxic_pu,
     "op8_quality_trees": op8_quality_trees,
     "op9_parity_join": op9_parity_join,
