@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settlekit.llm import parity_join, quality_trees, suffix_cover, token_files, tokens, toxic_pu, warc_zstd
+from settlekit.llm import latent_decon, parity_join, quality_trees, suffix_cover, token_files, tokens, toxic_pu, warc_zstd
 from settlekit.llm.folds import read
 
 
@@ -17,6 +17,10 @@ def op3_suffix_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_cover.dedup(read(spark, sf_dir, "documents"))
 
 
+def op4_latent_decon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent_decon.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_toxic_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxic_pu.train(docs, read(spark, sf_dir, "labels"))
@@ -40,6 +44,7 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_suffix_cover": op3_suffix_cover,
+    "op4_latent_decon": op4_latent_decon,
     "op6_toxic_pu": op6_toxic_pu,
     "op8_quality_trees": op8_quality_trees,
     "op9_parity_join": op9_parity_join,

@@ -113,6 +113,23 @@ def words(j: Joined) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, end, np.searchsorted(j.last, start, "left")
 
 
+_INNER = np.ones(256, bool)  # bytes that are not stripped from the ends of a word: letters, digits, non-ASCII
+_INNER[33:127] = False
+for _lo, _hi in ((48, 58), (65, 91), (97, 123)):
+    _INNER[_lo:_hi] = True
+
+
+def bare_words(j: Joined) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words without the ASCII punctuation around them; words of punctuation alone are left out."""
+    start, end, doc = words(j)
+    inner = _INNER[j.buf]
+    inside = np.concatenate([[0], np.cumsum(inner)])
+    where = np.flatnonzero(inner)
+    some = inside[end] > inside[start]
+    start, end, doc = start[some], end[some], doc[some]
+    return where[inside[start]], where[inside[end] - 1] + 1, doc
+
+
 def lines(j: Joined) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, document) of each newline-separated line; an empty document has one empty line."""
     end = np.flatnonzero(j.buf == 10)

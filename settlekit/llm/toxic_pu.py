@@ -47,23 +47,12 @@ LEAST_Z = 6.0              # standard errors above chance that make a word a fea
 LEAST_SHARE = 0.01         # of the positives must have it: passages of a few copied texts don't count
 CUTOFF = 0.5
 
-_EDGE = np.ones(256, bool)  # bytes that are not stripped from a word's ends
-_EDGE[33:127] = False
-for _lo, _hi in ((48, 58), (97, 123)):
-    _EDGE[_lo:_hi] = True
-
 
 def word_set(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
     """Distinct (hash, document) of the stripped lower-case words."""
     j = scan.join(texts, lower=True)
-    start, end, doc = scan.words(j)
-    inside = np.concatenate([[0], np.cumsum(_EDGE[j.buf])])
-    where = np.flatnonzero(_EDGE[j.buf])
-    some = inside[end] > inside[start]
-    start, end, doc = start[some], end[some], doc[some]
-    first = where[inside[start]]
-    last = where[inside[end] - 1] + 1
-    h = scan.span_hash(scan.prefix_hash(j.buf), first, last)
+    start, end, doc = scan.bare_words(j)
+    h = scan.span_hash(scan.prefix_hash(j.buf), start, end)
     h, doc, _ = scan.distinct(h, doc)
     return h, doc, j.docs
 
