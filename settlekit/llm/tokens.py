@@ -11,6 +11,7 @@ encoded whole by the same library.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import regex
@@ -18,12 +19,14 @@ from tokenizers import Tokenizer
 
 from settlekit.llm import scan
 
-KEPT_CHUNKS = 400_000   # chunks a worker keeps; further ones are encoded per slice
+KEPT_CHUNKS = 2_000_000   # chunks a worker keeps (some 30 bytes each); further ones are encoded per slice
+KEPT_PARTS = 200_000      # pieces of chunks a worker keeps (some 200 bytes each)
 
 # the split patterns of the two vocabulary files (fixed values)
 _WORD_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _BYTE_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _PLAIN = re.compile("[\x20\x09-\x0d\x21-\x7e\xa1-\xff]*")    # characters whose case and form need no library
+_CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f]")
 _ODD_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
@@ -59,20 +62,31 @@ class Encoder:
     def _part(self, s: str) -> list[int]:
         got = self.parts.get(s)
         if got is None:
-            got = [t.id for t in self.model.tokenize(s.encode().decode("latin-1").translate(_LETTERS))]
-            if len(self.parts) < self.kept:
+            if s.isascii():
+                form = "\u0120" + s[1:] if s[0] == " " and s[1:].isalpha() else s if s.isalpha() else None
+            else:
+                form = None
+            if form is None:
+                form = s.encode().decode("latin-1").translate(_LETTERS)
+            got = [t.id for t in self.model.tokenize(form)]
+            if len(self.parts) < KEPT_PARTS:
                 self.parts[s] = got
         return got
 
     def chunk(self, raw: bytes) -> list[int]:
         s = raw.decode()
-        if not _PLAIN.fullmatch(s) or "<|" in s:
+        if not (s.isascii() or _PLAIN.fullmatch(s)) or "<|" in s or _CONTROL.search(s):
             return self.lib.encode(s, add_special_tokens=False).ids
         if self.words:
             s = s.lower()
-        split = _WORD_SPLIT if self.words else _BYTE_SPLIT
+        # a word, or a word and one mark, needs no pattern
+        core = s[1:] if s[:1] == " " else s
+        if core.isalpha():
+            return self._part(s)
+        if core[:-1].isalpha() and core[-1] in ".,:;!?":
+            return self._part(s[:-1]) + self._part(s[-1])
         out: list[int] = []
-        for p in split.findall(s):
+        for p in (_WORD_SPLIT if self.words else _BYTE_SPLIT).findall(s):
             out += self._part(p)
         return out
 
@@ -130,15 +144,17 @@ class Encoder:
         raw = buf.tobytes()
         lists = [self.chunk(raw[a:b]) for a, b in zip(start[new].tolist(), end[new].tolist())]
         size[new] = np.fromiter(map(len, lists), np.int64, len(lists))
-        fresh = np.fromiter((i for x in lists for i in x), np.uint16, int(size[new].sum()))
+        fresh = np.fromiter(chain.from_iterable(lists), np.uint16, int(size[new].sum()))
         pos[new] = len(self.flat) + np.cumsum(size[new]) - size[new]
         flat = np.concatenate([self.flat, fresh])
-        if len(self.keys) + len(new) <= self.kept:
+        room = self.kept - len(self.keys)
+        if room > 0:
+            new = new[:room]
             where = np.searchsorted(self.keys, keys[new])
             self.keys = np.insert(self.keys, where, keys[new])
             self.start = np.insert(self.start, where, pos[new])
             self.count = np.insert(self.count, where, size[new])
-            self.flat = flat
+            self.flat = flat[:len(self.flat) + int(size[new].sum())]
         return pos, size, flat
 
 
