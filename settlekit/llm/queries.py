@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settlekit.llm import latent_decon, parity_join, quality_trees, suffix_cover, token_files, tokens, toxic_pu, warc_zstd
+from settlekit.llm import hilbert_pack, latent_decon, parity_join, quality_trees, suffix_cover, token_files, tokens, toxic_pu, warc_zstd
 from settlekit.llm.folds import read
 
 
@@ -21,6 +21,10 @@ def op4_latent_decon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent_decon.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_hilbert_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_pack.pack(read(spark, sf_dir, "documents"), tokens.vocabulary("byte_bpe_50k.json"))
+
+
 def op6_toxic_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxic_pu.train(docs, read(spark, sf_dir, "labels"))
@@ -45,6 +49,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_suffix_cover": op3_suffix_cover,
     "op4_latent_decon": op4_latent_decon,
+    "op5_hilbert_pack": op5_hilbert_pack,
     "op6_toxic_pu": op6_toxic_pu,
     "op8_quality_trees": op8_quality_trees,
     "op9_parity_join": op9_parity_join,
