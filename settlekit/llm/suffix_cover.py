@@ -46,6 +46,7 @@ from settlekit.llm.tokens import ragged
 LENGTH = 50
 GRAM = 24
 HOT_BLOCKS = 64           # a gram in more blocks than this is hot
+SLICE_BYTES = 1 << 20     # text scanned at once: a task's arrays take some 80 times as much
 LAST_ID = (1 << 63) - 1   # stands for a null doc_id
 
 UNIQUE, SHARED, HOT = 0, 1, 2
@@ -81,11 +82,11 @@ class Block:
         self.length, self.gram = length, gram
 
     def slices(self):
-        """(first document, Joined) of runs of documents of about SLICE_BYTES."""
+        """(first document, Joined) of runs of documents of about ``SLICE_BYTES``."""
         k = 0
         while k < len(self.texts):
             m, size = k, 0
-            while m < len(self.texts) and (m == k or size + len(self.texts[m]) <= scan.SLICE_BYTES):
+            while m < len(self.texts) and (m == k or size + len(self.texts[m]) <= SLICE_BYTES):
                 size += len(self.texts[m])
                 m += 1
             yield k, scan.join(self.texts[k:m])
@@ -240,7 +241,11 @@ def mark_bucket(blobs: list[bytes], length: int = LENGTH, gram: int = GRAM) -> d
     n = len(back)
     size = back - front + length
     grid = np.zeros((n, reach + length), np.uint8)   # the sample lies at column ``reach``
-    grid.reshape(-1)[ragged(np.arange(n) * grid.shape[1] + reach - back, size)] = np.concatenate(texts)
+    text, start = np.concatenate(texts), np.cumsum(size) - size
+    for cut in range(0, n, 1 << 14):    # in pieces: the index arrays are 8 times the bytes they address
+        k = np.arange(cut, min(cut + (1 << 14), n))
+        grid.reshape(-1)[ragged(k * grid.shape[1] + reach - back[k], size[k])] = text[start[k[0]]:start[k[-1]] + size[k[-1]]]
+    del text, texts
     bits = np.zeros(n, np.uint64)
     power, inverse = scan.powers(grid.shape[1] + 1)
     # (sum over columns < s) and (sum over columns < s + length) of byte code * B**column
