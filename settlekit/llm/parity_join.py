@@ -114,9 +114,14 @@ def fingerprints(h: np.ndarray, doc: np.ndarray, n_docs: int):
     return n, one, two
 
 
-def sketch_keys(h: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(key, document) of every segment that a document is joined on."""
-    keys, owners = [], []
+def sketch_keys(h: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands) -> tuple[np.ndarray, ...]:
+    """(key, document, tag) of every segment that a document is joined on.
+
+    The tag is label * 4096 + the least number of keys that the document shares
+    with any one document it is linked with under that label: of the w + 1 equal
+    segments, at most its own weak ones aren't emitted.
+    """
+    keys, owners, tags = [], [], []
     for label in bands.labels(n):
         m = np.where(label >= 0, bands.segments[np.maximum(label, 0)], 0)
         offset = np.cumsum(m) - m
@@ -138,15 +143,18 @@ def sketch_keys(h: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands) ->
             owner = np.repeat(np.arange(len(m)), m)
             lab = label[owner]
             weak = size <= bands.weak[lab]
-            many = np.bincount(owner, weak, minlength=len(m))
-            use = ~weak | (many > np.where(m > 0, bands.spare[np.maximum(label, 0)], 0))[owner]
+            many = np.bincount(owner, weak, minlength=len(m)).astype(np.int64)
+            spare = np.where(m > 0, bands.spare[np.maximum(label, 0)], 0)
+            use = ~weak | (many > spare)[owner]
+            need = np.where(many > spare, 1, np.minimum(spare + 1 - many, 4095))
             where = lab.astype(np.uint64) * np.uint64(1 << 32) + (np.arange(len(bits)) - offset[owner]).astype(np.uint64)
             key = scan.mix(bits ^ scan.mix(where) + size.astype(np.uint64))
         keys.append(key[use])
         owners.append(owner[use])
+        tags.append((label * 4096 + need)[owner[use]])
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(tags)
 
 
 # -- Spark jobs ---------------------------------------------------------------
@@ -172,8 +180,8 @@ def set_table(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def bucket_rows(docs: DataFrame, rule: Rule) -> DataFrame:
-    """key, f1: the segments that each document's set is joined on."""
-    schema = pa.schema([("key", pa.int64()), ("f1", pa.int64())])
+    """key, f1, tag: the segments that each document's set is joined on."""
+    schema = pa.schema([("key", pa.int64()), ("f1", pa.int64()), ("tag", pa.int32())])
 
     def run(batches):
         bands = Bands(rule)
@@ -184,10 +192,10 @@ def bucket_rows(docs: DataFrame, rule: Rule) -> DataFrame:
                 copies = np.unique(one, return_index=True)[1]  # equal sets of a slice are one
                 first = np.zeros(count, bool)
                 first[copies] = True
-                key, owner = sketch_keys(h, doc, np.where(first, n, 0), bands) if count else (one, copies)
-                yield pa.RecordBatch.from_arrays(_longs(key, one[owner]), schema=schema)
+                key, owner, tag = sketch_keys(h, doc, np.where(first, n, 0), bands)
+                yield pa.RecordBatch.from_arrays([*_longs(key, one[owner]), pa.array(tag, pa.int32())], schema=schema)
 
-    return docs.filter("doc_id is not null").mapInArrow(run, "key long, f1 long")
+    return docs.filter("doc_id is not null").mapInArrow(run, "key long, f1 long, tag int")
 
 
 def set_rows(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
@@ -207,42 +215,54 @@ def set_rows(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose exact sets are linked."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """The rows of ``pairs`` (a, b, ca, cb) whose exact sets are linked."""
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "ca", "cb")])
 
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
+            for x, y in zip(batch.column(4), batch.column(5)):
                 u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = 0
                 if len(u) and len(v):
                     at = np.minimum(np.searchsorted(v, u), len(v) - 1)
                     both = int((v[at] == u).sum())
                 keep.append(both > 0 and rule.linked(both, len(u), len(v)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(
+            yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(4)], schema=schema).filter(
                 pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-            .mapInArrow(run, "a long, b long").distinct())
+    def side(name, hashes):
+        """The sets that one side of the pairs needs: only they are shuffled."""
+        needed = pairs.select(F.col(name).alias("node")).distinct()
+        return join_small_side(sets, needed, "node", max_rows=SMALL_ROWS).select(
+            F.col("node").alias(name), F.col("hashes").alias(hashes))
+
+    return (pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "ca", "cb", "x", "y")
+            .mapInArrow(run, "a long, b long, ca long, cb long").distinct())
+
+
+def met_rows(rows: DataFrame) -> DataFrame:
+    """key, f1 of sets that share enough keys with others to have a link at all."""
+    whole = Window.partitionBy("key")
+    met = stage_table(rows.withColumn("least", F.min("f1").over(whole)).withColumn("most", F.max("f1").over(whole))
+                      .filter("least <> most").select("key", "f1", "tag").distinct(), "parity-met")
+    able = (met.groupBy("f1", "tag").agg(F.count("*").alias("n")).filter("n >= pmod(tag, 4096)")
+            .select("f1", "tag"))
+    return met.join(able, ["f1", "tag"]).select("key", "f1").distinct()
 
 
 def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame | None:
     """(node, component) over class ids; None where no two classes meet."""
-    rows = bucket_rows(docs, rule)
-    whole = Window.partitionBy("key")
-    met = (rows.withColumn("least", F.min("f1").over(whole)).withColumn("most", F.max("f1").over(whole))
-           .filter("least <> most").select("key", "f1"))
     names = classes.select("f1", F.col("class_id").alias("node"))
-    live = stage_table(stage_table(met, "parity-met").distinct().join(names, "f1").select("key", "node"), "parity-live")
+    named = stage_table(met_rows(bucket_rows(docs, rule)).join(names, "f1").select("key", "node"), "parity-named")
+    shared = named.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
+    live = stage_table(named.join(shared.select("key"), "key"), "parity-live")
     nodes = stage_table(live.select("node").distinct(), "parity-nodes")
     if nodes.isEmpty():
         return None
     sets = stage_table(set_rows(docs, nodes, rule), "parity-sets")
     labels = nodes.select("node", F.col("node").alias("component"))
-    links = tested = None
+    tested = None
 
     def across():
         """Buckets' members with their component, of buckets with two components or more."""
@@ -251,21 +271,22 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
         return stage_table(rows.join(mixed.select("key"), "key"), "parity-across")
 
     def settle(pairs):
-        """Verify the pairs, join components; returns the number of new links."""
-        nonlocal links, tested, labels
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        """Verify the pairs (a, b, ca, cb), join their components; whether any was linked."""
+        nonlocal tested, labels
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                             F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage_table(pairs, "parity-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         new = stage_table(verified(pairs, sets, rule), "parity-links")
-        found = new.count()
-        if found:
-            links = new if links is None else links.unionByName(new)
-            got = components(links)
-            labels = stage_table(nodes.join(got, "node", "left").select(
-                "node", F.coalesce("component", "node").alias("component")), "parity-labels")
-        return found
+        if new.isEmpty():
+            return False
+        merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        merged = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        labels = stage_table(join_small_side(labels, merged, "component", "left", max_rows=SMALL_ROWS).select(
+            "node", F.coalesce("to", "component").alias("component")), "parity-labels")
+        return True
 
     for turn in range(STAR_ROUNDS):
         members = across()
@@ -273,14 +294,15 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
             F.struct(F.col("node").alias("hub"), F.col("component").alias("hub_component")),
             F.xxhash64("node", F.lit(turn))).alias("h")).select("key", "h.*")
         near = (members.join(hubs, "key").filter("component <> hub_component")
-                .groupBy("node", "hub").agg(F.count("*").alias("shared")))
-        best = near.groupBy("node").agg(F.max(F.struct("shared", "hub")).alias("best"))
-        if not settle(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b"))):
+                .groupBy("node", "component", "hub", "hub_component").agg(F.count("*").alias("shared")))
+        best = near.groupBy("node", "component").agg(F.max(F.struct("shared", "hub", "hub_component")).alias("best"))
+        if not settle(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b"),
+                                  F.col("component").alias("ca"), F.col("best.hub_component").alias("cb"))):
             break
     rest = across()
     x = rest.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
     y = rest.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-    settle(x.join(y, "key").filter("ca < cb").select("a", "b"))
+    settle(x.join(y, "key").filter("ca < cb"))
     return labels
 
 
