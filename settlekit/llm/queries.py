@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settlekit.llm import hilbert_pack, latent_decon, parity_join, quality_trees, suffix_cover, token_files, tokens, toxic_pu, warc_zstd
+from settlekit.llm import hilbert_pack, latent_decon, line_runs, parity_join, quality_trees, suffix_cover, token_files, tokens, toxic_pu, warc_zstd
 from settlekit.llm.folds import read
 
 
+def op1_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.report(read(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.write(read(spark, sf_dir, "documents"), tokens.vocabulary("word_bpe_49k.json"))
     return token_files.with_starts(token_files.read_documents(spark, path))
@@ -46,6 +50,7 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_runs": op1_line_runs,
     "op2_token_files": op2_token_files,
     "op3_suffix_cover": op3_suffix_cover,
     "op4_latent_decon": op4_latent_decon,
@@ -56,4 +61,6 @@ QUERIES = {
     "op10_warc_zstd": op10_warc_zstd,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_runs": line_runs.oracle_sql(),
+}
