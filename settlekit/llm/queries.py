@@ -4,8 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settlekit.llm import hilbert_pack, latent_decon, line_runs, parity_join, quality_trees, suffix_cover, token_files, tokens, toxic_pu, warc_zstd
+from settlekit.llm import (
+    decision_lists,
+    hilbert_pack,
+    latent_decon,
+    line_runs,
+    parity_join,
+    quality_trees,
+    suffix_cover,
+    token_files,
+    tokens,
+    toxic_pu,
+    warc_zstd,
+)
 from settlekit.llm.folds import read
+from settlekit.session import stage_table
 
 
 def op1_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +48,12 @@ def op6_toxic_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_pu.score_documents(docs, model)
 
 
+def op7_decision_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = stage_table(decision_lists.statistics(read(spark, sf_dir, "documents")), "rules-statistics")
+    rules = decision_lists.learn(stats, read(spark, sf_dir, "labels"))
+    return decision_lists.judge(stats, rules)
+
+
 def op8_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     forest = quality_trees.train(docs, read(spark, sf_dir, "labels"))
@@ -56,6 +75,7 @@ QUERIES = {
     "op4_latent_decon": op4_latent_decon,
     "op5_hilbert_pack": op5_hilbert_pack,
     "op6_toxic_pu": op6_toxic_pu,
+    "op7_decision_lists": op7_decision_lists,
     "op8_quality_trees": op8_quality_trees,
     "op9_parity_join": op9_parity_join,
     "op10_warc_zstd": op10_warc_zstd,
