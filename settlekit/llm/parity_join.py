@@ -321,3 +321,23 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     out = rows.join(classes, same, "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, all columns kept.
+
+    Rows with a null id stay; of rows that repeat an id one stays (the smallest text).
+    """
+    found = stage_table(near_duplicates(docs, rule).filter("doc_id is not null"), "parity-found")
+    drop = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_drop")).distinct()
+    left = join_small_side(docs, stage_table(drop, "parity-drop"), F.col("doc_id") == F.col("_drop"), "left_anti",
+                           max_rows=SMALL_ROWS)
+    again = stage_table(found.groupBy(F.col("doc_id").alias("_again")).agg(F.count("*").alias("n"))
+                        .filter("n > 1").select("_again"), "parity-again")
+    if again.isEmpty():
+        return left
+    by = F.col("doc_id") == F.col("_again")
+    once = (join_small_side(left, again, by, "inner", max_rows=SMALL_ROWS).drop("_again")
+            .groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("r"))
+            .select("r.*"))
+    return join_small_side(left, again, by, "left_anti", max_rows=SMALL_ROWS).unionByName(once)
