@@ -28,3 +28,15 @@ def training_labels(labels: DataFrame, label: str, bound: int) -> DataFrame:
          .filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out())
          .groupBy("doc_id").agg(F.max("y").alias("y")))
     return y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names near ``names`` that no column of ``df`` has (case doesn't count)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

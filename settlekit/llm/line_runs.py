@@ -33,6 +33,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from settlekit.llm.folds import fresh
 from settlekit.operators.joins import join_small_side
 from settlekit.session import stage_table
 
@@ -124,37 +125,39 @@ def deleted_lines(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN_
             .groupBy(*DOC).agg(F.sort_array(F.collect_list("i")).alias("lines")))
 
 
-def annotate(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN_RUN) -> DataFrame:
-    """The rows with ``_lines``, the numbers of the lines to delete (null for none)."""
-    found = stage_table(deleted_lines(docs, min_line, min_run), "line-deletions").withColumnRenamed("lines", "_lines")
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    on = docs["doc_id"].eqNullSafe(found["_id"]) & (keyed["_key"] == found["_hash"])
-    return join_small_side(keyed, found, on, "left", max_rows=SMALL_ROWS).drop("_key", *DOC)
+def annotate(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN_RUN) -> tuple[DataFrame, str]:
+    """The rows with the numbers of the lines to delete (null for none), and that column's name."""
+    id_, hash_, key, lines = fresh(docs, "_id", "_hash", "_key", "_lines")
+    found = stage_table(deleted_lines(docs.select("doc_id", "text"), min_line, min_run), "line-deletions")
+    found = found.select(F.col("_id").alias(id_), F.col("_hash").alias(hash_), F.col("lines").alias(lines))
+    on = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(hash_))
+    rows = join_small_side(docs.withColumn(key, F.xxhash64("text")), found, on, "left", max_rows=SMALL_ROWS)
+    return rows.drop(key, id_, hash_), lines
 
 
-def kept_text():
-    """The text without the lines of ``_lines``."""
-    lines = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_lines", i))
-    return F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
+def kept_text(lines: str):
+    """The text without the lines whose numbers the column ``lines`` holds."""
+    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(lines, i))
+    return F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
 
 
 def dedup(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN_RUN) -> DataFrame:
     """``docs`` with the repeated line runs gone from ``text``; all columns kept."""
-    return annotate(docs, min_line, min_run).withColumn("text", kept_text()).select(*docs.columns)
+    rows, lines = annotate(docs, min_line, min_run)
+    return rows.withColumn("text", kept_text(lines)).select(*docs.columns)
 
 
 def report(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN_RUN) -> DataFrame:
     """doc_id, n_lines, n_removed, n_runs (maximal removed runs), kept_sha256 of every row."""
-    rows = annotate(docs.select("doc_id", "text"), min_line, min_run)
-    gone = F.coalesce("_lines", F.array().cast("array<int>"))
+    rows, lines = annotate(docs.select("doc_id", "text"), min_line, min_run)
     # the deleted lines are sorted: a run starts where the line before isn't deleted
-    heads = F.filter("_lines", lambda x, i: (i == 0) | (F.get("_lines", i - 1) != x - 1))
+    heads = F.filter(lines, lambda x, i: (i == 0) | (F.get(lines, i - 1) != x - 1))
     return rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
-        F.size(gone).cast("long").alias("n_removed"),
-        F.when(F.col("_lines").isNull(), 0).otherwise(F.size(heads)).cast("long").alias("n_runs"),
-        F.sha2(F.coalesce(kept_text(), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"),
+        F.when(F.col(lines).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_removed"),
+        F.when(F.col(lines).isNull(), 0).otherwise(F.size(heads)).cast("long").alias("n_runs"),
+        F.sha2(F.coalesce(kept_text(lines), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
 def oracle_sql(min_line: int = MIN_LINE, min_run: int = MIN_RUN) -> str:

@@ -42,6 +42,7 @@ from pyspark.sql import Window
 
 from settlekit.llm import scan
 from settlekit.llm.components import components
+from settlekit.llm.folds import fresh
 from settlekit.operators.joins import join_small_side
 from settlekit.session import stage_table
 
@@ -328,16 +329,17 @@ def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     Rows with a null id stay; of rows that repeat an id one stays (the smallest text).
     """
+    drop_id, again_id = fresh(docs, "_drop", "_again")
     found = stage_table(near_duplicates(docs, rule).filter("doc_id is not null"), "parity-found")
-    drop = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_drop")).distinct()
-    left = join_small_side(docs, stage_table(drop, "parity-drop"), F.col("doc_id") == F.col("_drop"), "left_anti",
+    drop = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(drop_id)).distinct()
+    left = join_small_side(docs, stage_table(drop, "parity-drop"), F.col("doc_id") == F.col(drop_id), "left_anti",
                            max_rows=SMALL_ROWS)
-    again = stage_table(found.groupBy(F.col("doc_id").alias("_again")).agg(F.count("*").alias("n"))
-                        .filter("n > 1").select("_again"), "parity-again")
+    again = stage_table(found.groupBy(F.col("doc_id").alias(again_id)).agg(F.count("*").alias("n"))
+                        .filter("n > 1").select(again_id), "parity-again")
     if again.isEmpty():
         return left
-    by = F.col("doc_id") == F.col("_again")
-    once = (join_small_side(left, again, by, "inner", max_rows=SMALL_ROWS).drop("_again")
+    by = F.col("doc_id") == F.col(again_id)
+    once = (join_small_side(left, again, by, "inner", max_rows=SMALL_ROWS).drop(again_id)
             .groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("r"))
             .select("r.*"))
     return join_small_side(left, again, by, "left_anti", max_rows=SMALL_ROWS).unionByName(once)
