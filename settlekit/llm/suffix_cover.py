@@ -46,7 +46,8 @@ from settlekit.llm.tokens import ragged
 LENGTH = 50
 GRAM = 24
 HOT_BLOCKS = 64           # a gram in more blocks than this is hot
-SLICE_BYTES = 1 << 20     # text scanned at once: a task's arrays take some 80 times as much
+SLICE_BYTES = 1 << 19     # text scanned at once: a task's arrays take some 80 times as much
+BLOCKS = 3                # blocks (and buckets) for each shuffle partition: a task holds one of them
 LAST_ID = (1 << 63) - 1   # stands for a null doc_id
 
 UNIQUE, SHARED, HOT = 0, 1, 2
@@ -311,7 +312,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
           parts: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (and the kept bytes)."""
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or BLOCKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     block_of = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
     dealt = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
              .withColumn("block", block_of).repartition(parts, "block"))
