@@ -99,8 +99,9 @@ PAYMENT_EVENT_JSON_SCHEMA = StructType(
 EVENT_FIELDS = [f.name for f in PAYMENT_EVENT_JSON_SCHEMA.fields]
 
 MONEY = DecimalType(15, 2)
-# Sums of money keep three more integer digits than a single amount.
-MONEY_SUM = DecimalType(18, 2)
+# Sums of money keep the ten more integer digits that Spark gives a decimal sum,
+# so a transform never fails on a large group; the write contract reports it.
+MONEY_SUM = DecimalType(25, 2)
 FX_RATE = DecimalType(5, 3)
 
 # Stored raw events: the 22 fields typed, plus amount_eur (ingested_at is

@@ -37,14 +37,17 @@ def get_session(app_name: str = "settlekit", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a private folder is made
-    and registered, so later calls agree.
+    Only a local session that names none gets a private folder, registered so
+    that later calls agree; on a cluster, where every machine would write to a
+    disk of its own, it is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="settlekit-shared-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

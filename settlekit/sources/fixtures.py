@@ -137,9 +137,13 @@ def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(*PAYMENT_EVENT_COLUMNS)
 
 
-def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_deliveries(spark: SparkSession, sf_dir: str, strict: bool = False) -> DataFrame:
     """Messages as delivered by the broker: one column ``value`` (JSON text).
 
+    ``strict`` adds defects of time and range on AUTHORIZATION messages: an
+    unparseable time, and amounts that are NaN, beyond DECIMAL(15,2), below a
+    cent, or beyond it in EUR only.
+
     Defects on AUTHORIZATION messages (FIXTURES.md §3): NULL currency,
     unknown currency, unknown event type, negated amount, missing ids, a
     duplicate delivery, and an extra message that is not JSON.
@@ -152,6 +156,13 @@ def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(F.col("currency")))
     event_type = F.when(auth & (k % 503 == 2), F.lit("UNKNOWN")).otherwise(F.col("event_type"))
     amount = F.when(auth & (k % 401 == 3), -F.col("amount")).otherwise(F.col("amount")).cast("double")
+    time = format_event_time("event_timestamp")
+    if strict:
+        time = F.when(auth & (k % 701 == 7), F.lit("yesterday")).otherwise(time)
+        amount = (F.when(auth & (k % 709 == 8), F.lit(float("nan"))).when(auth & (k % 719 == 9), F.lit(1e14))
+                  .when(auth & (k % 727 == 10), F.lit(0.001)).when(auth & (k % 733 == 11), F.lit(9e12))
+                  .otherwise(amount))
+        currency = F.when(auth & (k % 733 == 11), F.lit("GBP")).otherwise(currency)
     missing_ids = auth & (k % 307 == 4)
     event_id = F.when(missing_ids, F.lit(None).cast("string")).otherwise(F.col("event_id"))
     merchant_id = F.when(missing_ids, F.lit(None).cast("string")).otherwise(F.col("merchant_id"))
@@ -159,7 +170,7 @@ def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id": event_id,
         "merchant_id": merchant_id,
         "event_type": event_type,
-        "event_timestamp": format_event_time("event_timestamp"),
+        "event_timestamp": time,
         "amount": amount,
         "currency": currency,
         "original_amount": F.col("original_amount").cast("double"),
