@@ -2,10 +2,10 @@
 
 A check is a config dict (``{"check": "range_check", "column": "amount",
 "min": 0.01, ...}``). For one table, all checks that need only whole-table
-aggregates (not_null, accepted_values, range_check, freshness, row_count and
-the moments of statistical_outlier) are planned as **one** ``agg``; the
-results are then unpivoted in Spark into one row per check. uniqueness,
-referential_integrity and the outlier count need their own pass each. Nothing
+aggregates (not_null, accepted_values, range_check, freshness, row_count) are
+planned as **one** ``agg``; the results are then unpivoted in Spark into one row
+per check. uniqueness, referential_integrity, the outlier moments and the
+outlier count need their own pass each. Nothing
 is collected to the driver: the suite result is a DataFrame.
 """
 
@@ -14,11 +14,14 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
+from settlekit.operators.joins import DEFAULT_BROADCAST_ROWS, fits
 from settlekit.schemas import CHECK_RESULT_COLUMNS
 
 log = logging.getLogger("settlekit.quality")
@@ -42,8 +45,8 @@ class QualityGateError(RuntimeError):
 
 
 def failure_percentage(failed: Column, total: Column) -> Column:
-    """failed / total * 100 rounded to 2 digits (half up); 0 for no rows."""
-    return F.when(total > 0, F.round(failed * 100.0 / total, 2)).otherwise(F.lit(0.0))
+    """failed / total * 100 rounded to 2 digits (half even); 0 for no rows."""
+    return F.when(total > 0, F.bround(failed * 100.0 / total, 2)).otherwise(F.lit(0.0))
 
 
 def _result(table: str, name: str, ctype: str, status: Column, checked: Column, failed: Column,
@@ -77,6 +80,13 @@ def _ts_lit(t: _dt.datetime) -> Column:
     return F.lit(t.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp")
 
 
+def _need(df: DataFrame, column: str, *kinds) -> None:
+    """The column's type must be one of ``kinds``: a check that can't compare its values is an error, not a pass."""
+    kind = df.select(F.col(column)).schema[0].dataType
+    if not isinstance(kind, kinds):
+        raise TypeError(f"column {column} has type {kind.simpleString()}")
+
+
 @dataclass
 class _Plan:
     """Aggregates of the fused pass and result structs that read them."""
@@ -107,7 +117,7 @@ def _plan_accepted_values(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: s
     c, values = cfg["column"], list(cfg["values"])
     bad = F.col(c).isNotNull() & ~F.col(c).isin(values)
     total = p.agg("_rows", F.count(F.lit(1)))
-    invalid = p.agg(f"_invalid_{c}_{len(p.aggs)}", F.count_if(bad))
+    invalid = p.agg("_invalid_" + "_".join([c, *map(str, values)]), F.count_if(bad))
     # the first few distinct bad values, by value: a bounded top-k sub-query
     samples = (df.filter(bad).select(F.col(c).cast("string").alias("v")).distinct()
                .orderBy("v").limit(SAMPLE_SIZE))
@@ -120,6 +130,7 @@ def _plan_accepted_values(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: s
 
 def _plan_range(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str) -> None:
     c, lo, hi = cfg["column"], cfg.get("min"), cfg.get("max")
+    _need(df, c, NumericType, DateType, TimestampType, TimestampNTZType)
     conds = []
     if lo is not None:
         conds.append(F.col(c) < F.lit(lo))
@@ -140,6 +151,7 @@ def _plan_range(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str) -> Non
 def _plan_freshness(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str,
                     as_of: _dt.datetime | None) -> None:
     c, max_age = cfg["column"], cfg["max_age_hours"]
+    _need(df, c, DateType, TimestampType, TimestampNTZType)
     total = p.agg("_rows", F.count(F.lit(1)))
     latest = p.agg(f"_max_{c}", F.max(F.col(c)))
     # a date counts from midnight UTC
@@ -212,23 +224,39 @@ def check_referential_integrity(df: DataFrame, cfg: dict, table: str, ref: DataF
                         F.lit(rt), F.lit(rc)), sev)
 
 
+SALTS = 64
+
+
+def _with_group_moments(vals: DataFrame, stats: DataFrame, groups: list[str]) -> DataFrame:
+    """Values with their group's moments: no group's rows ever meet in one task."""
+    small = stats.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(groups)], "_mean", "_sd")
+    same = [F.col(g).eqNullSafe(F.col(f"_g{k}")) for k, g in enumerate(groups)]
+    if fits(small, DEFAULT_BROADCAST_ROWS):
+        return vals.join(F.broadcast(small), reduce(and_, same), "inner")
+    salted = vals.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    copies = small.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, reduce(and_, same, F.col("_salt") == F.col("_copy")), "inner")
+
+
 def check_statistical_outlier(df: DataFrame, cfg: dict, table: str) -> DataFrame:
     """Non-NULL values outside mean +- n * sample stddev; WARN, never FAIL.
 
     The moments are one aggregate, used by the counting pass as a scalar
     sub-query (evaluated once, no join, nothing on the driver). With
-    ``group_by`` the moments are per group, joined back on the group key.
+    ``group_by`` the moments are per group (a NULL group is one too), joined
+    back by broadcast while they are proven small, else on a salted group key.
     """
     c, n = cfg["column"], float(cfg.get("n_stddev", 3))
     sev = cfg.get("severity", DEFAULT_SEVERITY["statistical_outlier"])
     groups = cfg.get("group_by")
+    _need(df, c, NumericType)
     x = F.col(c).cast("double")
     vals = df.filter(F.col(c).isNotNull())
     if groups:
         groups = [groups] if isinstance(groups, str) else list(groups)
         stats = vals.groupBy(*groups).agg(F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_sd"))
-        j = vals.join(stats, groups, "inner")
-        sd = F.col("_sd")
+        j = _with_group_moments(vals.select(*groups, x.alias("_x")), stats, groups)
+        x, sd = F.col("_x"), F.col("_sd")
         outside = sd.isNotNull() & (sd != 0) & (
             (x < F.col("_mean") - F.lit(n) * sd) | (x > F.col("_mean") + F.lit(n) * sd))
         s = j.agg(F.count(F.lit(1)).alias("total"), F.count_if(outside).alias("outliers"))
@@ -262,7 +290,7 @@ def _error_row(df: DataFrame, table: str, cfg: dict, err: Exception) -> DataFram
     spark = df.sparkSession
     row = spark.range(1).select(F.inline(F.array(_result(
         table, f"{ctype}_error", ctype, F.lit("FAIL"), F.lit(0), F.lit(0),
-        F.lit(f"Check failed with error: {type(err).__name__}: {str(err)[:300]}"), sev))))
+        F.lit(f"Check failed with error: {type(err).__name__}: {err}"), sev))))
     return row
 
 
@@ -282,20 +310,28 @@ def run_table_checks(df: DataFrame, table: str, checks: list[dict], *,
         ctype = cfg.get("check")
         sev = cfg.get("severity", DEFAULT_SEVERITY.get(ctype, "critical"))
         try:
-            # analyse the referenced columns first, so a bad name fails this check only
+            # analyse what the check refers to first, so a bad name or type fails this check only
             cols = [cfg[k] for k in ("column",) if k in cfg] + list(cfg.get("columns", []))
             if cols:
                 df.select(*[F.col(x) for x in cols]).schema
+            own = _Plan()
             if ctype == "not_null":
-                _plan_not_null(plan, df, cfg, table, sev)
+                _plan_not_null(own, df, cfg, table, sev)
             elif ctype == "accepted_values":
-                _plan_accepted_values(plan, df, cfg, table, sev)
+                _plan_accepted_values(own, df, cfg, table, sev)
             elif ctype == "range_check":
-                _plan_range(plan, df, cfg, table, sev)
+                _plan_range(own, df, cfg, table, sev)
             elif ctype == "freshness":
-                _plan_freshness(plan, df, cfg, table, sev, as_of)
+                _plan_freshness(own, df, cfg, table, sev, as_of)
             elif ctype == "row_count":
-                _plan_row_count(plan, df, cfg, table, sev)
+                _plan_row_count(own, df, cfg, table, sev)
+            if own.results:
+                df.agg(*own.aggs.values()).select(F.inline(F.array(*own.results))).schema
+                for name, expr in own.aggs.items():
+                    plan.aggs.setdefault(name, expr)
+                plan.results += own.results
+            elif ctype in ("not_null", "accepted_values", "range_check", "freshness", "row_count"):
+                continue
             elif ctype == "uniqueness":
                 separate.append(check_uniqueness(df, cfg, table))
             elif ctype == "referential_integrity":
@@ -348,6 +384,37 @@ def run_suite(tables: dict[str, DataFrame], catalogue: dict[str, list[dict]], *,
     return out
 
 
+def unreadable_rows(spark, table: str, checks: list[dict], err: Exception) -> DataFrame:
+    """One FAIL row per check of a table that can't be read, with the check's severity."""
+    one = spark.range(1)
+    out = None
+    for cfg in checks:
+        ctype = cfg.get("check", "unknown")
+        part = _error_row(one, table, {"check": ctype, "severity": cfg.get("severity", DEFAULT_SEVERITY.get(
+            ctype, "critical"))}, err)
+        out = part if out is None else out.unionByName(part)
+    return out.select(*CHECK_RESULT_COLUMNS)
+
+
+def run_stored_suite(spark, read, catalogue: dict[str, list[dict]], *, as_of: _dt.datetime | None = None) -> DataFrame:
+    """The suite over stored tables; ``read(name)`` loads one.
+
+    A table that can't be read doesn't leave the suite: each of its checks fails.
+    """
+    tables, parts = {}, []
+    needed = list(catalogue) + [c["reference_table"] for cs in catalogue.values() for c in cs if "reference_table" in c]
+    for name in dict.fromkeys(needed):
+        try:
+            tables[name] = read(name)
+        except Exception as err:  # noqa: BLE001 - reported as failing checks
+            if name in catalogue:
+                parts.append(unreadable_rows(spark, name, catalogue[name], err))
+    found = {t: cs for t, cs in catalogue.items() if t in tables}
+    if found:
+        parts.append(run_suite(tables, found, as_of=as_of))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def with_check_timestamp(results: DataFrame, run_ts: _dt.datetime | None = None) -> DataFrame:
     """Quality-log rows: one timestamp shared by the whole run."""
     ts = _ts_lit(run_ts) if run_ts is not None else F.current_timestamp()

@@ -86,3 +86,16 @@ EVENTS_CHECKS = {
     "outlier_grouped": [{"check": "statistical_outlier", "column": "value", "n_stddev": 2,
                          "group_by": "event_type"}],
 }
+
+# Checks over ``events`` that can't be run, one of each kind, among good ones.
+ERROR_CHECKS = [
+    {"check": "row_count", "min_rows": 1},
+    {"check": "range_check", "column": "props", "min": 0},
+    {"check": "statistical_outlier", "column": "props"},
+    {"check": "freshness", "column": "event_type", "max_age_hours": 2},
+    {"check": "not_null", "columns": ["no_such_column"]},
+    {"check": "referential_integrity", "column": "user_id", "reference_table": "no_such_table",
+     "reference_column": "id", "severity": "warning"},
+    {"check": "not_null", "columns": ["event_id", "ts"]},
+    {"check": "statistical_outlier", "column": "value", "n_stddev": 3},
+]
