@@ -34,9 +34,11 @@ def money_avg(sum_expr: str, n: str) -> str:
 
 
 def pct(failed: str, total: str) -> str:
-    """failure percentage: failed/total*100 half up to 2 digits, 0 for no rows."""
-    return (f"(CASE WHEN ({total}) > 0 THEN CAST((2 * CAST({failed} AS HUGEINT) * 10000 + ({total})) "
-            f"// (2 * ({total})) AS DOUBLE) / 100.0 ELSE 0.0 END)")
+    """failure percentage: failed/total*100 half even to 2 digits, 0 for no rows."""
+    n = f"(CAST({failed} AS HUGEINT) * 10000)"
+    q, r2, t = f"({n} // ({total}))", f"(2 * ({n} % ({total})))", f"({total})"
+    up = f"CASE WHEN {r2} > {t} OR ({r2} = {t} AND {q} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"(CASE WHEN {t} > 0 THEN CAST({q} + {up} AS DOUBLE) / 100.0 ELSE 0.0 END)"
 
 
 FX_CASE = """CASE {c}
@@ -151,12 +153,13 @@ valid AS (
   FROM dv_reason WHERE rejection_reason = ''
 ),
 rejected AS (
-  SELECT event_id, rejection_reason FROM dv_reason, range(2) r(i)
+  SELECT event_id, rejection_reason, psp_reference, event_type, currency, CAST(amount AS DOUBLE) AS amount,
+    event_timestamp FROM dv_reason, range(2) r(i)
   WHERE rejection_reason <> '' AND r.i < copies
   UNION ALL
   SELECT NULL AS event_id,
     'missing_event_id, missing_psp_reference, missing_merchant_id, missing_amount, missing_currency, missing_event_type'
-    AS rejection_reason
+    AS rejection_reason, NULL, NULL, NULL, NULL, NULL
   FROM ev0 WHERE sid = 0 AND k % 601 = 6
 )"""
 
@@ -169,17 +172,17 @@ DELIVERED = PE + _DELIVERED
 SETTLEMENT = PE + """,
 agg AS (
   SELECT CAST(event_timestamp AS DATE) AS settlement_date, merchant_id, merchant_name, merchant_country,
-    CAST(sum(CASE WHEN event_type = 'AUTHORIZATION' THEN amount_eur ELSE 0 END) AS DECIMAL(18,2)) AS total_authorized,
-    CAST(sum(CASE WHEN event_type = 'CAPTURE' THEN amount_eur ELSE 0 END) AS DECIMAL(18,2)) AS total_captured,
-    CAST(sum(CASE WHEN event_type = 'REFUND' THEN amount_eur ELSE 0 END) AS DECIMAL(18,2)) AS total_refunded,
-    CAST(sum(CASE WHEN event_type = 'CHARGEBACK' THEN amount_eur ELSE 0 END) AS DECIMAL(18,2)) AS total_chargebacks,
+    CAST(sum(CASE WHEN event_type = 'AUTHORIZATION' THEN amount_eur ELSE 0 END) AS DECIMAL(25,2)) AS total_authorized,
+    CAST(sum(CASE WHEN event_type = 'CAPTURE' THEN amount_eur ELSE 0 END) AS DECIMAL(25,2)) AS total_captured,
+    CAST(sum(CASE WHEN event_type = 'REFUND' THEN amount_eur ELSE 0 END) AS DECIMAL(25,2)) AS total_refunded,
+    CAST(sum(CASE WHEN event_type = 'CHARGEBACK' THEN amount_eur ELSE 0 END) AS DECIMAL(25,2)) AS total_chargebacks,
     CAST(count(*) FILTER (WHERE event_type = 'AUTHORIZATION') AS BIGINT) AS transaction_count,
     CAST(count(*) FILTER (WHERE event_type = 'CHARGEBACK') AS BIGINT) AS chargeback_count
   FROM pe GROUP BY ALL
 )
 SELECT settlement_date, merchant_id, merchant_name, merchant_country,
   total_authorized, total_captured, total_refunded, total_chargebacks,
-  CAST(total_captured - total_refunded - total_chargebacks AS DECIMAL(18,2)) AS net_settlement_eur,
+  CAST(total_captured - total_refunded - total_chargebacks AS DECIMAL(25,2)) AS net_settlement_eur,
   transaction_count, chargeback_count,
   """ + ratio("chargeback_count", "transaction_count") + """ AS chargeback_ratio,
   'EUR' AS currency
@@ -197,7 +200,7 @@ agg AS (
 SELECT report_date, payment_method, issuer_country, total_authorizations, successful_authorizations,
   """ + ratio("successful_authorizations", "total_authorizations") + """ AS authorization_rate,
   """ + money_avg("vol", "priced") + """ AS avg_amount_eur,
-  CAST(vol AS DECIMAL(18,2)) AS total_volume_eur,
+  CAST(vol AS DECIMAL(25,2)) AS total_volume_eur,
   """ + ratio("secure", "total_authorizations") + """ AS is_3ds_rate
 FROM agg"""
 
@@ -262,7 +265,9 @@ pairs AS (
 LATENCY = PE + _PAIRS + """
 SELECT a.psp_reference, a.merchant_id, a.report_date, a.auths,
   CAST(lc.has_capture AS BIGINT) AS captures, CAST(lc.has_settlement AS BIGINT) AS settlements,
-  CAST(lc.has_refund AS BIGINT) AS refunds, p.pairs, p.delay_secs
+  CAST(lc.has_refund AS BIGINT) AS refunds, p.pairs, p.delay_secs,
+  CASE WHEN p.pairs > 0 THEN CAST(""" + half_up_units("p.delay_secs", "p.pairs * 3600", 2) + """ AS DOUBLE) / 100.0 END
+    AS avg_hours
 FROM (SELECT psp_reference, merchant_id, report_date, CAST(count(*) AS BIGINT) AS auths
       FROM au GROUP BY ALL) a
 JOIN lc USING (psp_reference)
@@ -326,7 +331,41 @@ INGEST_VALID = DELIVERED + """
 SELECT * FROM valid"""
 
 INGEST_REJECTED = DELIVERED + """
-SELECT event_id, rejection_reason FROM rejected"""
+SELECT event_id, rejection_reason, psp_reference, event_type, currency, amount,
+  CAST(event_timestamp AS TIMESTAMP) AS event_timestamp FROM rejected"""
+
+# strict mode: defects of time and range; NaN and out-of-range amounts are stated by key, not computed
+_STRICT = """,
+sd AS (
+  SELECT k, sid, event_id, psp_reference, merchant_id,
+    sid = 0 AND k % 701 = 7 AS bad_time, sid = 0 AND k % 709 = 8 AS is_nan,
+    sid = 0 AND k % 709 <> 8 AND k % 719 = 9 AS huge,
+    sid = 0 AND k % 709 <> 8 AND k % 719 <> 9 AND k % 727 = 10 AS tiny,
+    sid = 0 AND k % 709 <> 8 AND k % 719 <> 9 AND k % 727 <> 10 AND k % 733 = 11 AS huge_eur,
+    event_type, amount, copies,
+    CASE WHEN sid = 0 AND k % 733 = 11 THEN 'GBP' ELSE currency END AS currency
+  FROM dv
+)"""
+
+INGEST_STRICT = DELIVERED + _STRICT + """
+SELECT event_id, psp_reference, concat_ws(', ',
+    CASE WHEN event_id IS NULL THEN 'missing_event_id' END,
+    CASE WHEN psp_reference IS NULL THEN 'missing_psp_reference' END,
+    CASE WHEN merchant_id IS NULL THEN 'missing_merchant_id' END,
+    CASE WHEN currency IS NULL THEN 'missing_currency' END,
+    CASE WHEN event_type IS NULL THEN 'missing_event_type' END,
+    CASE WHEN currency IS NOT NULL AND currency NOT IN ('EUR','USD','GBP','SEK','DKK','NOK','CHF','PLN')
+         THEN 'invalid_currency' END,
+    CASE WHEN event_type IS NOT NULL AND event_type NOT IN
+         ('AUTHORIZATION','CAPTURE','SETTLEMENT','REFUND','CHARGEBACK','CANCEL') THEN 'invalid_event_type' END,
+    CASE WHEN NOT (is_nan OR huge OR tiny OR huge_eur) AND amount <= 0 THEN 'non_positive_amount' END,
+    CASE WHEN is_nan OR huge OR tiny OR huge_eur THEN 'amount_out_of_range' END,
+    CASE WHEN bad_time THEN 'invalid_event_timestamp' END,
+    CASE WHEN is_nan THEN 'nan_amount' END) AS rejection_reason
+FROM sd, range(2) r(i) WHERE r.i < copies
+UNION ALL
+SELECT NULL, NULL, 'missing_event_id, missing_psp_reference, missing_merchant_id, missing_amount, missing_currency, missing_event_type, missing_event_timestamp'
+""" + _NOT_JSON
 
 DEDUP_EVENTS = PE + """
 SELECT * FROM pe"""
@@ -348,6 +387,8 @@ _ORACLES = {
     "fx_normalize": FX_NORMALIZE,
     "ingest_valid": INGEST_VALID,
     "ingest_rejected": INGEST_REJECTED,
+    "ingest_strict": INGEST_STRICT,
+    "stream_restart": INGEST_VALID,
     "dedup_events": DEDUP_EVENTS,
     "upsert_first_wins": UPSERT_FIRST_WINS,
     "stream_ingest": INGEST_VALID,
@@ -463,7 +504,7 @@ def check_sql(table: str, cfg: dict, as_of: _dt.datetime) -> list[str]:
             return [_row(table, f"outlier_{c}_by_{g}", ct, warn, "t", "f", sev,
                          src=f"FROM (SELECT count(*) AS t, count(*) FILTER (WHERE {out}) AS f FROM {r} "
                              f"JOIN (SELECT {g}, avg({x}) AS mean, stddev_samp({x}) AS sd FROM {r} "
-                             f"WHERE {c} IS NOT NULL GROUP BY {g}) s USING ({g}) WHERE {c} IS NOT NULL)")]
+                             f"WHERE {c} IS NOT NULL GROUP BY {g}) s ON s.{g} IS NOT DISTINCT FROM {r}.{g} WHERE {c} IS NOT NULL)")]
         return [_row(table, f"outlier_{c}", ct, warn, "t", "f", sev,
                      src=f"FROM (SELECT count(*) AS t, count(*) FILTER (WHERE {out}) AS f FROM {r}, "
                          f"(SELECT avg({x}) AS mean, stddev_samp({x}) AS sd FROM {r} WHERE {c} IS NOT NULL) s "
@@ -516,6 +557,16 @@ DQ_KEYS = {
 }
 
 _ORACLES.update({k: suite_sql(_by_type(t), QUERY_AS_OF) for k, t in DQ_KEYS.items()})
+# checks that can't run: one failing row each, named after the check, with its severity or "critical"
+_BROKEN = [("range_check", "critical"), ("statistical_outlier", "critical"), ("freshness", "critical"),
+           ("not_null", "critical"), ("referential_integrity", "warning")]
+_ORACLES["dq_errors"] = MART_CTES + "\n" + "\nUNION ALL\n".join(
+    [f"SELECT 'events' AS table_name, '{t}_error' AS check_name, '{t}' AS check_type, 'FAIL' AS status, "
+     f"CAST(0 AS BIGINT) AS records_checked, CAST(0 AS BIGINT) AS records_failed, CAST(0 AS DOUBLE) AS failure_percentage, "
+     f"'{sev}' AS severity" for t, sev in _BROKEN]
+    + [x for c in ({"check": "row_count", "min_rows": 1}, {"check": "not_null", "columns": ["event_id", "ts"]},
+                   {"check": "statistical_outlier", "column": "value", "n_stddev": 3})
+       for x in check_sql("events", c, QUERY_AS_OF)])
 _ORACLES["quality_run"] = suite_sql(QUALITY_CHECKS, QUERY_AS_OF)
 
 # ---------------------------------------------------------------------------
@@ -611,3 +662,26 @@ def contract_sql() -> str:
 
 
 _ORACLES["contract_violations"] = contract_sql()
+
+# ---------------------------------------------------------------------------
+# stored marts
+# ---------------------------------------------------------------------------
+
+_MONEY = ("total_authorized", "total_captured", "total_refunded", "total_chargebacks", "net_settlement_eur")
+_PE_CANCEL = PE[:PE.rindex("FROM ev0")] + "FROM ev0 WHERE event_type = 'CANCEL'\n)"
+_FUNNEL_CHECKS = [("not_null", "critical"), ("range_check", "warning"), ("row_count", "critical")]
+
+_ORACLES.update({
+    "alerts_none": MART_CTES + """
+SELECT alert_date, merchant_id, chargeback_count, severity FROM alerts WHERE chargeback_ratio > 9""",
+    "mart_tables_typed": MART_CTES + """
+SELECT settlement_date, merchant_id, merchant_name, merchant_country, """ + ", ".join(
+        f"CAST({c} AS DECIMAL(15,2)) AS {c}" for c in _MONEY) + """,
+  transaction_count, chargeback_count, CAST(chargeback_ratio AS DECIMAL(5,4)) AS chargeback_ratio, currency
+FROM settle""",
+    "gate_missing_mart": (MART_CTES + "\n" + suite_body(
+        {t: cs for t, cs in QUALITY_CHECKS.items() if t != "analytics.conversion_funnel"}, QUERY_AS_OF)
+        ).replace(PE, _PE_CANCEL) + "".join(
+        f"\nUNION ALL SELECT 'analytics.conversion_funnel', '{t}_error', '{t}', 'FAIL', CAST(0 AS BIGINT), "
+        f"CAST(0 AS BIGINT), CAST(0 AS DOUBLE), '{sev}'" for t, sev in _FUNNEL_CHECKS),
+})

@@ -34,7 +34,9 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--path")
     s.add_argument("--bootstrap")
     s.add_argument("--topic", default="payment.events.raw")
-    s.add_argument("--max-per-trigger", type=int, default=500)
+    s.add_argument("--max-per-trigger", type=int, default=500, help="broker messages per trigger (rate limit)")
+    s.add_argument("--max-files", type=int, default=1000, help="message files per trigger")
+    s.add_argument("--fail-on-data-loss", action="store_true", help="stop when the broker dropped offsets")
     s.add_argument("--trigger", default="10 seconds")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--strict-time", action="store_true")
@@ -49,6 +51,9 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--root", required=True)
     b.add_argument("--no-guard", action="store_true")
     b.add_argument("--since", help="YYYY-MM-DD: recompute day-grained marts from this month on only")
+    for x in (m, q, b):
+        x.add_argument("--format", choices=["parquet", "jdbc"], default="parquet",
+                       help="where the tables are; jdbc takes its connection from the environment")
     a = p.parse_args(argv)
 
     spark = get_session("settlekit-" + a.cmd)
@@ -56,27 +61,23 @@ def main(argv: list[str] | None = None) -> int:
         from settlekit.streaming.ingest import IngestSink, read_stream, start_ingest
 
         src = read_stream(spark, fmt=a.source, path=a.path, bootstrap_servers=a.bootstrap,
-                          topic=a.topic, max_per_trigger=a.max_per_trigger)
+                          topic=a.topic, max_per_trigger=a.max_per_trigger, max_files=a.max_files,
+                          fail_on_data_loss=a.fail_on_data_loss)
         sink = IngestSink(f"{a.root}/raw.payment_events", f"{a.root}/raw.rejected_events", a.strict_time)
         start_ingest(src, sink, f"{a.root}/_checkpoints/ingest", processing_time=a.trigger,
                      available_now=a.available_now).awaitTermination()
         return 0
     if a.cmd == "mart":
-        from settlekit.plans.pipeline import MARTS, RAW
+        from settlekit.plans.pipeline import RAW, compute_mart, write_mart
         from settlekit.sources.tables import read_table
 
-        from settlekit.plans.pipeline import MART_DAY, recent_events, write_mart
-
         name = MART_NAMES[a.name]
-        events = read_table(spark, RAW, root=a.root)
+        events = read_table(spark, RAW, root=a.root, fmt=a.format)
         since = _dt.date.fromisoformat(a.since) if a.since else None
-        if since is not None and name in MART_DAY:
-            events = recent_events(events, since)
-        mart = MARTS[name](events)
-        if mart.isEmpty():
+        if events.isEmpty():
             print(f"{name}: no input rows, table left as it is")
             return 0
-        write_mart(mart, name, a.root, since)
+        write_mart(compute_mart(events, name, since), name, a.root, since, fmt=a.format)
         return 0
     if a.cmd == "quality":
         from settlekit.operators import quality
@@ -84,16 +85,14 @@ def main(argv: list[str] | None = None) -> int:
         from settlekit.sinks.tables import write_table
         from settlekit.sources.tables import read_table
 
-        names = [a.table] if a.table else list(QUALITY_CHECKS)
-        tables = {}
-        for n in set(names) | {"raw.payment_events"}:
-            try:
-                tables[n] = read_table(spark, n, root=a.root)
-            except Exception:  # noqa: BLE001 - a table not written yet is reported below
-                pass
-        catalogue = {t: QUALITY_CHECKS[t] for t in names if t in tables}
-        results = quality.with_check_timestamp(quality.run_suite(tables, catalogue)).cache()
-        write_table(results, "analytics.data_quality_log", mode="append", root=a.root)
+        if a.table and a.table not in QUALITY_CHECKS:
+            print(f"no checks configured for {a.table}", file=sys.stderr)
+            return 2
+        catalogue = {t: QUALITY_CHECKS[t] for t in ([a.table] if a.table else QUALITY_CHECKS)}
+        # a table that can't be read fails its checks
+        results = quality.with_check_timestamp(quality.run_stored_suite(
+            spark, lambda n: read_table(spark, n, root=a.root, fmt=a.format), catalogue)).cache()
+        write_table(results, "analytics.data_quality_log", mode="append", root=a.root, fmt=a.format)
         try:
             print(quality.gate(results))
         except quality.QualityGateError as err:
@@ -106,7 +105,7 @@ def main(argv: list[str] | None = None) -> int:
 
         try:
             since = _dt.date.fromisoformat(a.since) if a.since else None
-            res = run_batch(spark, a.root, guard=not a.no_guard, since=since)
+            res = run_batch(spark, a.root, guard=not a.no_guard, since=since, fmt=a.format)
         except QualityGateError as err:
             print(err, file=sys.stderr)
             return 1

@@ -2,19 +2,19 @@
 
 All work runs on one session. The raw table is read per mart with only the
 columns that mart needs (Parquet pruning) rather than cached whole: at scale a
-cache of the raw table would not fit, while the marts are small. Quality checks
-of the marts read the written mart tables back.
+cache of the raw table would not fit, while the marts are small. Each mart is
+computed once, checked against its write contract, cast to its stored types and
+only then written; a mart without rows replaces the stored one too (an alert
+that no longer holds must go). Without any input events nothing is written.
+Quality checks of the marts read the written mart tables back; a table that
+can't be read fails its checks.
 
 The day-grained marts (settlement, performance, funnel) are stored partitioned
-by ``report_month``. With ``since`` only the months from ``since`` on are
-recomputed, from the events of those months (pruned by the scan), and only
-those partitions are replaced: a daily run reads days, not the whole history.
-Choose ``since`` no later than the oldest day whose rows can still change:
-the funnel counts a transaction's later captures, settlements and refunds
-with its authorization day, so ``since`` must reach back by the longest
-lifecycle lag (and any late delivery) before the newest day. The result is
-then the same as a full recompute. Alerts always read the whole history (two
-columns).
+by ``report_month``. With ``since`` only changed months are recomputed and
+replaced: the months from ``since`` on and, for the funnel (which counts a
+transaction's later events with its authorization day), every month that holds
+an authorization of a transaction with an event since then. The result is the
+same as a full recompute. Alerts always read the whole history (two columns).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from settlekit.operators import marts, quality, reports
 from settlekit.plans.catalogue import QUALITY_CHECKS
 from settlekit.schemas import STALE_GUARD_HOURS
-from settlekit.sinks.contracts import check_contract
+from settlekit.sinks.contracts import enforced
 from settlekit.sinks.tables import stamp, write_table
 from settlekit.sources.tables import read_table
 
@@ -55,7 +55,6 @@ class BatchResult:
     results: DataFrame      # this run's check rows (with check_timestamp)
     summary: DataFrame      # per status over the last hour of the log
     gate: dict              # counts; raises before returning on a critical failure
-    contracts: DataFrame    # constraint violations per mart
 
 
 def recent_events(events: DataFrame, since: _dt.date) -> DataFrame:
@@ -71,13 +70,51 @@ def recent_events(events: DataFrame, since: _dt.date) -> DataFrame:
     return out
 
 
-def write_mart(mart: DataFrame, name: str, root: str, since: _dt.date | None) -> None:
-    """Full replace, or (with ``since``) replace only the recomputed months."""
-    if name not in MART_DAY:
-        write_table(stamp(mart), name, mode="overwrite", root=root)
+def months_of(events: DataFrame) -> list[str]:
+    """Distinct event months (at most one value per month of history)."""
+    month = F.date_format("event_timestamp", "yyyy-MM")
+    return sorted(r[0] for r in events.select(month.alias("m")).filter("m is not null").distinct().collect())
+
+
+def funnel_input(events: DataFrame, since: _dt.date) -> tuple[DataFrame, list[str]]:
+    """Events that the changed funnel months need, and those months.
+
+    Changed transactions are those with an event since; the months of their
+    authorizations change, and a month's rows need all events of every
+    transaction authorized in it.
+    """
+    auth = F.col("event_type") == marts.AUTH
+    changed = recent_events(events, since).select("psp_reference").distinct()
+    months = months_of(events.filter(auth).join(changed, "psp_reference", "left_semi"))
+    in_months = F.date_format("event_timestamp", "yyyy-MM").isin(months)
+    wanted = events.filter(auth & in_months).select("psp_reference").distinct()
+    rows = events.join(wanted, "psp_reference", "left_semi")
+    return rows.filter(~auth | in_months), months
+
+
+def compute_mart(events: DataFrame, name: str, since: _dt.date | None) -> DataFrame:
+    """The mart, or with ``since`` its changed months."""
+    if since is None or name not in MART_DAY:
+        return MARTS[name](events)
+    if name == "analytics.conversion_funnel":
+        return MARTS[name](funnel_input(events, since)[0])
+    return MARTS[name](recent_events(events, since))
+
+
+def write_mart(mart: DataFrame, name: str, root: str, since: _dt.date | None, *, fmt: str = "parquet",
+               jdbc: dict | None = None) -> None:
+    """Check, cast and write a mart: full replace, or (with ``since``) replace only the recomputed months."""
+    mart = enforced(mart, name)
+    if name not in MART_DAY or fmt != "parquet":
+        if since is not None and name in MART_DAY:
+            raise ValueError("since needs month-partitioned Parquet tables")
+        write_table(stamp(mart), name, mode="overwrite", root=root, fmt=fmt, jdbc=jdbc)
         return
     out = stamp(mart).withColumn(PART_COL, F.date_format(MART_DAY[name], "yyyy-MM"))
-    w = out.write.mode("overwrite").partitionBy(PART_COL)
+    w = out.write.mode("overwrite")
+    if since is not None or not mart.isEmpty():
+        w = w.partitionBy(PART_COL)
+    # else one file without rows keeps the table readable (partitions would leave none)
     if since is not None:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(f"{root.rstrip('/')}/{name}")
@@ -85,41 +122,34 @@ def write_mart(mart: DataFrame, name: str, root: str, since: _dt.date | None) ->
 
 def run_batch(spark: SparkSession, root: str, *, events: DataFrame | None = None,
               as_of: _dt.datetime | None = None, guard: bool = True,
-              enforce_gate: bool = True, since: _dt.date | None = None) -> BatchResult:
-    """Compute, check and write the marts under ``root`` (Parquet tables).
+              enforce_gate: bool = True, since: _dt.date | None = None, fmt: str = "parquet",
+              jdbc: dict | None = None) -> BatchResult:
+    """Compute, check and write the marts under ``root`` (Parquet tables, or JDBC with ``fmt``).
 
-    ``events`` defaults to the stored raw table at ``root``. ``as_of`` fixes
-    "now" for freshness and the run timestamp (default: the current time).
-    ``since`` recomputes the day-grained marts from that month on only.
+    ``events`` defaults to the stored raw table. ``as_of`` fixes "now" for
+    freshness and the run timestamp (default: the current time). ``since``
+    recomputes the changed months of the day-grained marts only.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    stored = {"root": root, "fmt": fmt, "jdbc": jdbc}
     if events is None:
-        events = read_table(spark, RAW, root=root)
+        events = read_table(spark, RAW, **stored)
     run_ts = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     if guard:
         quality.stale_data_guard(events, max_age_hours=STALE_GUARD_HOURS, as_of=run_ts)
 
-    contracts = None
-    recent = events if since is None else recent_events(events, since)
-    for name, transform in MARTS.items():
-        mart = transform(recent if name in MART_DAY else events)
-        if mart.isEmpty():
-            continue  # keep the previous content, as the empty-input guard did
-        write_mart(mart, name, root, since)
-        c = check_contract(read_table(spark, name, root=root), name)
-        contracts = c if contracts is None else contracts.unionByName(c)
-
-    tables = {RAW: events}
-    for name in MARTS:
-        try:
-            tables[name] = read_table(spark, name, root=root)
-        except Exception:  # noqa: BLE001 - a mart never written yet has no checks to run
-            continue
-    catalogue = {t: cs for t, cs in QUALITY_CHECKS.items() if t in tables}
-    results = quality.with_check_timestamp(quality.run_suite(tables, catalogue, as_of=run_ts), run_ts)
-    write_table(results, LOG, mode="append", root=root)
-    log = read_table(spark, LOG, root=root)
+    if not events.isEmpty():  # no input at all: keep the previous content
+        for name in MARTS:
+            write_mart(compute_mart(events, name, since), name, root, since, fmt=fmt, jdbc=jdbc)
+
+    def read(name: str) -> DataFrame:
+        return events if name == RAW else read_table(spark, name, **stored)
+
+    results = quality.with_check_timestamp(
+        quality.run_stored_suite(spark, read, QUALITY_CHECKS, as_of=run_ts), run_ts)
+    write_table(results, LOG, mode="append", root=root, fmt=fmt, jdbc=jdbc)
+    log = read_table(spark, LOG, **stored)
     summary = reports.quality_summary(log, as_of=run_ts)
     written = log.filter(F.col("check_timestamp") == F.lit(run_ts.isoformat(sep=" ")).cast("timestamp"))
     counts = quality.gate(written) if enforce_gate else {}
-    return BatchResult(written, summary, counts, contracts)
+    return BatchResult(written, summary, counts)

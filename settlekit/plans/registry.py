@@ -10,8 +10,8 @@ from settlekit.functions.time import parse_event_time
 import datetime as _dt
 
 from settlekit.operators import ingest, marts, quality, reports
-from settlekit.plans.catalogue import EVENTS_CHECKS, QUALITY_CHECKS, QUERY_AS_OF
-from settlekit.schemas import EVENT_FIELDS, MONEY, PAYMENT_EVENT_COLUMNS
+from settlekit.plans.catalogue import ERROR_CHECKS, EVENTS_CHECKS, QUALITY_CHECKS, QUERY_AS_OF
+from settlekit.schemas import EVENT_FIELDS, MONEY, PAYMENT_EVENT_COLUMNS, PAYMENT_EVENT_JSON_SCHEMA
 from settlekit.session import scratch_path, shared_dir, stage_table
 from settlekit.sources.fixtures import payment_events, raw_deliveries
 from settlekit.sources.tables import read_given
@@ -78,8 +78,23 @@ def ingest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.dedup_events(ingest.valid_events(_annotated(spark, sf_dir)))
 
 
+def _dead_letters(rejected: DataFrame) -> DataFrame:
+    """Id, reasons and fields of the stored payload, read back from its JSON."""
+    payload = F.from_json("raw_payload", PAYMENT_EVENT_JSON_SCHEMA)
+    return rejected.withColumn("p", payload).select(
+        "event_id", ingest.REASON, "p.psp_reference", "p.event_type", "p.currency", "p.amount",
+        parse_event_time("p.event_timestamp").alias("event_timestamp"))
+
+
 def ingest_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.rejected_events(_annotated(spark, sf_dir)).select("event_id", ingest.REASON)
+    return _dead_letters(ingest.rejected_events(_annotated(spark, sf_dir)))
+
+
+def ingest_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons of every message in strict mode, with bad times, NaN and amounts out of range delivered too."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    parsed = ingest.parse_messages(raw_deliveries(spark, sf_dir, strict=True))
+    return ingest.annotate(parsed, strict_time=True).select("event_id", "psp_reference", ingest.REASON)
 
 
 def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,13 +116,21 @@ def upsert_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_root(spark: SparkSession, sf_dir: str) -> str:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     root = scratch_path(spark, "stream")
-    # four message files drained two per trigger: duplicates may meet in one
-    # batch (dedup) or in two (insert-if-absent)
-    raw_deliveries(spark, sf_dir).repartition(4).write.text(f"{root}/inbox")
-    run_available_now(spark, f"{root}/inbox", root, max_files=2)
+    files = _inbox(spark, sf_dir, f"{root}/inbox")
+    # drained in two batches: duplicates may meet in one (dedup) or in both (insert-if-absent)
+    run_available_now(spark, f"{root}/inbox", root, max_files=max(1, -(-files // 2)))
     return root
 
 
+INBOX_RECORDS = 250_000  # messages in a file at most
+
+
+def _inbox(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """Write the delivered messages as files whose number follows the data; returns it."""
+    (raw_deliveries(spark, sf_dir).hint("rebalance").write.option("maxRecordsPerFile", INBOX_RECORDS).text(path))
+    return len(spark.read.text(path).inputFiles())
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stream_root(spark, sf_dir)
     return spark.read.parquet(f"{root}/payment_events").select(*PAYMENT_EVENT_COLUMNS)
@@ -115,28 +138,45 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stream_root(spark, sf_dir)
-    return spark.read.parquet(f"{root}/rejected_events").select("event_id", ingest.REASON)
+    return _dead_letters(spark.read.parquet(f"{root}/rejected_events"))
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part of the messages on one checkpoint, then all of them on a fresh one, into the same tables."""
+    root = scratch_path(spark, "stream")
+    files = _inbox(spark, sf_dir, f"{root}/inbox")
+    spark.read.text(f"{root}/inbox").filter(F.xxhash64("value") > 0).write.text(f"{root}/part")
+    run_available_now(spark, f"{root}/part", root, max_files=1000, checkpoint=f"{root}/_first")
+    run_available_now(spark, f"{root}/inbox", root, max_files=max(1, -(-files // 2)), checkpoint=f"{root}/_second")
+    return spark.read.parquet(f"{root}/payment_events").select(*PAYMENT_EVENT_COLUMNS)
 
 
 # --- quality ----------------------------------------------------------------
 
 
-def quality_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Tables the suite can check or reference (all lazy; only used ones run).
+GIVEN = {"events", "customer", "supplier"}  # given tables that checks name
+
+
+def quality_tables(spark: SparkSession, sf_dir: str, catalogue: dict[str, list[dict]]) -> dict[str, DataFrame]:
+    """The tables that the catalogue checks or refers to.
 
-    The derived events are read by many checks and marts: staged once as a
-    Parquet table, as the stored raw table would be.
+    Where payment tables are among them, the derived events, which many checks
+    and marts read, are staged once as a Parquet table, as the stored raw table
+    would be.
     """
-    pe = stage_table(_events(spark, sf_dir), "payment_events")
-    return {
-        "raw.payment_events": pe,
-        "analytics.merchant_daily_settlement": marts.merchant_settlement(pe),
-        "analytics.payment_method_performance": marts.payment_method_performance(pe),
-        "analytics.conversion_funnel": marts.conversion_funnel(pe),
-        "events": read_given(spark, sf_dir, "events"),
-        "customer": read_given(spark, sf_dir, "customer"),
-        "supplier": read_given(spark, sf_dir, "supplier"),
-    }
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    needed = set(catalogue) | {c["reference_table"] for cs in catalogue.values() for c in cs if "reference_table" in c}
+    out = {n: read_given(spark, sf_dir, n) for n in needed & GIVEN}
+    if any("." in n for n in needed):
+        pe = stage_table(_events(spark, sf_dir), "payment_events")
+        derived = {
+            "raw.payment_events": lambda: pe,
+            "analytics.merchant_daily_settlement": lambda: marts.merchant_settlement(pe),
+            "analytics.payment_method_performance": lambda: marts.payment_method_performance(pe),
+            "analytics.conversion_funnel": lambda: marts.conversion_funnel(pe),
+        }
+        out |= {n: derived[n]() for n in needed if n in derived}
+    return out
 
 
 def _checks_of_type(check_type: str) -> dict[str, list[dict]]:
@@ -150,7 +190,8 @@ def _checks_of_type(check_type: str) -> dict[str, list[dict]]:
 
 def _dq(check_type: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        res = quality.run_suite(quality_tables(spark, sf_dir), _checks_of_type(check_type), as_of=QUERY_AS_OF)
+        checks = _checks_of_type(check_type)
+        res = quality.run_suite(quality_tables(spark, sf_dir, checks), checks, as_of=QUERY_AS_OF)
         return res.drop("details")
 
     run.__name__ = f"dq_{check_type}"
@@ -159,10 +200,16 @@ def _dq(check_type: str):
 
 def quality_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole catalogue over the payment events and three marts."""
-    res = quality.run_suite(quality_tables(spark, sf_dir), QUALITY_CHECKS, as_of=QUERY_AS_OF)
+    res = quality.run_suite(quality_tables(spark, sf_dir, QUALITY_CHECKS), QUALITY_CHECKS, as_of=QUERY_AS_OF)
     return res.drop("details")
 
 
+def dq_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks that can't run (unknown column, text where numbers or times are needed) among good ones."""
+    checks = {"events": ERROR_CHECKS}
+    return quality.run_suite(quality_tables(spark, sf_dir, checks), checks, as_of=QUERY_AS_OF).drop("details")
+
+
 # --- reports ----------------------------------------------------------------
 
 # Two runs in the quality log: the raw table three hours earlier, then the
@@ -172,7 +219,7 @@ RUN_B = QUERY_AS_OF
 
 
 def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = quality_tables(spark, sf_dir)
+    tables = quality_tables(spark, sf_dir, QUALITY_CHECKS)
     raw_only = {"raw.payment_events": QUALITY_CHECKS["raw.payment_events"]}
     a = quality.with_check_timestamp(quality.run_suite(tables, raw_only, as_of=RUN_A), RUN_A)
     b = quality.with_check_timestamp(quality.run_suite(tables, QUALITY_CHECKS, as_of=RUN_B), RUN_B)
@@ -214,6 +261,51 @@ def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.quality_summary(quality_log(spark, sf_dir), as_of=RUN_B)
 
 
+# --- stored marts -----------------------------------------------------------
+
+
+def _marts_root(spark: SparkSession) -> str:
+    return scratch_path(spark, "marts")
+
+
+def alerts_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored alerts after a run whose thresholds no merchant passes: the earlier alerts are gone."""
+    from settlekit.plans.pipeline import write_mart
+    from settlekit.sources.tables import read_table
+
+    name, root, pe = "analytics.chargeback_alerts", _marts_root(spark), _events(spark, sf_dir)
+    write_mart(marts.chargeback_alerts(pe), name, root, None)
+    write_mart(marts.chargeback_alerts(pe, 9.0, 9.0, 9.0), name, root, None)
+    return read_table(spark, name, root=root).select("alert_date", "merchant_id", "chargeback_count", "severity")
+
+
+def mart_tables_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settlement mart as stored: money DECIMAL(15,2), ratio DECIMAL(5,4)."""
+    from settlekit.plans.pipeline import write_mart
+    from settlekit.sources.tables import read_table
+
+    name, root = "analytics.merchant_daily_settlement", _marts_root(spark)
+    write_mart(marts.merchant_settlement(_events(spark, sf_dir)), name, root, None)
+    return read_table(spark, name, root=root).select(*marts.SETTLEMENT_COLUMNS)
+
+
+def gate_missing_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored suite over cancellations only: an empty mart and one that was never written fail their checks."""
+    from settlekit.plans.pipeline import write_mart
+    from settlekit.sources.tables import read_table
+
+    root = _marts_root(spark)
+    pe = stage_table(_events(spark, sf_dir).filter(F.col("event_type") == "CANCEL"), "cancels")
+    for name, mart in (("analytics.merchant_daily_settlement", marts.merchant_settlement(pe)),
+                       ("analytics.payment_method_performance", marts.payment_method_performance(pe))):
+        write_mart(mart, name, root, None)
+
+    def read(name):
+        return pe if name == "raw.payment_events" else read_table(spark, name, root=root)
+
+    return quality.run_stored_suite(spark, read, QUALITY_CHECKS, as_of=QUERY_AS_OF).drop("details")
+
+
 # --- write contracts --------------------------------------------------------
 
 
@@ -251,7 +343,9 @@ QUERIES = {
     "ingest_rejected": ingest_rejected,
     "dedup_events": dedup_events,
     "upsert_first_wins": upsert_first_wins,
+    "ingest_strict": ingest_strict,
     "stream_ingest": stream_ingest,
+    "stream_restart": stream_restart,
     "stream_rejected": stream_rejected,
     "dq_not_null": _dq("not_null"),
     "dq_accepted_values": _dq("accepted_values"),
@@ -262,6 +356,7 @@ QUERIES = {
     "dq_statistical_outlier": _dq("statistical_outlier"),
     "dq_row_count": _dq("row_count"),
     "dq_outlier_grouped": _dq("outlier_grouped"),
+    "dq_errors": dq_errors,
     "quality_run": quality_run,
     "top_settlement": top_settlement,
     "auth_rate_series": auth_rate_series,
@@ -272,4 +367,7 @@ QUERIES = {
     "quality_pass_rate": quality_pass_rate,
     "quality_summary": quality_summary,
     "contract_violations": contract_violations,
+    "alerts_none": alerts_none,
+    "mart_tables_typed": mart_tables_typed,
+    "gate_missing_mart": gate_missing_mart,
 }

@@ -1,5 +1,6 @@
-"""Write contracts: the constraints a target table enforces, checked in Spark
-before the write, one aggregate per table (plus one grouped count for the key).
+"""Write contracts: the constraints a target table enforces, checked in Spark,
+one aggregate per table (plus one grouped count for the key). ``enforced`` is the
+form jobs write through: it raises before anything is written.
 
 With ``single_pass`` the counters ride along in the grouped count of the key
 and are summed after it: one pass over ``df`` instead of two. That is the form
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settlekit.schemas import CONTRACTS
+from settlekit.session import stage_table
 
 VIOLATION_COLUMNS = ["table_name", "constraint_name", "column_name", "violations"]
 
@@ -67,6 +69,22 @@ def check_contract(df: DataFrame, table: str, spec: dict | None = None, *,
     return out
 
 
+def stored_types(df: DataFrame, table: str) -> DataFrame:
+    """The columns cast to the stored decimals (values that don't fit were refused by ``enforced``)."""
+    casts = {c: F.col(c).cast(f"decimal({p},{s})") for c, (p, s) in CONTRACTS[table]["decimal"].items() if c in df.columns}
+    return df.withColumns(casts) if casts else df
+
+
+def enforced(df: DataFrame, table: str) -> DataFrame:
+    """``df`` staged once, checked against the table's contract, and cast to its stored types.
+
+    Raises ``ValueError`` when any row violates the contract.
+    """
+    staged = stage_table(df, "contract")
+    assert_contract(staged, table)
+    return stored_types(staged, table)
+
+
 def assert_contract(df: DataFrame, table: str, spec: dict | None = None) -> None:
     """Raise before writing when any constraint would reject rows."""
     bad = check_contract(df, table, spec).filter(F.col("violations") > 0).collect()

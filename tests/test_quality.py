@@ -131,6 +131,61 @@ def test_fused_checks_are_one_aggregate_pass(table):
               {"check": "row_count"}]
     res = quality.run_table_checks(table, "t", checks, as_of=AS_OF)
     plan = plan_text(res)
-    # one scan of the table, no shuffle beyond the single-partition final aggregate
-    assert plan.count("Scan ExistingRDD") + plan.count("Scan parquet") <= 1 or plan.count("LocalTableScan") <= 1
+    # one scan of the table, one exchange (the final aggregate's single partition)
+    leaves = [x for x in plan.split("\n") if x.lstrip("+- *:").startswith(("Scan", "LocalTableScan"))]
+    tree = plan.split("\n\n")[0]
+    assert sum(tree.count(x) for x in ("LocalTableScan", "Scan ExistingRDD", "Scan parquet")) == 1, leaves
+    assert tree.count("Exchange") == 1
     assert res.count() == 5
+
+
+def test_checks_that_cannot_run_fail_alone(table):
+    r = run(table, [{"check": "range_check", "column": "kind", "min": 0}, {"check": "row_count"},
+                    {"check": "statistical_outlier", "column": "kind"},
+                    {"check": "freshness", "column": "kind", "max_age_hours": 2, "severity": "warning"}])
+    assert r["row_count"]["status"] == "PASS"
+    for t in ("range_check", "statistical_outlier", "freshness"):
+        assert r[f"{t}_error"]["status"] == "FAIL"
+    assert r["freshness_error"]["severity"] == "warning"
+    arrays = run(table.withColumn("s", F.array("v")), [{"check": "range_check", "column": "s", "min": 0},
+                                                       {"check": "row_count"}])
+    assert arrays["range_check_error"]["status"] == "FAIL" and arrays["row_count"]["status"] == "PASS"
+
+
+def test_percentage_is_half_even(spark):
+    df = spark.range(800).select((F.col("id") + 0).alias("id"), F.when(F.col("id") > 0, 1).alias("x"))
+    [r] = quality.run_table_checks(df, "t", [{"check": "not_null", "columns": ["x"]}]).collect()
+    assert (r.records_failed, r.failure_percentage) == (1, 0.12)
+
+
+def test_grouped_outlier_counts_null_groups_and_salts(spark, monkeypatch):
+    rows = [(g, float(v)) for g in ("a", None) for v in [1, 2, 1, 2, 1, 2, 1, 2, 1, 2, 1, 90]]
+    df = spark.createDataFrame(rows, "g string, v double")
+    cfg = {"column": "v", "n_stddev": 2, "group_by": "g"}
+    [r] = quality.check_statistical_outlier(df, cfg, "t").collect()
+    assert (r.records_checked, r.records_failed) == (24, 2)
+    monkeypatch.setattr(quality, "DEFAULT_BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = quality.check_statistical_outlier(df, cfg, "t")
+        [r] = salted.collect()
+        assert (r.records_checked, r.records_failed) == (24, 2)
+        assert "_salt" in plan_text(salted)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unreadable_table_fails_its_checks(spark, table):
+    def read(name):
+        if name == "gone":
+            raise FileNotFoundError(name)
+        return table
+
+    res = quality.run_stored_suite(spark, read, {"here": [{"check": "row_count"}],
+                                                 "gone": [{"check": "row_count"}, {"check": "freshness", "column": "ts",
+                                                                                   "max_age_hours": 1}]})
+    got = {(r.table_name, r.check_name): (r.status, r.severity) for r in res.collect()}
+    assert got == {("here", "row_count"): ("PASS", "critical"), ("gone", "row_count_error"): ("FAIL", "critical"),
+                   ("gone", "freshness_error"): ("FAIL", "warning")}
+    with pytest.raises(quality.QualityGateError):
+        quality.gate(res)

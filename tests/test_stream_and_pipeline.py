@@ -33,7 +33,7 @@ def inbox(spark):
 def test_stream_equals_batch_and_restart_adds_nothing(spark, inbox, tmpdir_path):
     valid_path, rejected_path = run_available_now(spark, f"{inbox}/inbox", tmpdir_path, max_files=1)
     streamed = spark.read.parquet(valid_path)
-    batches = streamed.select("batch_id").distinct().count()
+    batches = streamed.select("load_id").distinct().count()
     assert batches >= 2
     batch = ingest.dedup_events(ingest.valid_events(
         ingest.annotate(ingest.parse_messages(raw_deliveries(spark, SF_SMALL)))))
@@ -68,7 +68,7 @@ def test_replaying_a_batch_is_idempotent(spark, tmpdir_path):
 
 
 def test_stream_source_text_and_trigger(spark, inbox, tmpdir_path):
-    src = read_stream(spark, fmt="text", path=f"{inbox}/inbox", max_per_trigger=2)
+    src = read_stream(spark, fmt="text", path=f"{inbox}/inbox", max_files=2)
     assert src.isStreaming and src.columns == ["value"]
     q = start_ingest(src, IngestSink(f"{tmpdir_path}/v", f"{tmpdir_path}/r"), f"{tmpdir_path}/ck",
                      available_now=True)
@@ -90,7 +90,8 @@ def test_run_batch_writes_marts_log_and_gate(spark, tmpdir_path):
     assert res.gate["critical"] == 0
     assert res.results.count() == 30
     assert {r["status"] for r in res.summary.collect()} <= {"PASS", "WARN", "FAIL"}
-    assert res.contracts.filter(F.col("constraint_name") == "primary_key").agg(F.sum("violations")).first()[0] == 0
+    assert dict(read_table(spark, "analytics.merchant_daily_settlement", root=tmpdir_path).dtypes)[
+        "chargeback_ratio"] == "decimal(5,4)"
     # a second run appends to the log; "latest run" reports still see one run
     res2 = run_batch(spark, tmpdir_path, as_of=latest + dt.timedelta(hours=2))
     assert read_table(spark, "analytics.data_quality_log", root=tmpdir_path).count() == 60
@@ -141,12 +142,76 @@ def test_command_line_jobs(spark, tmpdir_path):
     assert log.filter(F.col("check_name") == "freshness_event_timestamp").first()["status"] == "FAIL"
 
 
-def test_dedup_horizon_prunes_but_still_finds_copies(spark, inbox, tmpdir_path):
-    exact_valid, _ = run_available_now(spark, f"{inbox}/inbox", f"{tmpdir_path}/exact", max_files=1)
-    pruned_valid, _ = run_available_now(spark, f"{inbox}/inbox", f"{tmpdir_path}/pruned", max_files=1,
-                                        dedup_horizon_days=0)
-    assert _rows(spark.read.parquet(pruned_valid)) == _rows(spark.read.parquet(exact_valid))
-    assert "event_month" in spark.read.parquet(pruned_valid).columns
+def _message(event_id, time="2024-01-01T00:00:00.000Z", kind="AUTHORIZATION", psp="p", amount=1.5, currency="EUR"):
+    return ('{"event_id":"%s","psp_reference":"%s","merchant_id":"m","event_type":"%s","amount":%s,"currency":"%s",'
+            '"event_timestamp":"%s","acquirer_response_code":"00","payment_method":"visa","issuer_country":"NL"}' % (event_id, psp, kind, amount, currency, time))
+
+
+def test_fresh_checkpoint_keeps_what_an_earlier_run_stored(spark, tmpdir_path):
+    for run, rows in (("a", [_message("e1"), _message("e2"), "junk"]), ("b", [_message("e2"), _message("e3"), "more junk"])):
+        spark.createDataFrame([(m,) for m in rows], "value string").coalesce(1).write.text(f"{tmpdir_path}/in_{run}")
+        run_available_now(spark, f"{tmpdir_path}/in_{run}", tmpdir_path, checkpoint=f"{tmpdir_path}/ck_{run}")
+    valid = spark.read.parquet(f"{tmpdir_path}/payment_events")
+    assert sorted(r.event_id for r in valid.collect()) == ["e1", "e2", "e3"]
+    assert spark.read.parquet(f"{tmpdir_path}/rejected_events").count() == 2
+
+
+@pytest.mark.parametrize("time", ["2024-03-31T00:00:00.000Z", "2023-10-03T00:00:00.000Z"])
+def test_copy_dated_ninety_days_away_is_stored_once(spark, tmpdir_path, time):
+    sink = IngestSink(f"{tmpdir_path}/v", f"{tmpdir_path}/r")
+    sink(spark.createDataFrame([(_message("e1"),)], "value string"), 0)
+    sink(spark.createDataFrame([(_message("e1", time),)], "value string"), 1)
+    assert spark.read.parquet(sink.valid_path).count() == 1
+
+
+def test_no_money_vanishes(spark):
+    rows = [_message("a", amount="1e14"), _message("b", amount="9e12", currency="GBP"), _message("c", amount="0.001"),
+            _message("d", amount="NaN"), _message("e", amount="9999999999999.99"), _message("f", amount="0.01")]
+    annotated = ingest.annotate(ingest.parse_messages(spark.createDataFrame([(r,) for r in rows], "value string")))
+    valid = ingest.valid_events(annotated).collect()
+    assert sorted(r.event_id for r in valid) == ["e", "f"]
+    assert all(r.amount > 0 and r.amount_eur > 0 for r in valid)
+    assert {r.rejection_reason for r in ingest.rejected_events(annotated).collect()} == {"amount_out_of_range"}
+
+
+def test_since_recomputes_months_of_changed_transactions(spark, tmpdir_path):
+    rows = [_message("a1", "2024-01-31T10:00:00.000Z", psp="p1"), _message("a2", "2024-01-05T10:00:00.000Z", psp="p2"),
+            _message("c1", "2024-02-03T10:00:00.000Z", "CAPTURE", psp="p1")]
+    parse = lambda r: ingest.valid_events(ingest.annotate(ingest.parse_messages(
+        spark.createDataFrame([(x,) for x in r], "value string"))))
+    as_of = dt.datetime(2024, 2, 3, 11)
+    run_batch(spark, f"{tmpdir_path}/inc", events=parse(rows[:2]), as_of=as_of, guard=False, enforce_gate=False)
+    for root, since in ((f"{tmpdir_path}/inc", dt.date(2024, 2, 3)), (f"{tmpdir_path}/full", None)):
+        run_batch(spark, root, events=parse(rows), as_of=as_of, enforce_gate=False, since=since)
+    a, b = (sorted(tuple(r) for r in read_table(spark, "analytics.conversion_funnel", root=f"{tmpdir_path}/{x}")
+                   .drop("computed_at").collect()) for x in ("inc", "full"))
+    assert a == b and sum(r[3] for r in a) == 1
+
+
+def test_contract_violation_stops_the_write(spark, tmpdir_path):
+    from settlekit.plans.pipeline import write_mart
+
+    rows = spark.createDataFrame([(dt.date(2024, 1, 1), "m" * 60)], "report_date date, merchant_id string")
+    with pytest.raises(ValueError):
+        write_mart(rows, "analytics.conversion_funnel", tmpdir_path, None)
+    assert not os.path.exists(f"{tmpdir_path}/analytics.conversion_funnel")
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from settlekit.session import shared_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(Conf)
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Cluster)
 
 
 def test_incremental_batch_equals_full_recompute(spark, tmpdir_path):
