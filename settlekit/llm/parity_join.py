@@ -9,7 +9,11 @@ D = (q - p) / (q + p) * (|A| + |B|) shingles at most; with m = D + 1 + w segment
 at least w + 1 are equal, and documents that share a segment (its place, bits and
 number of shingles) meet in a bucket: the pigeonhole join. Segments with no or
 few shingles say little and are left out unless a sketch has more than w of
-them; then all of its segments are emitted, so no link is lost.
+them; then all of its segments are emitted, so no link is lost. As linked sets
+share T = w + 1 - (left out) keys at least, each set leaves out its T - 1 keys
+with the largest buckets: of the keys that two linked sets share, the one with
+the smallest bucket is still kept by both (prefix filtering). Passages that many
+documents share make large buckets and go this way.
 
 Bands are geometric. Sets of one band meet under the band's own label, sets of
 adjacent bands under a label between them; the band ratio exceeds q/p, so
@@ -47,6 +51,7 @@ from settlekit.operators.joins import join_small_side
 from settlekit.session import stage_table
 
 STAR_ROUNDS = 6
+SPARE = 0.3                # spare segments for each one that the pigeonhole needs: more keys, smaller buckets
 SMALL_ROWS = 1_000_000     # (long, long) rows that may be broadcast: 16 MB
 
 
@@ -77,7 +82,7 @@ class Bands:
             top = low[b + 1] - 1
             for larger in (top, top * rule.q // rule.p):
                 d = (rule.q - rule.p) * (top + larger) // (rule.q + rule.p)
-                spare = 2 if d < 8 else 2 + math.ceil(0.06 * (d + 1))
+                spare = 2 if d < 8 else 2 + math.ceil(SPARE * (d + 1))
                 shape.append((d + 1 + spare if d else 0, spare, 0 if d < 8 else 1))
         # segments, spare segments, shingles up to which a segment is weak; d = 0 links equal sets alone
         self.segments, self.spare, self.weak = (np.array(x, np.int64) for x in zip(*shape))
@@ -243,13 +248,15 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def met_rows(rows: DataFrame) -> DataFrame:
-    """key, f1 of sets that share enough keys with others to have a link at all."""
+    """key, f1 of the keys that sets are compared on after prefix filtering."""
     whole = Window.partitionBy("key")
     met = stage_table(rows.withColumn("least", F.min("f1").over(whole)).withColumn("most", F.max("f1").over(whole))
                       .filter("least <> most").select("key", "f1", "tag").distinct(), "parity-met")
-    able = (met.groupBy("f1", "tag").agg(F.count("*").alias("n")).filter("n >= pmod(tag, 4096)")
-            .select("f1", "tag"))
-    return met.join(able, ["f1", "tag"]).select("key", "f1").distinct()
+    size = met.groupBy("key").agg(F.count("*").alias("size"))
+    own = Window.partitionBy("f1", "tag")      # the keys of one set under one label: bounded by its sketch
+    ranked = (met.join(size, "key").withColumn("n", F.count("*").over(own))
+              .withColumn("place", F.row_number().over(own.orderBy("size", "key"))))
+    return ranked.filter("place <= n - pmod(tag, 4096) + 1").select("key", "f1").distinct()
 
 
 def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame | None:
