@@ -10,7 +10,9 @@ The sample is chosen by content (the position with the smallest rank among the
 their position; a cover by position (i mod v) can't, and would keep every suffix
 in the shuffle.
 
-1. Documents are dealt to blocks; each block sends the ranks (hashes) of its
+0. A text that a smaller document has as a whole loses all its bytes (where it
+   has ``length`` of them); such copies, however many, take no further part.
+1. The other documents are dealt to blocks; each block sends the ranks (hashes) of its
    distinct sample grams to their bucket, which answers unique, shared or hot.
 2. For shared samples only, the block sends the bytes of the suffixes that the
    sample stands for (at most 2 * length - GRAM bytes). Within a block equal stretches
@@ -42,10 +44,13 @@ from pyspark.sql import functions as F
 
 from settlekit.llm import scan
 from settlekit.llm.tokens import ragged
+from settlekit.operators.joins import join_small_side
+from settlekit.session import stage_table
 
 LENGTH = 50
 GRAM = 24
-HOT_BLOCKS = 64           # a gram in more blocks than this is hot
+HOT_BLOCKS = 512          # a gram in more blocks than this is hot
+SMALL_ROWS = 1_000_000    # ids of whole copies that may be broadcast: 8 MB
 SLICE_BYTES = 1 << 19     # text scanned at once: a task's arrays take some 80 times as much
 BLOCKS = 3                # blocks (and buckets) for each shuffle partition: a task holds one of them
 LAST_ID = (1 << 63) - 1   # stands for a null doc_id
@@ -313,9 +318,10 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (and the kept bytes)."""
     spark = docs.sparkSession
     parts = parts or BLOCKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    single, copies = _split_copies(docs)
     block_of = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
-    dealt = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-             .withColumn("block", block_of).repartition(parts, "block"))
+    dealt = single.withColumn("block", block_of).repartition(parts, "block")
 
     def load(table: pa.Table) -> Block:
         ids = table.column("doc_id").combine_chunks()
@@ -394,4 +400,30 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
     rows = by_block(got).applyInArrow(contexts, "bucket int, rows binary")
     found = rows.groupBy("bucket").applyInArrow(marks, "block int, own boolean, rows binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return by_block(found).applyInArrow(cut, schema + ", kept binary" * with_bytes)
+    out = by_block(found).applyInArrow(cut, schema + ", kept binary" * with_bytes)
+    return out.unionByName(_emptied(copies, length, with_bytes))
+
+
+def _split_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose text no smaller document has as a whole, and the others."""
+    keys = docs.select("doc_id", F.sha2("text", 256).alias("sha")).filter("sha is not null")
+    first = keys.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    later = keys.join(first, "sha").filter("first is not null and (doc_id is null or doc_id > first)")
+    # rows that share an id but not the text are told apart by the digest
+    found = stage_table(later.select(F.col("doc_id").alias("copy_id"), F.col("sha").alias("copy_sha")).distinct(),
+                        "suffix-copies")
+    on = F.col("doc_id").eqNullSafe(F.col("copy_id")) & (F.sha2("text", 256) == F.col("copy_sha"))
+    marked = join_small_side(docs, found, on, "left", max_rows=SMALL_ROWS)
+    one = marked.filter("copy_sha is null").select("doc_id", "text")
+    return one, marked.filter("copy_sha is not null").select("doc_id", "text")
+
+
+def _emptied(copies: DataFrame, length: int, with_bytes: bool) -> DataFrame:
+    """Answers for whole copies: everything goes, or nothing of a text shorter than ``length``."""
+    n = F.octet_length("text").cast("long")
+    long = n >= length
+    kept = F.when(long, F.lit(b"")).otherwise(F.col("text"))
+    rows = copies.select("doc_id", n.alias("n_bytes"), F.when(long, n).otherwise(F.lit(0)).cast("long").alias("n_removed"),
+                         long.cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"),
+                         *([kept.alias("kept")] if with_bytes else []))
+    return rows
