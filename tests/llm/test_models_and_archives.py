@@ -93,6 +93,8 @@ def test_non_negative_risk_keeps_to_the_marking_words():
     positive = [bad() for _ in range(150)]
     unlabelled = [bad() if rng.random() < 0.15 else draw() for _ in range(1500)]
     model = toxic_pu.fit(positive, unlabelled, 0.15)
+    known = [bad() for _ in range(60)] + [draw() for _ in range(340)]
+    model = toxic_pu.calibrate(model, known, np.array([1.0] * 60 + [0.0] * 340))
     raw = lambda h: model.raw(h, np.zeros(len(h), np.int64), 1)[0]
     assert np.mean([raw(bad()) > 0 for _ in range(200)]) > 0.9
     assert np.mean([raw(draw()) < 0 for _ in range(200)]) > 0.95
