@@ -33,18 +33,23 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, max_rounds: int = 60, parts: int | None = None) -> DataFrame:
     """(node, component) of every node that has a link; the component is its smallest node.
 
     ``links`` has long columns a and b in any order; loops and repeats don't matter.
+    ``parts`` bounds the files (and last tasks) of a round where the caller knows
+    how few links there are.
     """
-    edges = stage_table(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                        .distinct(), "cc")
+    def few(df):
+        return df if parts is None else df.coalesce(parts)
+
+    edges = stage_table(few(links.filter("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()), "cc")
     seen = _summary(edges)
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        edges = stage_table(_star(_star(edges, True), False), "cc")
+        edges = stage_table(few(_star(_star(edges, True), False)), "cc")
         now = _summary(edges)
         if now == seen:
             break

@@ -23,9 +23,9 @@ Copies: documents with equal sets (count and 128-bit fingerprint) are one class
 and never paired. Buckets never emit all pairs: in each star round every class
 is paired with one hub only, the one it shares most buckets with among classes
 of another component; pairs are verified on the exact sets and components are
-joined. When star rounds stop finding links, the pairs that share a bucket and
-still lie in different components are verified too, so the components are those
-of all links.
+joined. When star rounds find few links any more, the pairs that share a bucket
+and still lie in different components are verified too, so the components are
+those of all links.
 
 Defined results: null and empty texts, and texts without words, have an empty
 set and link with nothing. A null doc_id gets n_shingles and a null component
@@ -51,6 +51,7 @@ from settlekit.operators.joins import join_small_side
 from settlekit.session import stage_table
 
 STAR_ROUNDS = 6
+WORTH = 0.1                # star rounds end when fewer of the tested pairs are links
 SPARE = 0.3                # spare segments for each one that the pigeonhole needs: more keys, smaller buckets
 SMALL_ROWS = 1_000_000     # (long, long) rows that may be broadcast: 16 MB
 
@@ -268,6 +269,9 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
     nodes = stage_table(live.select("node").distinct(), "parity-nodes")
     if nodes.isEmpty():
         return None
+    # small tables are written by few tasks, in proportion to the classes that can have links
+    many = nodes.count()
+    few, some = 8 + many // 100_000, 8 + many // 5_000
     sets = stage_table(set_rows(docs, nodes, rule), "parity-sets")
     labels = nodes.select("node", F.col("node").alias("component"))
     tested = None
@@ -276,25 +280,26 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
         """Buckets' members with their component, of buckets with two components or more."""
         rows = join_small_side(live, labels, "node", max_rows=SMALL_ROWS)
         mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-        return stage_table(rows.join(mixed.select("key"), "key"), "parity-across")
+        return stage_table(rows.join(mixed.select("key"), "key").coalesce(some), "parity-across")
 
     def settle(pairs):
-        """Verify the pairs (a, b, ca, cb), join their components; whether any was linked."""
+        """Verify the pairs (a, b, ca, cb), join their components; the share of linked pairs."""
         nonlocal tested, labels
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                              F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage_table(pairs, "parity-pairs")
+        pairs = stage_table(pairs.coalesce(some), "parity-pairs")
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        new = stage_table(verified(pairs, sets, rule), "parity-links")
-        if new.isEmpty():
-            return False
-        merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        new = stage_table(verified(pairs, sets, rule).coalesce(some), "parity-links")
+        found = new.count()
+        if not found:
+            return 0.0
+        merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")), parts=few)
         merged = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
         labels = stage_table(join_small_side(labels, merged, "component", "left", max_rows=SMALL_ROWS).select(
-            "node", F.coalesce("to", "component").alias("component")), "parity-labels")
-        return True
+            "node", F.coalesce("to", "component").alias("component")).coalesce(few), "parity-labels")
+        return found / pairs.count()
 
     for turn in range(STAR_ROUNDS):
         members = across()
@@ -304,8 +309,9 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
         near = (members.join(hubs, "key").filter("component <> hub_component")
                 .groupBy("node", "component", "hub", "hub_component").agg(F.count("*").alias("shared")))
         best = near.groupBy("node", "component").agg(F.max(F.struct("shared", "hub", "hub_component")).alias("best"))
-        if not settle(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b"),
-                                  F.col("component").alias("ca"), F.col("best.hub_component").alias("cb"))):
+        share = settle(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b"),
+                                   F.col("component").alias("ca"), F.col("best.hub_component").alias("cb")))
+        if share < WORTH:
             break
     rest = across()
     x = rest.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
