@@ -25,7 +25,9 @@ is paired with one hub only, the one it shares most buckets with among classes
 of another component; pairs are verified on the exact sets and components are
 joined. When star rounds find few links any more, the pairs that share a bucket
 and still lie in different components are verified too, so the components are
-those of all links.
+those of all links; of these, the join itself drops pairs whose sizes or whose
+bit sketches (``BITS`` bits, one toggled per shingle) rule a link out: their
+Hamming distance exceeds the symmetric difference that a link allows.
 
 Defined results: null and empty texts, and texts without words, have an empty
 set and link with nothing. A null doc_id gets n_shingles and a null component
@@ -51,6 +53,8 @@ from settlekit.operators.joins import join_small_side
 from settlekit.session import stage_table
 
 STAR_ROUNDS = 6
+WORDS = 8                  # 64-bit words of a bit sketch
+BITS = 64 * WORDS
 WORTH = 0.1                # star rounds end when fewer of the tested pairs are links
 SPARE = 0.3                # spare segments for each one that the pigeonhole needs: more keys, smaller buckets
 SMALL_ROWS = 1_000_000     # (long, long) rows that may be broadcast: 16 MB
@@ -121,6 +125,13 @@ def fingerprints(h: np.ndarray, doc: np.ndarray, n_docs: int):
     return n, one, two
 
 
+def bit_sketches(h: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+    """int64 (documents, WORDS): each shingle toggles one bit, so two sketches differ in at most |A xor B| bits."""
+    bit = (scan.mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(BITS)).astype(np.int64)
+    odd = (np.bincount(doc * BITS + bit, minlength=n_docs * BITS) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n_docs, BITS), axis=1, bitorder="little").view("<i8")
+
+
 def sketch_keys(h: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands) -> tuple[np.ndarray, ...]:
     """(key, document, tag) of every segment that a document is joined on.
 
@@ -206,8 +217,9 @@ def bucket_rows(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def set_rows(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """node, hashes (sorted uint64) of the documents ``nodes``."""
-    schema = pa.schema([("node", pa.int64()), ("hashes", pa.binary())])
+    """node, n, bit sketch s0 .. and hashes (sorted uint64) of the documents ``nodes``."""
+    bits = [f"s{k}" for k in range(WORDS)]
+    schema = pa.schema([*((c, pa.int64()) for c in ("node", "n", *bits)), ("hashes", pa.binary())])
 
     def run(batches):
         for batch in batches:
@@ -215,10 +227,13 @@ def set_rows(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                 h, doc, count = sets_of(scan.payloads(part.column(1)), rule)
                 ends = np.searchsorted(doc, np.arange(count + 1))
                 rows = [h[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.binary())], schema=schema)
+                s = bit_sketches(h, doc, count)
+                yield pa.RecordBatch.from_arrays([part.column(0), *_longs(np.diff(ends).astype(np.int64)), *_longs(*s.T),
+                                                  pa.array(rows, pa.binary())], schema=schema)
 
     wanted = join_small_side(docs, nodes.select(F.col("node").alias("doc_id")), "doc_id", max_rows=SMALL_ROWS)
-    return wanted.select("doc_id", "text").mapInArrow(run, "node long, hashes binary")
+    return wanted.select("doc_id", "text").mapInArrow(
+        run, ", ".join(f"{c} long" for c in ("node", "n", *bits)) + ", hashes binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -313,10 +328,14 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
                                    F.col("component").alias("ca"), F.col("best.hub_component").alias("cb")))
         if share < WORTH:
             break
-    rest = across()
-    x = rest.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    y = rest.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-    settle(x.join(y, "key").filter("ca < cb"))
+    bits = [f"s{k}" for k in range(WORDS)]
+    rest = join_small_side(across(), sets.select("node", "n", *bits), "node", max_rows=SMALL_ROWS)
+    x, y = (rest.select("key", F.col("node").alias(v), F.col("component").alias(f"c{v}"), F.col("n").alias(f"n{v}"),
+                        *[F.col(c).alias(f"{c}{v}") for c in bits]) for v in ("a", "b"))
+    apart = sum((F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in bits), F.lit(0))
+    may = (F.least("na", "nb") * rule.q >= F.greatest("na", "nb") * rule.p) & (
+        apart * (rule.q + rule.p) <= (F.col("na") + F.col("nb")) * (rule.q - rule.p))
+    settle(x.join(y, "key").filter((F.col("ca") < F.col("cb")) & may).select("a", "b", "ca", "cb"))
     return labels
 
 
