@@ -52,7 +52,7 @@ GRAM = 24
 HOT_BLOCKS = 512          # a gram in more blocks than this is hot
 SMALL_ROWS = 1_000_000    # ids of whole copies that may be broadcast: 8 MB
 SLICE_BYTES = 1 << 19     # text scanned at once: a task's arrays take some 80 times as much
-BLOCKS = 3                # blocks (and buckets) for each shuffle partition: a task holds one of them
+BLOCKS = 2                # blocks (and buckets) for each shuffle partition: a task holds one of them
 LAST_ID = (1 << 63) - 1   # stands for a null doc_id
 
 UNIQUE, SHARED, HOT = 0, 1, 2
