@@ -23,8 +23,8 @@ Copies: documents with equal sets (count and 128-bit fingerprint) are one class
 and never paired. Buckets never emit all pairs: in each star round every class
 is paired with one hub only, the one it shares most buckets with among classes
 of another component; pairs are verified on the exact sets and components are
-joined. When star rounds find few links any more, the pairs that share a bucket
-and still lie in different components are verified too, so the components are
+joined. When a star round finds no link, or after ``STAR_ROUNDS``, the pairs that share
+a bucket and still lie in different components are verified too, so the components are
 those of all links; of these, the join itself drops pairs whose sizes or whose
 bit sketches (``BITS`` bits, one toggled per shingle) rule a link out: their
 Hamming distance exceeds the symmetric difference that a link allows.
@@ -55,7 +55,6 @@ from settlekit.session import stage_table
 STAR_ROUNDS = 6
 WORDS = 8                  # 64-bit words of a bit sketch
 BITS = 64 * WORDS
-WORTH = 0.1                # star rounds end when fewer of the tested pairs are links
 SPARE = 0.3                # spare segments for each one that the pigeonhole needs: more keys, smaller buckets
 SMALL_ROWS = 1_000_000     # (long, long) rows that may be broadcast: 16 MB
 
@@ -298,7 +297,7 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
         return stage_table(rows.join(mixed.select("key"), "key").coalesce(some), "parity-across")
 
     def settle(pairs):
-        """Verify the pairs (a, b, ca, cb), join their components; the share of linked pairs."""
+        """Verify the pairs (a, b, ca, cb), join their components; the number of links."""
         nonlocal tested, labels
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                              F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
@@ -309,12 +308,12 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
         new = stage_table(verified(pairs, sets, rule).coalesce(some), "parity-links")
         found = new.count()
         if not found:
-            return 0.0
+            return 0
         merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")), parts=few)
         merged = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
         labels = stage_table(join_small_side(labels, merged, "component", "left", max_rows=SMALL_ROWS).select(
             "node", F.coalesce("to", "component").alias("component")).coalesce(few), "parity-labels")
-        return found / pairs.count()
+        return found
 
     for turn in range(STAR_ROUNDS):
         members = across()
@@ -324,9 +323,8 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
         near = (members.join(hubs, "key").filter("component <> hub_component")
                 .groupBy("node", "component", "hub", "hub_component").agg(F.count("*").alias("shared")))
         best = near.groupBy("node", "component").agg(F.max(F.struct("shared", "hub", "hub_component")).alias("best"))
-        share = settle(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b"),
-                                   F.col("component").alias("ca"), F.col("best.hub_component").alias("cb")))
-        if share < WORTH:
+        if not settle(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b"),
+                                  F.col("component").alias("ca"), F.col("best.hub_component").alias("cb"))):
             break
     bits = [f"s{k}" for k in range(WORDS)]
     rest = join_small_side(across(), sets.select("node", "n", *bits), "node", max_rows=SMALL_ROWS)
