@@ -188,6 +188,15 @@ def test_latent_decon_in_blocks_of_items(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(k, k % 7) for k in range(21)}
 
 
+def test_latent_decon_long_items(spark):
+    rng = np.random.default_rng(2)
+    make = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 5000, n))
+    items = [(k, make(n)) for k, n in enumerate((300, 180, 65, 30, 900))]
+    rows = [(k, make(77) + " " + t + " " + make(50)) for k, t in items] + [(9, make(2000))]
+    found = latent_decon.find(brute.table(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.lcs) for r in found.collect()} == {(k, k, 1.0) for k in range(5)}
+
+
 def test_common_subsequence():
     def slow(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
