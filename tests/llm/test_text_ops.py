@@ -197,6 +197,30 @@ def test_latent_decon_long_items(spark):
     assert {(r.doc_id, r.item_id, r.lcs) for r in found.collect()} == {(k, k, 1.0) for k in range(5)}
 
 
+def test_latent_decon_rarest_words_replaced(spark):
+    rng = np.random.default_rng(3)
+    common = lambda n: " ".join(f"c{x}" for x in rng.integers(0, 150, n))
+    items, rows = [], [(100 + k, common(90)) for k in range(60)]
+    for k in range(6):
+        words = common(40).split()
+        rare = [f"rare{k}x{x}" for x in range(8)]                # in the corpus once, or nowhere
+        where = rng.permutation(40)[:8]
+        for x, w in zip(where, rare):
+            words[x] = w
+        items.append((k, " ".join(words)))
+        if k % 2:
+            rows.append((200 + k, " ".join(rare) + " " + common(80)))
+        for x in where:
+            words[x] = "else"
+        rows.append((k, common(70) + " " + " ".join(words) + " " + common(70)))
+    found = latent_decon.find(brute.table(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    spans = lambda t: [t[max(a, 0):a + 128] for a in range(-64, len(t), 32)]
+    want = {(d, k) for d, t in rows for k, i in items for s in spans(latent_decon.words_of(t))
+            if latent_decon.common(latent_decon.words_of(i), s) >= 0.75 * 40}
+    assert want >= {(k, k) for k in range(6)}
+    assert {(r.doc_id, r.item_id) for r in found.collect() if r.lcs >= 0.75} == want
+
+
 def test_common_subsequence():
     def slow(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
