@@ -11,6 +11,7 @@ from settlekit.llm import (
     line_runs,
     parity_join,
     quality_trees,
+    site_templates,
     suffix_cover,
     token_files,
     tokens,
@@ -68,6 +69,10 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.read(spark, warc_zstd.write(read(spark, sf_dir, "pages")))
 
 
+def op13_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_templates.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_line_runs": op1_line_runs,
     "op2_token_files": op2_token_files,
@@ -79,6 +84,7 @@ QUERIES = {
     "op8_quality_trees": op8_quality_trees,
     "op9_parity_join": op9_parity_join,
     "op10_warc_zstd": op10_warc_zstd,
+    "op13_site_templates": op13_site_templates,
 }
 
 ORACLE_SQL: dict[str, str] = {
