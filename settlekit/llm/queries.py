@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from settlekit.llm import (
+    conversation_dawg,
     decision_lists,
     hilbert_pack,
     latent_decon,
@@ -13,6 +14,7 @@ from settlekit.llm import (
     quality_trees,
     site_templates,
     suffix_cover,
+    token_align,
     token_files,
     tokens,
     toxic_pu,
@@ -69,6 +71,15 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.read(spark, warc_zstd.write(read(spark, sf_dir, "pages")))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.report(read(spark, sf_dir, "documents"), tokens.vocabulary("byte_bpe_50k.json"),
+                              tokens.vocabulary("piece_bpe_32k.model"))
+
+
+def op12_conversation_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_dawg.report(conversation_dawg.damage(read(spark, sf_dir, "conversations")))
+
+
 def op13_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_templates.extract(read(spark, sf_dir, "pages"))
 
@@ -84,6 +95,8 @@ QUERIES = {
     "op8_quality_trees": op8_quality_trees,
     "op9_parity_join": op9_parity_join,
     "op10_warc_zstd": op10_warc_zstd,
+    "op11_token_align": op11_token_align,
+    "op12_conversation_dawg": op12_conversation_dawg,
     "op13_site_templates": op13_site_templates,
 }
 

@@ -58,6 +58,7 @@ NAMES = frozenset(
     " commentlist consent cookie cookies disqus footer masthead menu menus nav navbar navigation newsletter notice notices"
     " popup promo promos promotion related respond share sharebar sharing sidebar sidebars signup skyscraper social sponsor"
     " sponsored subscribe subscription toolbar widget widgets".split())
+READER = frozenset("comment comments commentlist disqus related respond sidebar widget".split())
 CONTAINERS = frozenset("article center div main section table tbody td tr".split())
 
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
@@ -213,9 +214,12 @@ class Page:
 
 
 def _reader(attrs: dict[str, str]) -> bool:
-    """Whether an element is about reader comments, related items or the like: no article inside counts."""
-    named = set(_NAME.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    return bool(named & {"comment", "comments", "commentlist", "disqus", "related", "respond", "sidebar", "widget"})
+    """Whether an element is about reader comments, related items or the like: no article inside counts.
+
+    The kind must open a name: ``comments-area`` is one, ``has-comments`` is a page that has some.
+    """
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
+    return any(m and m.group() in READER for m in map(_NAME.match, names))
 
 
 def _columns(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:

@@ -17,12 +17,15 @@ COLUMNS = {
     8: ["doc_id", "held_out", "score", "predicted"],
     9: ["doc_id", "n_shingles", "component_id"],
     10: ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
+    11: ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+    12: ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    13: ["page_id", "url", "text", "n_chars"],
 }
 
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
 
 
@@ -37,10 +40,11 @@ def test_query_matches_oracle(spark, name):
     assert found == rows_of([c[0] for c in res.description], res.fetchall())
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if int(n[2:].split("_")[0]) in (6, 7, 8, 10)])
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if int(n[2:].split("_")[0]) in (6, 7, 8, 10, 11, 12, 13)])
 def test_columns_and_whole_tables(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     want = COLUMNS[int(name[2:].split("_")[0])]
     assert df.columns[:len(want)] == want
-    table = "pages" if name.startswith("op10_") else "documents"
-    assert df.count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
+    table, key = {"op10": ("pages", "page_id"), "op12": ("conversations", "conv_id"), "op13": ("pages", "page_id")}.get(
+        name.split("_")[0], ("documents", "doc_id"))
+    assert df.count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").select(key).distinct().count()
