@@ -9,6 +9,8 @@ last bit.
 
 from __future__ import annotations
 
+import re
+
 # ---------------------------------------------------------------------------
 # building blocks
 # ---------------------------------------------------------------------------
@@ -294,6 +296,18 @@ SELECT report_date, merchant_id, authorized_count, captured_count, settled_count
 FROM agg"""
 
 
+# transactions with several captures and authorizations (at other hours, without a method)
+FUNNEL_MULTI = (PE + """,
+pe2 AS (
+  SELECT event_id, psp_reference, merchant_id, event_type, event_timestamp FROM pe
+  UNION ALL
+  SELECT event_id || '_b', psp_reference, merchant_id, event_type, event_timestamp + INTERVAL 200 MINUTE FROM pe
+  WHERE event_type = 'CAPTURE' AND CAST(psp_reference[4:] AS BIGINT) % 3 = 0
+  UNION ALL
+  SELECT event_id || '_b', psp_reference, merchant_id, event_type, event_timestamp + INTERVAL 200 MINUTE FROM pe
+  WHERE event_type = 'AUTHORIZATION' AND CAST(psp_reference[4:] AS BIGINT) % 7 = 0
+)""" + re.sub(r"\bpe\b", "pe2", FUNNEL[len(PE):]))
+
 # ---------------------------------------------------------------------------
 # ingest
 # ---------------------------------------------------------------------------
@@ -367,9 +381,38 @@ UNION ALL
 SELECT NULL, NULL, 'missing_event_id, missing_psp_reference, missing_merchant_id, missing_amount, missing_currency, missing_event_type, missing_event_timestamp'
 """ + _NOT_JSON
 
+# events that pass the rules but not the stored table's constraints (fixed limits of its columns)
+STREAM_CONTRACT = DELIVERED + """,
+sc AS (
+  SELECT copies, rejection_reason,
+    CASE WHEN sid = 0 AND k % 751 = 14 AND event_id IS NOT NULL THEN event_id || repeat('x', 60) ELSE event_id END AS event_id,
+    concat_ws(', ', CASE WHEN sid = 0 AND k % 701 = 7 THEN 'not_null_event_timestamp' END,
+      CASE WHEN sid = 0 AND k % 751 = 14 AND event_id IS NOT NULL THEN 'max_length_50_event_id' END,
+      CASE WHEN sid = 0 AND k % 743 = 13 THEN 'max_length_5_issuer_country' END,
+      CASE WHEN sid = 0 AND k % 739 = 12 THEN 'max_length_100_shopper_reference' END) AS broken
+  FROM dv_reason
+),
+sr AS (SELECT event_id, copies, CASE WHEN rejection_reason <> '' THEN rejection_reason ELSE broken END AS reason FROM sc)
+SELECT event_id, reason, 'stored' AS kind FROM sr WHERE reason = ''
+UNION ALL
+SELECT event_id[:50], reason, 'rejected' FROM sr, range(2) r(i) WHERE r.i < copies AND reason <> ''
+UNION ALL
+SELECT NULL,
+  'missing_event_id, missing_psp_reference, missing_merchant_id, missing_amount, missing_currency, missing_event_type',
+  'rejected'
+""" + _NOT_JSON
+
 DEDUP_EVENTS = PE + """
 SELECT * FROM pe"""
 
+DEDUP_UNEQUAL = PE + """
+SELECT event_id, psp_reference, merchant_id, merchant_name, merchant_country, merchant_category_code,
+  event_type, event_timestamp, least_amount AS amount, currency, original_amount,
+  original_currency, payment_method, payment_method_variant, card_bin, card_last_four, issuer_country,
+  shopper_interaction, shopper_reference, acquirer_response_code, is_3ds_authenticated, risk_score,
+  CAST(round(least_amount * (""" + FX_CASE.format(c="currency") + """), 2) AS DECIMAL(15,2)) AS amount_eur
+FROM (SELECT *, CAST(amount - CASE WHEN event_type = 'CAPTURE' THEN 0.01 ELSE 0 END AS DECIMAL(15,2)) AS least_amount FROM pe)"""
+
 UPSERT_FIRST_WINS = PE + """
 SELECT * FROM pe WHERE event_type IN ('AUTHORIZATION', 'CAPTURE')
 UNION ALL
@@ -390,7 +433,11 @@ _ORACLES = {
     "ingest_strict": INGEST_STRICT,
     "stream_restart": INGEST_VALID,
     "dedup_events": DEDUP_EVENTS,
+    "funnel_multi": FUNNEL_MULTI,
+    "dedup_unequal": DEDUP_UNEQUAL,
     "upsert_first_wins": UPSERT_FIRST_WINS,
+    "stream_contract": STREAM_CONTRACT,
+    "stream_compacted": INGEST_VALID,
     "stream_ingest": INGEST_VALID,
     "stream_rejected": INGEST_REJECTED,
 }
@@ -559,7 +606,8 @@ DQ_KEYS = {
 _ORACLES.update({k: suite_sql(_by_type(t), QUERY_AS_OF) for k, t in DQ_KEYS.items()})
 # checks that can't run: one failing row each, named after the check, with its severity or "critical"
 _BROKEN = [("range_check", "critical"), ("statistical_outlier", "critical"), ("freshness", "critical"),
-           ("not_null", "critical"), ("referential_integrity", "warning")]
+           ("not_null", "critical"), ("referential_integrity", "warning"), ("accepted_values", "critical"),
+           ("range_check", "critical"), ("row_count", "warning")]
 _ORACLES["dq_errors"] = MART_CTES + "\n" + "\nUNION ALL\n".join(
     [f"SELECT 'events' AS table_name, '{t}_error' AS check_name, '{t}' AS check_type, 'FAIL' AS status, "
      f"CAST(0 AS BIGINT) AS records_checked, CAST(0 AS BIGINT) AS records_failed, CAST(0 AS DOUBLE) AS failure_percentage, "

@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
         src = read_stream(spark, fmt=a.source, path=a.path, bootstrap_servers=a.bootstrap,
                           topic=a.topic, max_per_trigger=a.max_per_trigger, max_files=a.max_files,
                           fail_on_data_loss=a.fail_on_data_loss)
-        sink = IngestSink(f"{a.root}/raw.payment_events", f"{a.root}/raw.rejected_events", a.strict_time)
+        sink = IngestSink(a.root, a.strict_time)
         start_ingest(src, sink, f"{a.root}/_checkpoints/ingest", processing_time=a.trigger,
                      available_now=a.available_now).awaitTermination()
         return 0

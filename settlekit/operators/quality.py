@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 from operator import and_
 
@@ -23,6 +24,7 @@ from pyspark.sql.types import DateType, NumericType, TimestampNTZType, Timestamp
 
 from settlekit.operators.joins import DEFAULT_BROADCAST_ROWS, fits
 from settlekit.schemas import CHECK_RESULT_COLUMNS
+from settlekit.session import stage_table
 
 log = logging.getLogger("settlekit.quality")
 
@@ -87,6 +89,26 @@ def _need(df: DataFrame, column: str, *kinds) -> None:
         raise TypeError(f"column {column} has type {kind.simpleString()}")
 
 
+def _typed(df: DataFrame, column: str, values: list) -> list[Column]:
+    """Literals that compare with the column in its own type; a value of another kind is an error of the check.
+
+    Without this a text where a number is due passes analysis and fails the whole run
+    when it is cast. The casts are folded on the driver, no job runs.
+    """
+    kind = df.select(F.col(column)).schema[0].dataType
+    out = []
+    for v in values:
+        if v is None or (isinstance(kind, NumericType) and isinstance(v, (int, float, Decimal)) and not isinstance(v, bool)):
+            out.append(F.lit(v))
+            continue
+        as_kind = "double" if isinstance(kind, NumericType) else kind.simpleString()
+        cast = F.lit(v).cast("string").try_cast(as_kind)
+        if df.sparkSession.sql("SELECT 1").select(cast.isNull()).first()[0]:
+            raise TypeError(f"value {v!r} can't be compared with column {column} of type {kind.simpleString()}")
+        out.append(cast)
+    return out
+
+
 @dataclass
 class _Plan:
     """Aggregates of the fused pass and result structs that read them."""
@@ -115,13 +137,16 @@ def _plan_not_null(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str) ->
 
 def _plan_accepted_values(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str) -> None:
     c, values = cfg["column"], list(cfg["values"])
-    bad = F.col(c).isNotNull() & ~F.col(c).isin(values)
+    bad = F.col(c).isNotNull() & ~F.col(c).isin(*_typed(df, c, values))
     total = p.agg("_rows", F.count(F.lit(1)))
-    invalid = p.agg("_invalid_" + "_".join([c, *map(str, values)]), F.count_if(bad))
-    # the first few distinct bad values, by value: a bounded top-k sub-query
-    samples = (df.filter(bad).select(F.col(c).cast("string").alias("v")).distinct()
-               .orderBy("v").limit(SAMPLE_SIZE))
-    sample_list = samples.agg(F.array_join(F.array_sort(F.collect_list("v")), ", ")).scalar()
+    label = "_".join([c, *map(str, values)])
+    invalid = p.agg(f"_invalid_{label}", F.count_if(bad))
+    # samples ride along in the same pass, in bounded state: the least bad value of each class (first hex digit
+    # of its MD5), of which the first few are shown; values of different classes are distinct
+    text = F.col(c).cast("string")
+    first = F.substring(F.md5(text.cast("binary")), 1, 1)
+    classes = [p.agg(f"_sample{h}_{label}", F.min(F.when(bad & (first == h), text))) for h in "0123456789abcdef"]
+    sample_list = F.array_join(F.slice(F.array_sort(F.array_compact(F.array(*classes))), 1, SAMPLE_SIZE), ", ")
     p.results.append(_result(
         table, f"accepted_values_{c}", "accepted_values", _fail_if(invalid > 0), total, invalid,
         F.format_string("Column '%s': %d invalid values. Samples: [%s]", F.lit(c), invalid,
@@ -133,9 +158,9 @@ def _plan_range(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str) -> Non
     _need(df, c, NumericType, DateType, TimestampType, TimestampNTZType)
     conds = []
     if lo is not None:
-        conds.append(F.col(c) < F.lit(lo))
+        conds.append(F.col(c) < _typed(df, c, [lo])[0])
     if hi is not None:
-        conds.append(F.col(c) > F.lit(hi))
+        conds.append(F.col(c) > _typed(df, c, [hi])[0])
     if not conds:
         return
     out = conds[0] if len(conds) == 1 else conds[0] | conds[1]
@@ -156,6 +181,7 @@ def _plan_freshness(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str,
     latest = p.agg(f"_max_{c}", F.max(F.col(c)))
     # a date counts from midnight UTC
     latest_ts = latest.cast("timestamp") if isinstance(df.schema[c].dataType, DateType) else latest
+    float(max_age)   # a limit that is no number is an error of this check
     now = _ts_lit(as_of) if as_of is not None else F.current_timestamp()
     age_h = (F.unix_micros(now) - F.unix_micros(latest_ts.cast("timestamp"))) / 3.6e9
     fresh = latest.isNotNull() & (age_h <= F.lit(float(max_age)))
@@ -168,7 +194,7 @@ def _plan_freshness(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str,
 
 
 def _plan_row_count(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str) -> None:
-    min_rows = cfg.get("min_rows", 1)
+    min_rows = int(cfg.get("min_rows", 1))
     total = p.agg("_rows", F.count(F.lit(1)))
     ok = total >= F.lit(min_rows)
     p.results.append(_result(
@@ -290,7 +316,7 @@ def _error_row(df: DataFrame, table: str, cfg: dict, err: Exception) -> DataFram
     spark = df.sparkSession
     row = spark.range(1).select(F.inline(F.array(_result(
         table, f"{ctype}_error", ctype, F.lit("FAIL"), F.lit(0), F.lit(0),
-        F.lit(f"Check failed with error: {type(err).__name__}: {err}"), sev))))
+        F.lit(f"Check failed with error: {type(err).__name__}: {err}"[:2000]), sev))))
     return row
 
 
@@ -396,10 +422,35 @@ def unreadable_rows(spark, table: str, checks: list[dict], err: Exception) -> Da
     return out.select(*CHECK_RESULT_COLUMNS)
 
 
-def run_stored_suite(spark, read, catalogue: dict[str, list[dict]], *, as_of: _dt.datetime | None = None) -> DataFrame:
+def executed_checks(df: DataFrame, table: str, checks: list[dict], *, refs: dict[str, DataFrame] | None = None,
+                    as_of: _dt.datetime | None = None) -> DataFrame:
+    """The results of ``run_table_checks``, computed; a check that fails while it runs costs only its own row.
+
+    All checks run fused first. Only where that fails is each check run alone, and
+    those that fail again become error rows.
+    """
+    def run(some):
+        return stage_table(run_table_checks(df, table, some, refs=refs, as_of=as_of).coalesce(1), "checks")
+
+    try:
+        return run(checks)
+    except Exception as err:  # noqa: BLE001 - isolation per check
+        log.warning("checks of %s fail together (%s): run one by one", table, type(err).__name__)
+    parts = []
+    for cfg in checks:
+        try:
+            parts.append(run([cfg]))
+        except Exception as err:  # noqa: BLE001
+            parts.append(_error_row(df, table, cfg, err).select(*CHECK_RESULT_COLUMNS))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_stored_suite(spark, read, catalogue: dict[str, list[dict]], *, as_of: _dt.datetime | None = None,
+                     execute: bool = False) -> DataFrame:
     """The suite over stored tables; ``read(name)`` loads one.
 
     A table that can't be read doesn't leave the suite: each of its checks fails.
+    With ``execute`` the checks are run here, isolated from each other at run time too.
     """
     tables, parts = {}, []
     needed = list(catalogue) + [c["reference_table"] for cs in catalogue.values() for c in cs if "reference_table" in c]
@@ -410,7 +461,9 @@ def run_stored_suite(spark, read, catalogue: dict[str, list[dict]], *, as_of: _d
             if name in catalogue:
                 parts.append(unreadable_rows(spark, name, catalogue[name], err))
     found = {t: cs for t, cs in catalogue.items() if t in tables}
-    if found:
+    if found and execute:
+        parts += [executed_checks(tables[t], t, cs, refs=tables, as_of=as_of) for t, cs in found.items()]
+    elif found:
         parts.append(run_suite(tables, found, as_of=as_of))
     return reduce(DataFrame.unionByName, parts)
 

@@ -93,6 +93,10 @@ ERROR_CHECKS = [
     {"check": "range_check", "column": "props", "min": 0},
     {"check": "statistical_outlier", "column": "props"},
     {"check": "freshness", "column": "event_type", "max_age_hours": 2},
+    # values that the column's type can't be compared with
+    {"check": "accepted_values", "column": "user_id", "values": ["x"]},
+    {"check": "range_check", "column": "value", "min": "low"},
+    {"check": "row_count", "min_rows": "many", "severity": "warning"},
     {"check": "not_null", "columns": ["no_such_column"]},
     {"check": "referential_integrity", "column": "user_id", "reference_table": "no_such_table",
      "reference_column": "id", "severity": "warning"},

@@ -29,6 +29,7 @@ from settlekit.operators import marts, quality, reports
 from settlekit.plans.catalogue import QUALITY_CHECKS
 from settlekit.schemas import STALE_GUARD_HOURS
 from settlekit.sinks.contracts import enforced
+from settlekit.sinks.snapshots import replace_table
 from settlekit.sinks.tables import stamp, write_table
 from settlekit.sources.tables import read_table
 
@@ -103,21 +104,26 @@ def compute_mart(events: DataFrame, name: str, since: _dt.date | None) -> DataFr
 
 def write_mart(mart: DataFrame, name: str, root: str, since: _dt.date | None, *, fmt: str = "parquet",
                jdbc: dict | None = None) -> None:
-    """Check, cast and write a mart: full replace, or (with ``since``) replace only the recomputed months."""
+    """Check, cast and write a mart: full replace, or (with ``since``) replace only the recomputed months.
+
+    Parquet marts are replaced at once: the new rows are written beside the old
+    ones and shown by one commit, so the mart is readable all the time and a
+    writer that dies leaves the old one.
+    """
     mart = enforced(mart, name)
-    if name not in MART_DAY or fmt != "parquet":
+    if fmt != "parquet":
         if since is not None and name in MART_DAY:
             raise ValueError("since needs month-partitioned Parquet tables")
         write_table(stamp(mart), name, mode="overwrite", root=root, fmt=fmt, jdbc=jdbc)
         return
+    if name not in MART_DAY:
+        replace_table(stamp(mart), root, name)
+        return
     out = stamp(mart).withColumn(PART_COL, F.date_format(MART_DAY[name], "yyyy-MM"))
-    w = out.write.mode("overwrite")
-    if since is not None or not mart.isEmpty():
-        w = w.partitionBy(PART_COL)
-    # else one file without rows keeps the table readable (partitions would leave none)
-    if since is not None:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(f"{root.rstrip('/')}/{name}")
+    months = None
+    if since is not None:   # one value per recomputed month; the mart is staged
+        months = [r[0] for r in out.select(PART_COL).distinct().collect()]
+    replace_table(out, root, name, partition_by=[PART_COL], values=months)
 
 
 def run_batch(spark: SparkSession, root: str, *, events: DataFrame | None = None,
@@ -146,7 +152,7 @@ def run_batch(spark: SparkSession, root: str, *, events: DataFrame | None = None
         return events if name == RAW else read_table(spark, name, **stored)
 
     results = quality.with_check_timestamp(
-        quality.run_stored_suite(spark, read, QUALITY_CHECKS, as_of=run_ts), run_ts)
+        quality.run_stored_suite(spark, read, QUALITY_CHECKS, as_of=run_ts, execute=True), run_ts)
     write_table(results, LOG, mode="append", root=root, fmt=fmt, jdbc=jdbc)
     log = read_table(spark, LOG, **stored)
     summary = reports.quality_summary(log, as_of=run_ts)

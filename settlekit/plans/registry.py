@@ -15,7 +15,7 @@ from settlekit.schemas import EVENT_FIELDS, MONEY, PAYMENT_EVENT_COLUMNS, PAYMEN
 from settlekit.session import scratch_path, shared_dir, stage_table
 from settlekit.sources.fixtures import payment_events, raw_deliveries
 from settlekit.sources.tables import read_given
-from settlekit.streaming.ingest import run_available_now
+from settlekit.streaming.ingest import REJECTED, read_stored, run_available_now
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +43,17 @@ def conversion_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.conversion_funnel(_events(spark, sf_dir))
 
 
+def funnel_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel where transactions have several captures (every third) and authorizations (every seventh)."""
+    ev = _events(spark, sf_dir)
+    number = F.substring("psp_reference", 4, 20).cast("long")
+    again = ev.filter(((F.col("event_type") == marts.CAPTURE) & (number % 3 == 0))
+                      | ((F.col("event_type") == marts.AUTH) & (number % 7 == 0)))
+    later = again.withColumns({"event_id": F.concat("event_id", F.lit("_b")), "payment_method": F.lit(None).cast("string"),
+                               "event_timestamp": F.col("event_timestamp") + F.expr("INTERVAL 200 MINUTE")})
+    return marts.conversion_funnel(ev.unionByName(later))
+
+
 def auth_to_capture_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.auth_capture_latency(_events(spark, sf_dir))
 
@@ -103,6 +114,15 @@ def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.dedup_events(ev.unionByName(ev))
 
 
+def dedup_unequal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are delivered again, a cent cheaper: the smaller row survives, all other rows are single."""
+    ev = _events(spark, sf_dir)
+    less = (F.col("amount") - F.lit("0.01").cast(MONEY)).cast(MONEY)
+    again = ev.filter(F.col("event_type") == "CAPTURE").withColumns(
+        {"amount": less, "amount_eur": to_eur(less, F.col("currency"))})
+    return ingest.dedup_events(ev.unionByName(again))
+
+
 def upsert_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Authorizations and captures are stored; a replay of all events with
     corrected (doubled) amounts arrives: stored rows win, the rest is inserted."""
@@ -125,20 +145,20 @@ def _stream_root(spark: SparkSession, sf_dir: str) -> str:
 INBOX_RECORDS = 250_000  # messages in a file at most
 
 
-def _inbox(spark: SparkSession, sf_dir: str, path: str) -> int:
+def _inbox(spark: SparkSession, sf_dir: str, path: str, **defects) -> int:
     """Write the delivered messages as files whose number follows the data; returns it."""
-    (raw_deliveries(spark, sf_dir).hint("rebalance").write.option("maxRecordsPerFile", INBOX_RECORDS).text(path))
+    (raw_deliveries(spark, sf_dir, **defects).hint("rebalance").write.option("maxRecordsPerFile", INBOX_RECORDS).text(path))
     return len(spark.read.text(path).inputFiles())
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stream_root(spark, sf_dir)
-    return spark.read.parquet(f"{root}/payment_events").select(*PAYMENT_EVENT_COLUMNS)
+    return read_stored(spark, root).select(*PAYMENT_EVENT_COLUMNS)
 
 
 def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stream_root(spark, sf_dir)
-    return _dead_letters(spark.read.parquet(f"{root}/rejected_events"))
+    return _dead_letters(read_stored(spark, root, REJECTED))
 
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +168,29 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.read.text(f"{root}/inbox").filter(F.xxhash64("value") > 0).write.text(f"{root}/part")
     run_available_now(spark, f"{root}/part", root, max_files=1000, checkpoint=f"{root}/_first")
     run_available_now(spark, f"{root}/inbox", root, max_files=max(1, -(-files // 2)), checkpoint=f"{root}/_second")
-    return spark.read.parquet(f"{root}/payment_events").select(*PAYMENT_EVENT_COLUMNS)
+    return read_stored(spark, root).select(*PAYMENT_EVENT_COLUMNS)
+
+
+def stream_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every id that a stream has stored or rejected where some events pass the rules but break the table's constraints."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    root = scratch_path(spark, "stream")
+    files = _inbox(spark, sf_dir, f"{root}/inbox", contract=True)
+    run_available_now(spark, f"{root}/inbox", root, max_files=max(1, -(-files // 2)))
+    stored = read_stored(spark, root).select("event_id", F.lit("").alias("reason"), F.lit("stored").alias("kind"))
+    return stored.unionByName(read_stored(spark, root, REJECTED).select(
+        "event_id", F.col(ingest.REASON).alias("reason"), F.lit("rejected").alias("kind")))
+
+
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored events after a stream of a file a batch, replayed once, whose parts were merged two by two."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    root = scratch_path(spark, "stream")
+    (raw_deliveries(spark, sf_dir).repartition(5, "value").write.text(f"{root}/inbox"))
+    for run in ("_first", "_again"):
+        run_available_now(spark, f"{root}/inbox", root, max_files=1 if run == "_first" else 1000, fan_in=2,
+                          checkpoint=f"{root}/{run}")
+    return read_stored(spark, root).select(*PAYMENT_EVENT_COLUMNS)
 
 
 # --- quality ----------------------------------------------------------------
@@ -336,17 +378,21 @@ QUERIES = {
     "txn_lifecycle": txn_lifecycle,
     "conversion_funnel": conversion_funnel,
     "auth_to_capture_hours": auth_to_capture_hours,
+    "funnel_multi": funnel_multi,
     "parse_events": parse_events,
     "rejection_reasons": rejection_reasons,
     "fx_normalize": fx_normalize,
     "ingest_valid": ingest_valid,
     "ingest_rejected": ingest_rejected,
     "dedup_events": dedup_events,
+    "dedup_unequal": dedup_unequal,
     "upsert_first_wins": upsert_first_wins,
     "ingest_strict": ingest_strict,
     "stream_ingest": stream_ingest,
     "stream_restart": stream_restart,
     "stream_rejected": stream_rejected,
+    "stream_contract": stream_contract,
+    "stream_compacted": stream_compacted,
     "dq_not_null": _dq("not_null"),
     "dq_accepted_values": _dq("accepted_values"),
     "dq_uniqueness": _dq("uniqueness"),

@@ -137,12 +137,13 @@ def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(*PAYMENT_EVENT_COLUMNS)
 
 
-def raw_deliveries(spark: SparkSession, sf_dir: str, strict: bool = False) -> DataFrame:
+def raw_deliveries(spark: SparkSession, sf_dir: str, strict: bool = False, contract: bool = False) -> DataFrame:
     """Messages as delivered by the broker: one column ``value`` (JSON text).
 
     ``strict`` adds defects of time and range on AUTHORIZATION messages: an
     unparseable time, and amounts that are NaN, beyond DECIMAL(15,2), below a
-    cent, or beyond it in EUR only.
+    cent, or beyond it in EUR only. ``contract`` adds defects that pass the rules
+    but not the stored table: an unparseable time, and texts that are too long.
 
     Defects on AUTHORIZATION messages (FIXTURES.md §3): NULL currency,
     unknown currency, unknown event type, negated amount, missing ids, a
@@ -166,7 +167,16 @@ def raw_deliveries(spark: SparkSession, sf_dir: str, strict: bool = False) -> Da
     missing_ids = auth & (k % 307 == 4)
     event_id = F.when(missing_ids, F.lit(None).cast("string")).otherwise(F.col("event_id"))
     merchant_id = F.when(missing_ids, F.lit(None).cast("string")).otherwise(F.col("merchant_id"))
-    overrides = {
+    texts = {}
+    if contract:
+        time = F.when(auth & (k % 701 == 7), F.lit("yesterday")).otherwise(time)
+        event_id = F.when(auth & (k % 751 == 14), F.concat(event_id, F.repeat(F.lit("x"), 60))).otherwise(event_id)
+        texts = {
+            "issuer_country": F.when(auth & (k % 743 == 13), F.lit("NETHERLANDS")).otherwise(F.col("issuer_country")),
+            "shopper_reference": F.when(auth & (k % 739 == 12), F.repeat(F.lit("s"), 120))
+            .otherwise(F.col("shopper_reference")),
+        }
+    overrides = texts | {
         "event_id": event_id,
         "merchant_id": merchant_id,
         "event_type": event_type,

@@ -11,6 +11,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from settlekit.sinks.snapshots import open_table
+
 # Environment variables naming the JDBC connection; there is no default
 # password: it must come from the environment or the caller.
 JDBC_ENV = {
@@ -55,7 +57,8 @@ def read_table(spark: SparkSession, name: str, *, fmt: str = "parquet", root: st
     if fmt == "parquet":
         if root is None:
             raise ValueError("parquet tables need a root folder")
-        return spark.read.parquet(table_path(root, name))
+        snapshot = open_table(spark, root, name)   # a table with a snapshot log
+        return spark.read.parquet(table_path(root, name)) if snapshot is None else snapshot
     if fmt == "jdbc":
         reader = spark.read.format("jdbc").options(**(jdbc or jdbc_options())).option("dbtable", name)
         if partition_column is not None:

@@ -13,7 +13,8 @@ from settlekit.sinks.contracts import assert_contract, check_contract
 from settlekit.sinks.tables import write_table
 from settlekit.sources.fixtures import payment_events, raw_deliveries
 from settlekit.sources.tables import jdbc_options, read_table
-from settlekit.streaming.ingest import IngestSink, read_stream, run_available_now, start_ingest
+from settlekit.sinks.snapshots import Snapshots
+from settlekit.streaming.ingest import REJECTED, IngestSink, read_stored, read_stream, run_available_now, start_ingest
 from tests.conftest import SF_SMALL
 
 
@@ -31,18 +32,17 @@ def inbox(spark):
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, inbox, tmpdir_path):
-    valid_path, rejected_path = run_available_now(spark, f"{inbox}/inbox", tmpdir_path, max_files=1)
-    streamed = spark.read.parquet(valid_path)
-    batches = streamed.select("load_id").distinct().count()
-    assert batches >= 2
+    root = run_available_now(spark, f"{inbox}/inbox", tmpdir_path, max_files=1)
+    streamed = read_stored(spark, root)
+    assert max(Snapshots(spark, root).latest().runs.values()) >= 1   # two batches at least
     batch = ingest.dedup_events(ingest.valid_events(
         ingest.annotate(ingest.parse_messages(raw_deliveries(spark, SF_SMALL)))))
     assert _rows(streamed) == _rows(batch)
-    n_rej = spark.read.parquet(rejected_path).count()
+    n_rej = read_stored(spark, root, REJECTED).count()
     # same checkpoint again: nothing new is delivered, the tables stay
     run_available_now(spark, f"{inbox}/inbox", tmpdir_path, max_files=1)
-    assert spark.read.parquet(valid_path).count() == streamed.count()
-    assert spark.read.parquet(rejected_path).count() == n_rej
+    assert read_stored(spark, root).count() == streamed.count()
+    assert read_stored(spark, root, REJECTED).count() == n_rej
     # delivered = valid (before dedup) + rejected
     delivered = raw_deliveries(spark, SF_SMALL).count()
     annotated = ingest.annotate(ingest.parse_messages(raw_deliveries(spark, SF_SMALL)))
@@ -54,26 +54,24 @@ def test_replaying_a_batch_is_idempotent(spark, tmpdir_path):
             '"amount":1.5,"currency":"EUR","event_timestamp":"2024-01-01T00:00:00.000Z"}' % i for i in range(5)]
     b0 = spark.createDataFrame([(m,) for m in msgs[:3]] + [("junk",)], "value string")
     b1 = spark.createDataFrame([(m,) for m in msgs[2:]], "value string")
-    sink = IngestSink(f"{tmpdir_path}/v", f"{tmpdir_path}/r")
+    sink = IngestSink(tmpdir_path)
     sink(b0, 0)
     sink(b1, 1)
-    first = sorted(r["event_id"] for r in spark.read.parquet(sink.valid_path).collect())
+    first = sorted(r["event_id"] for r in read_stored(spark, tmpdir_path).collect())
     assert first == ["e0", "e1", "e2", "e3", "e4"]  # e2 of batch 1 was already stored
     assert sink.metrics[0] == {"delivered": 4, "valid": 3}
     sink(b1, 1)  # replay after a failure before the offset commit
     sink(b0, 0)
-    again = spark.read.parquet(sink.valid_path)
-    assert sorted(r["event_id"] for r in again.collect()) == first
-    assert spark.read.parquet(sink.rejected_path).count() == 1
+    assert sorted(r["event_id"] for r in read_stored(spark, tmpdir_path).collect()) == first
+    assert read_stored(spark, tmpdir_path, REJECTED).count() == 1
 
 
 def test_stream_source_text_and_trigger(spark, inbox, tmpdir_path):
     src = read_stream(spark, fmt="text", path=f"{inbox}/inbox", max_files=2)
     assert src.isStreaming and src.columns == ["value"]
-    q = start_ingest(src, IngestSink(f"{tmpdir_path}/v", f"{tmpdir_path}/r"), f"{tmpdir_path}/ck",
-                     available_now=True)
+    q = start_ingest(src, IngestSink(tmpdir_path), f"{tmpdir_path}/ck", available_now=True)
     q.awaitTermination()
-    assert spark.read.parquet(f"{tmpdir_path}/v").count() > 0
+    assert read_stored(spark, tmpdir_path).count() > 0
     with pytest.raises(ValueError):
         read_stream(spark, fmt="socket")
 
@@ -151,17 +149,16 @@ def test_fresh_checkpoint_keeps_what_an_earlier_run_stored(spark, tmpdir_path):
     for run, rows in (("a", [_message("e1"), _message("e2"), "junk"]), ("b", [_message("e2"), _message("e3"), "more junk"])):
         spark.createDataFrame([(m,) for m in rows], "value string").coalesce(1).write.text(f"{tmpdir_path}/in_{run}")
         run_available_now(spark, f"{tmpdir_path}/in_{run}", tmpdir_path, checkpoint=f"{tmpdir_path}/ck_{run}")
-    valid = spark.read.parquet(f"{tmpdir_path}/payment_events")
-    assert sorted(r.event_id for r in valid.collect()) == ["e1", "e2", "e3"]
-    assert spark.read.parquet(f"{tmpdir_path}/rejected_events").count() == 2
+    assert sorted(r.event_id for r in read_stored(spark, tmpdir_path).collect()) == ["e1", "e2", "e3"]
+    assert read_stored(spark, tmpdir_path, REJECTED).count() == 2
 
 
 @pytest.mark.parametrize("time", ["2024-03-31T00:00:00.000Z", "2023-10-03T00:00:00.000Z"])
 def test_copy_dated_ninety_days_away_is_stored_once(spark, tmpdir_path, time):
-    sink = IngestSink(f"{tmpdir_path}/v", f"{tmpdir_path}/r")
+    sink = IngestSink(tmpdir_path)
     sink(spark.createDataFrame([(_message("e1"),)], "value string"), 0)
     sink(spark.createDataFrame([(_message("e1", time),)], "value string"), 1)
-    assert spark.read.parquet(sink.valid_path).count() == 1
+    assert read_stored(spark, tmpdir_path).count() == 1
 
 
 def test_no_money_vanishes(spark):
