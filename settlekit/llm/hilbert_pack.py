@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from settlekit.llm import scan, tokens
 from settlekit.llm.token_files import range_bounds
+from settlekit.session import stage_table
 
 LENGTH = 2048
 END_ID = 1
@@ -166,18 +167,9 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = E
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id").alias("tie"), "text")
 
-    def keyed(batches):
-        schema = pa.schema([("key", pa.int64())])
-        for batch in batches:
-            for part in scan.slices(batch):
-                key = keys_of(scan.payloads(part.column(2)), part.column(1).to_numpy())
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64())], schema=schema)
-
-    bounds = np.array(range_bounds(docs.mapInArrow(keyed, "key long"), "key", parts), np.int64)
-
     def encoded(batches):
         enc = tokens.encoder(vocabulary)
-        schema = pa.schema([("part", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
+        schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             for part in scan.slices(batch):
                 texts = scan.payloads(part.column(2))
@@ -186,8 +178,14 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = E
                 ends = np.cumsum(n)
                 rows = [ids[a:b].tobytes() for a, b in zip(ends - n, ends)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.searchsorted(bounds, key, "right"), pa.int32()), pa.array(key, pa.int64()),
-                     part.column(0), pa.array(rows, pa.binary())], schema=schema)
+                    [pa.array(key, pa.int64()), part.column(0), pa.array(rows, pa.binary())], schema=schema)
+
+    # projected and encoded once: the bounds come from the key column of the staged rows
+    staged = stage_table(docs.mapInArrow(encoded, "key long, doc_id long, ids binary"), "packing")
+    bounds = range_bounds(staged, "key", parts)
+    part = F.lit(0)
+    if bounds:
+        part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("key")))
 
     def packed(batches):
         packer, part = None, None
@@ -211,7 +209,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = E
     def make(part: int) -> Packer:
         return (IdPacker if with_ids else Packer)(part << 36, length)
 
-    rows = (docs.mapInArrow(encoded, "part int, key long, doc_id long, ids binary")
+    rows = (staged.select(part.alias("part"), "key", "doc_id", "ids")
             .repartitionById(len(bounds) + 1, F.col("part"))
             .sortWithinPartitions("part", "key", "doc_id", "ids"))
     return rows.mapInArrow(packed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "

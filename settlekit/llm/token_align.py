@@ -146,7 +146,7 @@ class TwoTokenizers:
     """
 
     def __init__(self, a_path: str, b_path: str, kept: int = KEPT):
-        self.a = Encoder(a_path)
+        self.a = Encoder(a_path, plain_specials=True)
         letters = {c: b for b, c in LETTERS.items()}
         tokens = map(self.a.lib.id_to_token, range(self.a.lib.get_vocab_size()))
         self.a_bytes = [bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in tokens]

@@ -4,8 +4,9 @@ A text is cut into chunks (a word with the white space before it). Both
 vocabularies used here split text at white space before any merge, so the ids
 of a text are the ids of its chunks laid end to end; each distinct chunk of a
 slice is encoded once and kept in a bounded table. Texts for which that isn't
-certain (white space other than the six ASCII kinds, where it matters) are
-encoded whole by the same library.
+certain (white space other than the six ASCII kinds, where it matters, and
+strings of special tokens, which the library takes for these tokens unless it is
+told that they are plain text) are encoded whole by the same library.
 """
 
 from __future__ import annotations
@@ -43,9 +44,11 @@ _LETTERS = _byte_letters()
 class Encoder:
     """``encode(texts)`` gives the ids of all texts, end to end, and the number of each."""
 
-    def __init__(self, path: str, kept: int = KEPT_CHUNKS):
+    def __init__(self, path: str, kept: int = KEPT_CHUNKS, plain_specials: bool = False):
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
+        self.lib.encode_special_tokens = plain_specials
+        added = [] if plain_specials else [t.content.encode() for t in self.lib.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, added))) if added else None
         self.lib.no_truncation()
         self.lib.no_padding()
         self.model = self.lib.model
@@ -94,12 +97,11 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         whole = {}
-        if not self.words:  # there, white space is encoded too
-            for k, t in enumerate(texts):
-                if not t.isascii():
-                    s = t.decode()
-                    if _ODD_SPACE.search(s):
-                        whole[k] = self.lib.encode(s, add_special_tokens=False).ids
+        for k, t in enumerate(texts):
+            # without lower-casing, white space is encoded too
+            if (self.special is not None and self.special.search(t)) or (
+                    not self.words and not t.isascii() and _ODD_SPACE.search(t.decode())):
+                whole[k] = self.lib.encode(t.decode(), add_special_tokens=False).ids
         j = scan.join([b"" if k in whole else t for k, t in enumerate(texts)])
         start, end, doc = scan.words(j)
         if not self.words:

@@ -25,7 +25,6 @@ def library(name):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.vocabulary(name))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [1]
 
 
