@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -69,4 +70,25 @@ def stage_table(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    table = spark.read.parquet(path)
+    table._staged_path = path
+    return table
+
+
+def drop_tables(*tables, free: bool = False) -> None:
+    """Delete staged tables that no result reads any more (others are left as they are).
+
+    With ``free`` Spark also frees the shuffle files of jobs whose DataFrames are
+    gone, which it does when the JVM collects them: worth it once a round.
+    """
+    spark = None
+    for df in tables:
+        path = getattr(df, "_staged_path", None)
+        if path is not None:
+            spark = df.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            df._staged_path = None
+    if free and spark is not None:
+        gc.collect()
+        spark._jvm.System.gc()
