@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settlekit.session import stage_table
+from settlekit.session import drop_tables, stage_table
 
 
 def _summary(edges: DataFrame) -> tuple:
@@ -49,7 +49,8 @@ def components(links: DataFrame, max_rounds: int = 60, parts: int | None = None)
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        edges = stage_table(few(_star(_star(edges, True), False)), "cc")
+        old, edges = edges, stage_table(few(_star(_star(edges, True), False)), "cc")
+        drop_tables(old)
         now = _summary(edges)
         if now == seen:
             break

@@ -20,14 +20,17 @@ adjacent bands under a label between them; the band ratio exceeds q/p, so
 linked sets are never further apart.
 
 Copies: documents with equal sets (count and 128-bit fingerprint) are one class
-and never paired. Buckets never emit all pairs: in each star round every class
-is paired with one hub only, the one it shares most buckets with among classes
-of another component; pairs are verified on the exact sets and components are
-joined. When a star round finds no link, or after ``STAR_ROUNDS``, the pairs that share
-a bucket and still lie in different components are verified too, so the components are
-those of all links; of these, the join itself drops pairs whose sizes or whose
-bit sketches (``BITS`` bits, one toggled per shingle) rule a link out: their
-Hamming distance exceeds the symmetric difference that a link allows.
+and never paired. Buckets never emit all pairs: in each star round the members of a
+bucket are paired with its hub only (another one each round); pairs that may be
+links are verified on the exact sets and components are joined. When a star round
+finds no link, or after ``STAR_ROUNDS``, the pairs that share a bucket and still lie in
+different components are tried too, so the components are those of all links.
+Whether two classes may be linked is seen from their sizes and their bit sketches
+(``BITS`` bits, one toggled per shingle): a Hamming distance beyond the symmetric
+difference that a link allows rules it out. Sketches of 2048 bits tell sets of a
+thousand shingles apart to a few shingles, so what passes is mostly linked, and
+near copies just below the similarity leave the join where they meet. Tables of a
+finished round are dropped.
 
 Defined results: null and empty texts, and texts without words, have an empty
 set and link with nothing. A null doc_id gets n_shingles and a null component
@@ -50,13 +53,15 @@ from settlekit.llm import scan
 from settlekit.llm.components import components
 from settlekit.llm.folds import fresh
 from settlekit.operators.joins import join_small_side
-from settlekit.session import stage_table
+from settlekit.session import drop_tables, stage_table
 
-STAR_ROUNDS = 6
-WORDS = 8                  # 64-bit words of a bit sketch
+STAR_ROUNDS = 4
+WORDS = 32                 # 64-bit words of a bit sketch
+QUICK_WORDS = 4            # of them compared first
 BITS = 64 * WORDS
 SPARE = 0.3                # spare segments for each one that the pigeonhole needs: more keys, smaller buckets
 SMALL_ROWS = 1_000_000     # (long, long) rows that may be broadcast: 16 MB
+SKETCH_ROWS = 100_000      # rows with a bit sketch that may be broadcast: 27 MB
 
 
 @dataclass(frozen=True)
@@ -262,24 +267,57 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             .mapInArrow(run, "a long, b long, ca long, cb long").distinct())
 
 
-def met_rows(rows: DataFrame) -> DataFrame:
-    """key, f1 of the keys that sets are compared on after prefix filtering."""
-    whole = Window.partitionBy("key")
-    met = stage_table(rows.withColumn("least", F.min("f1").over(whole)).withColumn("most", F.max("f1").over(whole))
-                      .filter("least <> most").select("key", "f1", "tag").distinct(), "parity-met")
+def met_rows(docs: DataFrame, rule: Rule) -> DataFrame:
+    """key, f1 of the keys that sets are compared on after prefix filtering.
+
+    Most keys are one set's alone: the keys of two sets or more are found first, by
+    a minimum and a maximum that are combined on the map side (so a key of a third
+    of all documents is a row a task), and the rows are then made once more and
+    filtered, so they are never shuffled as a whole.
+    """
+    rows = bucket_rows(docs, rule)
+    shared = stage_table(rows.groupBy("key").agg(F.min("f1").alias("least"), F.max("f1").alias("most"))
+                         .filter("least <> most").select("key"), "parity-shared")
+    met = stage_table(join_small_side(rows, shared, "key", "left_semi", max_rows=4 * SMALL_ROWS)
+                      .select("key", "f1", "tag").distinct(), "parity-met")
     size = met.groupBy("key").agg(F.count("*").alias("size"))
     own = Window.partitionBy("f1", "tag")      # the keys of one set under one label: bounded by its sketch
     ranked = (met.join(size, "key").withColumn("n", F.count("*").over(own))
               .withColumn("place", F.row_number().over(own.orderBy("size", "key"))))
-    return ranked.filter("place <= n - pmod(tag, 4096) + 1").select("key", "f1").distinct()
+    out = stage_table(ranked.filter("place <= n - pmod(tag, 4096) + 1").select("key", "f1").distinct(), "parity-kept")
+    drop_tables(shared, met, free=True)
+    return out
+
+
+def plausible(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+    """The ``pairs`` (a, b, ...) that sizes and bit sketches don't rule out."""
+    bits = [f"s{k}" for k in range(WORDS)]
+    for side in ("a", "b"):
+        own = sketches.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), *[F.col(c).alias(f"{c}{side}") for c in bits])
+        pairs = join_small_side(pairs, own, side, max_rows=SKETCH_ROWS)
+    return pairs.filter(_may_link(rule))
+
+
+def _may_link(rule: Rule):
+    """Whether the sides a and b (sizes na, nb, sketches s0a .., s0b ..) may be linked; a part of the bits first."""
+    def apart(first, last):
+        return sum((F.bit_count(F.col(f"s{k}a").bitwiseXOR(F.col(f"s{k}b"))) for k in range(first, last)), F.lit(0))
+
+    def within(bits):
+        return bits * (rule.q + rule.p) <= (F.col("na") + F.col("nb")) * (rule.q - rule.p)
+
+    return ((F.least("na", "nb") * rule.q >= F.greatest("na", "nb") * rule.p) & within(apart(0, QUICK_WORDS))
+            & within(apart(0, WORDS)))
 
 
 def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame | None:
     """(node, component) over class ids; None where no two classes meet."""
     names = classes.select("f1", F.col("class_id").alias("node"))
-    named = stage_table(met_rows(bucket_rows(docs, rule)).join(names, "f1").select("key", "node"), "parity-named")
+    kept = met_rows(docs, rule)
+    named = stage_table(kept.join(names, "f1").select("key", "node"), "parity-named")
     shared = named.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
     live = stage_table(named.join(shared.select("key"), "key"), "parity-live")
+    drop_tables(kept, named)
     nodes = stage_table(live.select("node").distinct(), "parity-nodes")
     if nodes.isEmpty():
         return None
@@ -287,8 +325,9 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
     many = nodes.count()
     few, some = 8 + many // 100_000, 8 + many // 5_000
     sets = stage_table(set_rows(docs, nodes, rule), "parity-sets")
+    sketches = sets.select("node", "n", *[f"s{k}" for k in range(WORDS)])
     labels = nodes.select("node", F.col("node").alias("component"))
-    tested = None
+    tested, done = None, []
 
     def across():
         """Buckets' members with their component, of buckets with two components or more."""
@@ -299,41 +338,48 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
     def settle(pairs):
         """Verify the pairs (a, b, ca, cb), join their components; the number of links."""
         nonlocal tested, labels
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                             F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage_table(pairs.coalesce(some), "parity-pairs")
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        done.append(pairs)
         new = stage_table(verified(pairs, sets, rule).coalesce(some), "parity-links")
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         found = new.count()
-        if not found:
-            return 0
-        merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")), parts=few)
-        merged = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
-        labels = stage_table(join_small_side(labels, merged, "component", "left", max_rows=SMALL_ROWS).select(
-            "node", F.coalesce("to", "component").alias("component")).coalesce(few), "parity-labels")
+        if found:
+            merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")), parts=few)
+            merged = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+            old = labels
+            labels = stage_table(join_small_side(labels, merged, "component", "left", max_rows=SMALL_ROWS).select(
+                "node", F.coalesce("to", "component").alias("component")).coalesce(few), "parity-labels")
+            drop_tables(old)
+        drop_tables(new)
         return found
 
+    def ordered(pairs):
+        """Each pair once, the smaller class first, without pairs of earlier rounds."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                             F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
+        return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+
     for turn in range(STAR_ROUNDS):
         members = across()
         hubs = members.groupBy("key").agg(F.min_by(
             F.struct(F.col("node").alias("hub"), F.col("component").alias("hub_component")),
             F.xxhash64("node", F.lit(turn))).alias("h")).select("key", "h.*")
-        near = (members.join(hubs, "key").filter("component <> hub_component")
-                .groupBy("node", "component", "hub", "hub_component").agg(F.count("*").alias("shared")))
-        best = near.groupBy("node", "component").agg(F.max(F.struct("shared", "hub", "hub_component")).alias("best"))
-        if not settle(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b"),
-                                  F.col("component").alias("ca"), F.col("best.hub_component").alias("cb"))):
+        near = members.join(hubs, "key").filter("component <> hub_component").select(
+            F.col("node").alias("a"), F.col("hub").alias("b"), F.col("component").alias("ca"),
+            F.col("hub_component").alias("cb"))
+        found = settle(plausible(ordered(near), sketches, rule).select("a", "b", "ca", "cb"))
+        drop_tables(members, free=True)
+        if not found:
             break
     bits = [f"s{k}" for k in range(WORDS)]
-    rest = join_small_side(across(), sets.select("node", "n", *bits), "node", max_rows=SMALL_ROWS)
+    members = across()
+    rest = join_small_side(members, sketches, "node", max_rows=SKETCH_ROWS)
     x, y = (rest.select("key", F.col("node").alias(v), F.col("component").alias(f"c{v}"), F.col("n").alias(f"n{v}"),
                         *[F.col(c).alias(f"{c}{v}") for c in bits]) for v in ("a", "b"))
-    apart = sum((F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in bits), F.lit(0))
-    may = (F.least("na", "nb") * rule.q >= F.greatest("na", "nb") * rule.p) & (
-        apart * (rule.q + rule.p) <= (F.col("na") + F.col("nb")) * (rule.q - rule.p))
-    settle(x.join(y, "key").filter((F.col("ca") < F.col("cb")) & may).select("a", "b", "ca", "cb"))
+    settle(ordered(x.join(y, "key").filter((F.col("ca") < F.col("cb")) & _may_link(rule)).select("a", "b", "ca", "cb")))
+    drop_tables(members, live, sets, *done)
+    if hasattr(labels, "_staged_path"):   # else no link was found, and the labels are the nodes
+        drop_tables(nodes)
     return labels
 
 
@@ -346,6 +392,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                           .agg(F.min("doc_id").alias("class_id")), "parity-classes")
     labels = link_components(docs, classes, rule)
     if labels is not None:
+        # the labels and classes stay: the result reads them
         classes = join_small_side(classes, labels.withColumnRenamed("node", "class_id"), "class_id", "left",
                                   max_rows=SMALL_ROWS)
         classes = classes.select(*same, F.coalesce("component", "class_id").alias("class_id"))

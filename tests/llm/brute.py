@@ -97,19 +97,23 @@ def byte_dedup(rows, length=50):
     return out
 
 
-def line_dedup(rows, min_line=20, min_run=100):
-    """{doc_id: set of deleted line numbers}: every run of sequence lines of min_run characters that starts earlier."""
-    seq = {d: [(i, x) for i, x in enumerate(t.split("\n")) if len(x) >= min_line] for d, t in rows if t is not None}
+def line_dedup(rows, min_run=100):
+    """{doc_id: set of deleted line numbers}: every run of lines with a word of min_run characters that starts earlier."""
+    seq = {d: [(i, x) for i, x in enumerate(t.split("\n")) if WORD.search(x)] for d, t in rows if t is not None}
     seen, gone = set(), {d: set() for d, _ in rows}
     for d in sorted(seq):
         s = seq[d]
         for a in range(len(s)):
-            for z in range(a + 1, min(len(s), a + 12) + 1):
-                run = tuple(x for _, x in s[a:z])
-                if sum(map(len, run)) >= min_run:
+            size = 0
+            for z in range(a, min(len(s), a + 2 * min_run)):   # longer runs are unions of these
+                size += len(s[z][1])
+                if size >= min_run:
+                    run = tuple(x for _, x in s[a:z + 1])
                     if run in seen:
-                        gone[d].update(i for i, _ in s[a:z])
+                        gone[d].update(i for i, _ in s[a:z + 1])
                     seen.add(run)
+                if size >= 3 * min_run + 200:
+                    break
     return gone
 
 

@@ -76,6 +76,16 @@ def test_line_runs(docs, spark):
     assert line_runs.dedup(docs).columns == docs.columns
 
 
+def test_runs_of_short_lines_are_deleted(spark):
+    song = "\n".join(f"la {k}" for k in range(60))
+    rows = [(1, "First.\n" + song), (2, song + "\nla 1\nla 2"), (3, "la 5\nla 6"), (4, "\n".join(["x"] * 250)), (None, song),
+            (5, "x\n \n" * 99 + "a" * 5000 + "\n\n" + song.replace("la 30", "lo 30"))]
+    got = {r.doc_id: r for r in line_runs.report(brute.table(spark, rows)).collect()}
+    want = brute.line_dedup([(6 if d is None else d, t) for d, t in rows])
+    assert {d: got[None if d == 6 else d].n_removed for d in want} == {d: len(x) for d, x in want.items()}
+    assert (got[2].n_removed, got[3].n_removed, got[None].n_removed, got[4].n_removed) == (60, 0, 60, 249)
+
+
 def test_line_runs_repeated_rows_nulls_and_empty_tables(spark, empty):
     rows = line_runs.report(brute.table(spark, repeated=True)).collect()
     ones = [r for r in rows if r.doc_id == 1]
