@@ -115,11 +115,25 @@ class _Plan:
 
     aggs: dict[str, Column] = field(default_factory=dict)
     results: list = field(default_factory=list)  # functions: agg row columns -> struct
+    merges: dict[str, str] = field(default_factory=dict)  # how parts of an aggregate are merged, where not by sum
 
-    def agg(self, name: str, expr: Column) -> Column:
+    def agg(self, name: str, expr: Column, merge: str = "sum") -> Column:
         self.aggs.setdefault(name, expr.alias(name))
+        if merge != "sum":
+            self.merges[name] = merge
         return F.col(name)
 
+    def take(self, other: _Plan) -> None:
+        for name, expr in other.aggs.items():
+            self.aggs.setdefault(name, expr)
+        self.results += other.results
+        self.merges |= other.merges
+
+    def merged(self) -> list[Column]:
+        """The aggregates of a table from those of its parts."""
+        how = {"sum": lambda c: F.coalesce(F.sum(c), F.lit(0)), "min": F.min, "max": F.max}
+        return [how[self.merges.get(n, "sum")](F.col(f"`{n}`")).alias(n) for n in self.aggs]
+
 
 # ---------------------------------------------------------------------------
 # fused checks: add aggregates to the plan, return result builders
@@ -145,7 +159,8 @@ def _plan_accepted_values(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: s
     # of its MD5), of which the first few are shown; values of different classes are distinct
     text = F.col(c).cast("string")
     first = F.substring(F.md5(text.cast("binary")), 1, 1)
-    classes = [p.agg(f"_sample{h}_{label}", F.min(F.when(bad & (first == h), text))) for h in "0123456789abcdef"]
+    classes = [p.agg(f"_sample{h}_{label}", F.min(F.when(bad & (first == h), text)), "min")
+               for h in "0123456789abcdef"]
     sample_list = F.array_join(F.slice(F.array_sort(F.array_compact(F.array(*classes))), 1, SAMPLE_SIZE), ", ")
     p.results.append(_result(
         table, f"accepted_values_{c}", "accepted_values", _fail_if(invalid > 0), total, invalid,
@@ -178,7 +193,7 @@ def _plan_freshness(p: _Plan, df: DataFrame, cfg: dict, table: str, sev: str,
     c, max_age = cfg["column"], cfg["max_age_hours"]
     _need(df, c, DateType, TimestampType, TimestampNTZType)
     total = p.agg("_rows", F.count(F.lit(1)))
-    latest = p.agg(f"_max_{c}", F.max(F.col(c)))
+    latest = p.agg(f"_max_{c}", F.max(F.col(c)), "max")
     # a date counts from midnight UTC
     latest_ts = latest.cast("timestamp") if isinstance(df.schema[c].dataType, DateType) else latest
     float(max_age)   # a limit that is no number is an error of this check
@@ -214,15 +229,20 @@ def _one_row(df: DataFrame, table: str, name: str, ctype: str, status, checked,
     return df.select(F.inline(F.array(_result(table, name, ctype, status, checked, failed, details, sev))))
 
 
-def check_uniqueness(df: DataFrame, cfg: dict, table: str) -> DataFrame:
+def check_uniqueness(df: DataFrame, cfg: dict, table: str, index: DataFrame | None = None) -> DataFrame:
     """rows - distinct values (NULL counts as one value).
 
     Duplicates are counted per value with a partial (map-side) count, so a
-    value repeated across a third of the table ships one row per map task.
+    value repeated across a third of the table ships one row per map task. With an
+    ``index`` (each stored value once) both numbers are plain counts: no shuffle.
     """
     c, sev = cfg["column"], cfg.get("severity", DEFAULT_SEVERITY["uniqueness"])
-    counts = df.groupBy(F.col(c)).agg(F.count(F.lit(1)).alias("n"))
-    s = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct"))
+    if index is not None:
+        s = df.agg(F.count(F.lit(1)).alias("total")).select(
+            "total", index.agg(F.count(F.lit(1))).scalar().alias("distinct"))
+    else:
+        counts = df.groupBy(F.col(c)).agg(F.count(F.lit(1)).alias("n"))
+        s = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct"))
     dup = F.col("total") - F.col("distinct")
     return _one_row(
         s, table, f"uniqueness_{c}", "uniqueness", _fail_if(dup > 0), F.col("total"), dup,
@@ -230,16 +250,18 @@ def check_uniqueness(df: DataFrame, cfg: dict, table: str) -> DataFrame:
                         F.lit(c), F.col("distinct"), F.col("total"), dup), sev)
 
 
-def check_referential_integrity(df: DataFrame, cfg: dict, table: str, ref: DataFrame) -> DataFrame:
+def check_referential_integrity(df: DataFrame, cfg: dict, table: str, ref: DataFrame,
+                                index: DataFrame | None = None) -> DataFrame:
     """Distinct foreign-key values missing from the referenced column.
 
     A NULL key never matches and counts as an orphan. Both sides are reduced
-    to their distinct values before the anti-join shuffles them.
+    to their distinct values before the anti-join shuffles them; an ``index`` of the
+    referenced column is distinct as it is.
     """
     c, rc = cfg["column"], cfg["reference_column"]
     rt, sev = cfg["reference_table"], cfg.get("severity", DEFAULT_SEVERITY["referential_integrity"])
     keys = df.select(F.col(c).alias("_k")).distinct()
-    refs = ref.select(F.col(rc).alias("_k")).distinct()
+    refs = ref.select(F.col(rc).alias("_k")).distinct() if index is None else index.toDF("_k")
     orphans = keys.join(refs, "_k", "left_anti")
     s = keys.agg(F.count(F.lit(1)).alias("total")).select(
         "total", orphans.agg(F.count(F.lit(1))).scalar().alias("orphans"))
@@ -320,16 +342,12 @@ def _error_row(df: DataFrame, table: str, cfg: dict, err: Exception) -> DataFram
     return row
 
 
-def run_table_checks(df: DataFrame, table: str, checks: list[dict], *,
-                     refs: dict[str, DataFrame] | None = None,
-                     as_of: _dt.datetime | None = None) -> DataFrame:
-    """All checks of one table as one DataFrame of results (schema CHECK_RESULT_COLUMNS).
+FUSED = ("not_null", "accepted_values", "range_check", "freshness", "row_count")
 
-    A check whose plan cannot be built (unknown column, missing reference
-    table, ...) yields a FAIL row ``<check>_error`` with its severity; an
-    unknown check type is logged and skipped.
-    """
-    refs = refs or {}
+
+def _planned(df: DataFrame, table: str, checks: list[dict], refs: dict[str, DataFrame], as_of: _dt.datetime | None,
+             indexes: dict[tuple[str, str], DataFrame], outlier=None) -> tuple[_Plan, list[DataFrame]]:
+    """The fused plan of the checks that have one, and the results of the others."""
     plan = _Plan()
     separate: list[DataFrame] = []
     for cfg in checks:
@@ -353,35 +371,49 @@ def run_table_checks(df: DataFrame, table: str, checks: list[dict], *,
                 _plan_row_count(own, df, cfg, table, sev)
             if own.results:
                 df.agg(*own.aggs.values()).select(F.inline(F.array(*own.results))).schema
-                for name, expr in own.aggs.items():
-                    plan.aggs.setdefault(name, expr)
-                plan.results += own.results
-            elif ctype in ("not_null", "accepted_values", "range_check", "freshness", "row_count"):
+                plan.take(own)
+            elif ctype in FUSED:
                 continue
             elif ctype == "uniqueness":
-                separate.append(check_uniqueness(df, cfg, table))
+                separate.append(check_uniqueness(df, cfg, table, indexes.get((table, cfg["column"]))))
             elif ctype == "referential_integrity":
                 ref = refs.get(cfg["reference_table"])
                 if ref is None:
                     raise KeyError(f"reference table {cfg['reference_table']} not given")
-                separate.append(check_referential_integrity(df, cfg, table, ref))
+                separate.append(check_referential_integrity(
+                    df, cfg, table, ref, indexes.get((cfg["reference_table"], cfg["reference_column"]))))
+            elif ctype == "statistical_outlier" and outlier is not None and not cfg.get("group_by"):
+                outlier(cfg)
             elif ctype == "statistical_outlier":
                 separate.append(check_statistical_outlier(df, cfg, table))
             else:
                 log.warning("unknown check type %r on %s: skipped", ctype, table)
         except Exception as err:  # noqa: BLE001 - isolation per check, as configured
             separate.append(_error_row(df, table, cfg, err))
-    parts = []
-    if plan.results:
-        fused = df.agg(*plan.aggs.values())
-        parts.append(fused.select(F.inline(F.array(*plan.results))))
-    parts.extend(separate)
+    return plan, separate
+
+
+def _all_rows(spark, parts: list[DataFrame]) -> DataFrame:
     if not parts:
-        return df.sparkSession.createDataFrame([], _empty_schema())
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*CHECK_RESULT_COLUMNS)
+        return spark.createDataFrame([], _empty_schema())
+    return reduce(DataFrame.unionByName, parts).select(*CHECK_RESULT_COLUMNS)
+
+
+def run_table_checks(df: DataFrame, table: str, checks: list[dict], *,
+                     refs: dict[str, DataFrame] | None = None,
+                     as_of: _dt.datetime | None = None,
+                     indexes: dict[tuple[str, str], DataFrame] | None = None) -> DataFrame:
+    """All checks of one table as one DataFrame of results (schema CHECK_RESULT_COLUMNS).
+
+    A check whose plan cannot be built (unknown column, missing reference
+    table, ...) yields a FAIL row ``<check>_error`` with its severity; an
+    unknown check type is logged and skipped. ``indexes`` gives, for a (table,
+    column), a table that holds each of its values once (a key index): uniqueness
+    then compares two counts, and a referenced column isn't reduced again.
+    """
+    plan, separate = _planned(df, table, checks, refs or {}, as_of, indexes or {})
+    fused = [df.agg(*plan.aggs.values()).select(F.inline(F.array(*plan.results)))] if plan.results else []
+    return _all_rows(df.sparkSession, fused + separate)
 
 
 def _empty_schema():
@@ -423,14 +455,15 @@ def unreadable_rows(spark, table: str, checks: list[dict], err: Exception) -> Da
 
 
 def executed_checks(df: DataFrame, table: str, checks: list[dict], *, refs: dict[str, DataFrame] | None = None,
-                    as_of: _dt.datetime | None = None) -> DataFrame:
+                    as_of: _dt.datetime | None = None, indexes: dict | None = None) -> DataFrame:
     """The results of ``run_table_checks``, computed; a check that fails while it runs costs only its own row.
 
     All checks run fused first. Only where that fails is each check run alone, and
     those that fail again become error rows.
     """
     def run(some):
-        return stage_table(run_table_checks(df, table, some, refs=refs, as_of=as_of).coalesce(1), "checks")
+        return stage_table(run_table_checks(df, table, some, refs=refs, as_of=as_of, indexes=indexes).coalesce(1),
+                           "checks")
 
     try:
         return run(checks)
@@ -446,7 +479,7 @@ def executed_checks(df: DataFrame, table: str, checks: list[dict], *, refs: dict
 
 
 def run_stored_suite(spark, read, catalogue: dict[str, list[dict]], *, as_of: _dt.datetime | None = None,
-                     execute: bool = False) -> DataFrame:
+                     execute: bool = False, indexes: dict | None = None) -> DataFrame:
     """The suite over stored tables; ``read(name)`` loads one.
 
     A table that can't be read doesn't leave the suite: each of its checks fails.
@@ -462,7 +495,7 @@ def run_stored_suite(spark, read, catalogue: dict[str, list[dict]], *, as_of: _d
                 parts.append(unreadable_rows(spark, name, catalogue[name], err))
     found = {t: cs for t, cs in catalogue.items() if t in tables}
     if found and execute:
-        parts += [executed_checks(tables[t], t, cs, refs=tables, as_of=as_of) for t, cs in found.items()]
+        parts += [executed_checks(tables[t], t, cs, refs=tables, as_of=as_of, indexes=indexes) for t, cs in found.items()]
     elif found:
         parts.append(run_suite(tables, found, as_of=as_of))
     return reduce(DataFrame.unionByName, parts)
