@@ -230,6 +230,74 @@ def test_latent_decon_rarest_words_replaced(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect() if r.lcs >= 0.75} == want
 
 
+def test_latent_decon_finds_paraphrases_through_the_latent_space(spark, monkeypatch):
+    """Half of the question's words are replaced, the answer stays; without the basis nothing is found."""
+    rng = np.random.default_rng(11)
+    pick = lambda n: [f"w{x}" for x in rng.integers(0, 4000, n)]
+    items, rows = [], [(1000 + k, " ".join(pick(200))) for k in range(60)]
+    for k in range(12):
+        question, answer = pick(22), pick(7)
+        items.append((k, " ".join(question) + ". " + " ".join(answer)))
+        half = [w if x % 2 else f"else{k}x{x}" for x, w in enumerate(question)]
+        rows.append((k, " ".join(pick(60) + half + answer + pick(60))))
+    bench, docs = spark.createDataFrame(items, "item_id long, text string"), brute.table(spark, rows)
+    found = {(r.doc_id, r.item_id): r for r in latent_decon.find(docs, bench).collect()}
+    assert len(found.keys() & {(k, k) for k in range(12)}) >= 11 and found.keys() <= {(k, k) for k in range(12)}
+    assert all(r.lcs < latent_decon.WEAK + 0.05 and r.answer == 1.0 for r in found.values())
+    whole = latent_decon.latent_basis
+    monkeypatch.setattr(latent_decon, "latent_basis", lambda *a, **k: np.zeros_like(whole(*a, **k)))
+    assert latent_decon.find(docs, bench).count() == 0
+
+
+def test_latent_decon_recall_of_the_lexical_reference(spark):
+    """Every pair that holds three quarters of an item in order, by trying all spans of all documents."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    items = [(i, set(i.words)) for i in latent_decon.items_of([(r.item_id, r.text) for r in bench.collect()])]
+    want = set()
+    for r in table.collect():
+        words = latent_decon.words_of(r.text or "")
+        for a in range(0, max(1, len(words)), 32):
+            span = words[a:a + 128]
+            held = set(span)
+            for i, own in items:
+                if 4 * len(own & held) >= 2 * len(own) and latent_decon.common(i.words, span) >= 0.75 * len(i.words):
+                    want.add((r.doc_id, i.item_id))
+    found = {(r.doc_id, r.item_id) for r in latent_decon.find(table, bench).collect()}
+    assert len(want) >= 20 and len(found & want) >= 0.9 * len(want)
+
+
+def test_all_texts_of_an_item_are_searched(spark):
+    rows = [(1, "before " + "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), (2, "nothing here"),
+            (3, "one two three four five six seven eight nine ten eleven twelve thirteen after")]
+    items = [(5, rows[0][1][7:]), (5, rows[2][1][:-6]), (5, None), (6, "")]
+    for block in (1, 2, 100):
+        found = latent_decon.find(brute.table(spark, rows), spark.createDataFrame(items, "item_id long, text string"), block)
+        assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(1, 5), (3, 5)]
+
+
+def test_randomised_svd_spans_the_leading_singular_vectors(spark):
+    rng = np.random.default_rng(4)
+    topic = rng.integers(0, 50, (8, 12))
+    rows = [topic[k % 8][rng.integers(0, 12, 10)].astype("<i4").tobytes() for k in range(300)]
+    items = [topic[k].astype("<i4").tobytes() for k in range(3)]
+    idf = rng.random(50) + 0.5
+
+    def dense(words):
+        r, c, v = latent_decon._weights(words, idf)
+        out = np.zeros((len(words), 50))
+        out[r, c] = v
+        return out
+
+    a = np.concatenate([dense(rows), np.sqrt(300) * dense(items)])
+    table = spark.createDataFrame([(bytearray(w),) for w in rows], "words binary").repartition(3)
+    m = rng.random((50, 4))
+    assert np.allclose(latent_decon.gram_times(table, idf, m), dense(rows).T @ (dense(rows) @ m))
+    basis = latent_decon.latent_basis(table, items, idf, rank=6, power=2)
+    lead = np.linalg.svd(a, full_matrices=False)[2][:6]
+    assert basis.shape == (50, 6) and np.linalg.svd(lead @ basis)[1].min() > 0.95
+
+
 def test_common_subsequence():
     def slow(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
