@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 from settlekit.session import scratch_path
 
 
-def write(records: DataFrame, column: str, separator: str, name: str) -> str:
-    """One file per non-empty partition, records in their order; returns the folder."""
+def write(records: DataFrame, column: str, separator: str, name: str, per_file: int = 64) -> str:
+    """Files of at most ``per_file`` records, in each partition's order; returns the folder.
+
+    Records are of bounded size, so files are too, whatever a partition holds.
+    """
     path = scratch_path(records.sparkSession, name)
-    (records.select(F.col(column).cast("string").alias("value"))
-     .write.option("lineSep", separator).option("compression", "none").text(path))
+    (records.select(F.col(column).cast("string").alias("value")).write.option("lineSep", separator)
+     .option("compression", "none").option("maxRecordsPerFile", per_file).text(path))
     return path
 
 

@@ -2,8 +2,9 @@
 
 An archive (``.warc.zst`` layout) starts with a skippable frame (magic
 0x184D2A5D) that holds the dictionary; each record is one frame compressed
-with it. The file layer puts an empty skippable frame (magic 0x184D2A50)
-behind every frame, which any Zstandard reader passes over.
+with it. An empty skippable frame (magic 0x184D2A50), which any Zstandard reader
+passes over, lies behind every frame. A task starts a new archive, with its own
+dictionary frame, once one holds ``FILE_BYTES``, so no archive grows with the data.
 
 Pages with equal payloads: the record with the largest page_id is a
 ``response``, the others are ``revisit`` records that refer to it and carry no
@@ -20,6 +21,7 @@ are responses too. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import hashlib
 import struct
 from collections.abc import Iterator
@@ -36,8 +38,11 @@ SEPARATOR = "P*M\x18\0\0\0\0"     # an empty skippable frame
 DICT_ROWS = 400                   # rows the dictionary is trained on at most
 DICT_BYTES = 32 << 10
 LEVEL = 3
+FILE_BYTES = 16 << 20             # bytes after which an archive is closed
 
 
+REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "WARC-Payload-Digest", "WARC-Payload-Length", "Content-Length")
+
 # -- records ------------------------------------------------------------------
 
 
@@ -46,11 +51,12 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id, url: str | None, payload: bytes, digest: str, refers_to, revisit: bool) -> bytes:
-    """One WARC/1.1 record; a revisit has no block."""
+def record(page_id, url: str | None, payload: bytes, digest: str, refers_to, revisit: bool, date: str) -> bytes:
+    """One WARC/1.1 record; a revisit has no block. ``date``: when the archive was written (UTC, ISO 8601)."""
     block = b"" if revisit else payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
             f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+            f"WARC-Date: {date}",
             f"WARC-Target-URI: {'urn:none' if url is None else _header_text(url)}",
             "Content-Type: text/html; charset=utf-8",
             f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Payload-Length: {len(payload)}"]
@@ -71,7 +77,11 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     at = raw.find(b"\r\n\r\n")
     if at < 0 or not raw.startswith(b"WARC/1.1\r\n"):
         raise ValueError("not a WARC record")
-    head = dict(line.split(": ", 1) for line in raw[:at].decode().split("\r\n")[1:])
+    lines = [line.split(": ", 1) for line in raw[:at].decode().split("\r\n")[1:]]
+    head = {x[0]: x[1] for x in lines if len(x) == 2}
+    missing = [h for h in REQUIRED if h not in head]
+    if missing or len(head) < len(lines):
+        raise ValueError(f"record {head.get('WARC-Record-ID')}: header {', '.join(missing) or 'line'} missing or broken")
     block = raw[at + 4:-4]
     if raw[-4:] != b"\r\n\r\n" or len(block) != int(head["Content-Length"]):
         raise ValueError(f"record {head.get('WARC-Record-ID')}: wrong Content-Length")
@@ -148,23 +158,33 @@ def write(pages: DataFrame, least: int = 0) -> str:
     """Archives of all pages; returns the folder."""
     words = train_dictionary(pages)
     lead = struct.pack("<II", DICT_MAGIC, len(words)) + words
-    schema = pa.schema([("frame", pa.binary())])
+    schema = pa.schema([("archive", pa.binary())])
+
+    date = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def packed(batches):
         shared = {"dict_data": zstandard.ZstdCompressionDict(words)} if words else {}
         z = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, **shared)
-        started = False
+        held, size = [], 0
+
+        def archive():
+            return pa.RecordBatch.from_arrays([pa.array([SEPARATOR.encode().join([lead, *held])], pa.binary())], schema=schema)
+
         for batch in batches:
-            out = [] if started else [lead]
-            started = True
             for page_id, url, payload, refers_to in zip(*(batch.column(k) for k in range(4))):
                 body = payload.as_py()
                 refers = refers_to.as_py()
-                out.append(z.compress(record(page_id.as_py(), url.as_py(), body, digest32(body), refers,
-                                             refers is not None)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], schema=schema)
-
-    return blobs.write(decide(pages, least).mapInArrow(packed, "frame binary"), "frame", SEPARATOR, "warc")
+                held.append(z.compress(record(page_id.as_py(), url.as_py(), body, digest32(body), refers,
+                                              refers is not None, date)))
+                size += len(held[-1])
+                if size >= FILE_BYTES:
+                    yield archive()
+                    held, size = [], 0
+        if held:
+            yield archive()
+
+    archives = decide(pages, least).mapInArrow(packed, "archive binary")
+    return blobs.write(archives, "archive", SEPARATOR, "warc", per_file=1)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

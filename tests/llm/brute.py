@@ -105,14 +105,14 @@ def line_dedup(rows, min_run=100):
         s = seq[d]
         for a in range(len(s)):
             size = 0
-            for z in range(a, min(len(s), a + 2 * min_run)):   # longer runs are unions of these
+            for z in range(a, len(s)):
                 size += len(s[z][1])
                 if size >= min_run:
                     run = tuple(x for _, x in s[a:z + 1])
                     if run in seen:
                         gone[d].update(i for i, _ in s[a:z + 1])
                     seen.add(run)
-                if size >= 3 * min_run + 200:
+                if size - len(s[a][1]) >= min_run:   # a longer run is this one and one from the next line
                     break
     return gone
 

@@ -131,11 +131,22 @@ def test_warc_round_trip(spark):
     assert {r.record_type for r in long if r.payload_bytes < 100} == {"response"}
 
 
+def test_archives_are_closed_by_size(spark, monkeypatch):
+    monkeypatch.setattr(warc_zstd, "FILE_BYTES", 2000)
+    rng = np.random.default_rng(1)
+    rows = [(k, f"http://h/{k}", "".join(map(chr, rng.integers(97, 123, 600)))) for k in range(60)]
+    path = warc_zstd.write(pages(spark, rows).coalesce(1))
+    files = [bytes(f.content) for f in blobs.read(spark, path).collect()]
+    assert len(files) >= 8 and max(map(len, files)) < 60_000   # a dictionary and some 2000 bytes
+    assert sorted(r.page_id for r in warc_zstd.read(spark, path).collect()) == list(range(60))
+
+
 def test_warc_empty_and_broken(spark):
     assert warc_zstd.read(spark, warc_zstd.write(pages(spark, []))).count() == 0
-    raw = warc_zstd.record(1, "u", b"body", warc_zstd.digest32(b"body"), None, False)
+    raw = warc_zstd.record(1, "u", b"body", warc_zstd.digest32(b"body"), None, False, "2024-01-01T00:00:00Z")
     assert warc_zstd.parse(raw)[1] == b"body"
-    for bad in (raw.replace(b"body", b"bodies"), raw.replace(b"body", b"bode"), raw[:-2], b"HTTP/1.1" + raw):
+    for bad in (raw.replace(b"body", b"bodies"), raw.replace(b"body", b"bode"), raw[:-2], b"HTTP/1.1" + raw,
+                *(b"\r\n".join(x for x in raw.split(b"\r\n") if not x.startswith(h.encode())) for h in warc_zstd.REQUIRED)):
         with pytest.raises(ValueError):
             warc_zstd.parse(bad)
     with pytest.raises(ValueError):
