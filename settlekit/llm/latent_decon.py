@@ -11,10 +11,10 @@ all texts of an item_id. For each block the corpus is scanned once:
    items' words (idf at most 1.5 times the median, so a paraphrase that replaces the
    rarest words stays near; words of more than a quarter of the documents weigh
    nothing where the item has other words).
-3. A randomised SVD is fitted on the passages of ``FIT_DOCS`` documents (taken by a hash
-   of their id: a documented sample) and the items: tasks multiply A'A with a thin
-   matrix, Spark sums the products, the driver orthonormalises the sum (words of the
-   block x rank numbers).
+3. A randomised SVD is fitted on the passages (``FIT_WINDOW`` words) of all documents and
+   the items: tasks add up A'A (of more than ``GRAM_WORDS`` words: its product with a thin
+   matrix), Spark sums their rows, the driver orthonormalises the products with a thin
+   matrix (words of the block x rank numbers).
 4. Every passage is projected; where its cosine to an item of its width reaches
    ``COSINE`` in the latent space it is a candidate. Only these are checked: the longest
    common subsequence of the item and the passage's span (half a window more on either
@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settlekit.llm import scan
+from settlekit.llm import scan, tokens
 from settlekit.llm.folds import fresh
 from settlekit.operators.joins import join_small_side
 from settlekit.session import drop_tables, stage_table
@@ -51,8 +51,10 @@ BLOCK_ITEMS = 2048
 BLOCK_WORDS = 60_000     # words of the items that are searched for together
 STRETCH = 1 << 16        # words of a document in one row
 NARROW = 32              # narrowest window
-FIT_DOCS = 2_000
 FIT_WINDOW, FIT_TASKS = 64, 6
+DENSE = 32               # passages that are multiplied at once
+GRAM_WORDS = 8_192       # words of a block whose products of pairs a task holds: 270 MB
+FREQUENT = 128           # of them multiplied densely
 RANK = 192
 COSINE = 0.5
 CLOSE = 0.5
@@ -205,33 +207,61 @@ def weights_of(df: np.ndarray, total: int, numbers: list[np.ndarray]) -> np.ndar
     return out
 
 
-def fit_rows(staged: DataFrame, kind: str) -> DataFrame:
-    """words (int32 numbers) of the passages of the sample that the SVD is fitted on."""
+def _passages(word: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First occurrence and number of occurrences of each passage that the SVD is fitted on, of rows with n places each."""
     step = FIT_WINDOW // 2
+    if not len(word):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    halves = place[np.cumsum(n) - 1] // step + 1
+    ends = np.cumsum(halves)
+    row = np.repeat(np.arange(len(n)), n)
+    held = np.bincount((ends - halves)[row] + place // step, minlength=int(ends[-1]))
+    first = np.cumsum(held) - held
+    size = held.copy()
+    size[:-1] += held[1:]
+    size[ends - 1] = held[ends - 1]      # the last one of a row ends with it
+    some = np.flatnonzero(size)
+    return first[some], size[some]
+
+
+def _fit_batches(batch: pa.RecordBatch, kind: str | None, most: int = 1024):
+    """(row of each word, word, rows) of some passages at a time; without ``kind`` the rows are passages of int32 numbers."""
+    if kind is None:
+        word, size = _numbers(batch.column(0), "<i4")
+        first = np.cumsum(size) - size
+    else:
+        word, n = _numbers(batch.column(0), kind)
+        first, size = _passages(word, _numbers(batch.column(1), "<u4")[0], n)
+    for at in range(0, len(size), most):
+        f, k = first[at:at + most], size[at:at + most]
+        yield np.repeat(np.arange(len(k)), k), word[tokens.ragged(f, k)], len(k)
+
+
+def passage_count(staged: DataFrame) -> int:
+    """Passages that the SVD is fitted on."""
+    schema = pa.schema([("n", pa.int64())])
 
     def run(batches):
+        n = 0
         for batch in batches:
-            out = []
-            for w, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                word, place = np.frombuffer(w, kind).astype("<i4"), np.frombuffer(p, "<u4")
-                for first in range(0, int(place[-1]) + 1, step):
-                    lo, hi = np.searchsorted(place, (first, first + FIT_WINDOW))
-                    if hi > lo:
-                        out.append(word[lo:hi].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["words"])
+            place, size = _numbers(batch.column(0), "<u4")
+            n += len(_passages(place, place, size)[0])
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], schema=schema)
 
-    sample = staged.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS).select("words", "places")
-    return stage_table(sample.repartition(FIT_TASKS).mapInArrow(run, "words binary"), "decon-fit")
+    return staged.select("places").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def _weights(words: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unit TF-IDF rows as (row, column, value) triples."""
     rows = np.repeat(np.arange(len(words)), [len(w) // 4 for w in words])
-    cols = np.frombuffer(b"".join(words), "<i4").astype(np.int64)
+    return _unit_rows(rows, np.frombuffer(b"".join(words), "<i4").astype(np.int64), len(words), idf)
+
+
+def _unit_rows(rows: np.ndarray, cols: np.ndarray, n: int, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     pair, tf = np.unique(rows * len(idf) + cols, return_counts=True)
     rows, cols = pair // len(idf), pair % len(idf)
     value = (1 + np.log(tf)) * idf[cols]
-    norm = np.sqrt(np.bincount(rows, value * value, minlength=len(words)))
+    norm = np.sqrt(np.bincount(rows, value * value, minlength=n))
     return rows, cols, value / np.maximum(norm, 1e-12)[rows]
 
 
@@ -245,48 +275,158 @@ def _rows_times(triples, n: int, m: np.ndarray) -> np.ndarray:
     return out
 
 
-def gram_times(rows: DataFrame, idf: np.ndarray, m: np.ndarray, batch_rows: int = 2048) -> np.ndarray:
-    """A'A @ m over all rows: partial products per task, summed word by word."""
+def gram_times(rows: DataFrame, idf: np.ndarray, m: np.ndarray, kind: str | None = None) -> np.ndarray:
+    """A'A @ m over all rows: partial products per task (in float32, added up in float64), summed word by word.
+
+    The rows are passages (``words``), or with ``kind`` staged occurrences, cut into passages in the tasks.
+    """
     schema = pa.schema([("word", pa.int32()), ("v", pa.binary())])
+    thin = np.ascontiguousarray(m, np.float32)
 
     def partial(batches):
-        acc = np.zeros_like(m)
+        acc, number = np.zeros(m.shape), np.zeros(len(idf), np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, batch_rows):
-                words = batch.column(0).slice(at, batch_rows).to_pylist()
-                t = _weights(words, idf)
-                y = _rows_times(t, len(words), m)
-                by = np.argsort(t[1], kind="stable")
-                cols = t[1][by]
-                first = np.flatnonzero(np.concatenate([[True], cols[1:] != cols[:-1]]))
-                acc[cols[first]] += np.add.reduceat(t[2][by, None] * y[t[0][by]], first)
+            for row, word, n in _fit_batches(batch, kind):
+                row, col, value = _unit_rows(row, word, n, idf)
+                cut = np.searchsorted(row, np.arange(0, n + DENSE, DENSE))
+                for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])):   # a few passages are dense in their own words
+                    own = np.unique(col[lo:hi])
+                    number[own] = np.arange(len(own))
+                    a = np.zeros((DENSE, len(own)), np.float32)
+                    a[row[lo:hi] - k * DENSE, number[col[lo:hi]]] = value[lo:hi]
+                    acc[own] += a.T @ (a @ thin[own])
         some = np.flatnonzero(acc.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()),
                                           pa.array([acc[k].tobytes() for k in some], pa.binary())], schema=schema)
 
+    read = rows.select("words") if kind is None else few_tasks(rows.select("words", "places"))
+    return _sum_words(read.mapInArrow(partial, "word int, v binary"), m)
+
+
+def _sum_words(parts: DataFrame, like: np.ndarray) -> np.ndarray:
+    """A row of numbers for each word, added up from the tasks' rows (word, v)."""
     def summed(table: pa.Table) -> pa.Table:
         total = np.sum([np.frombuffer(v) for v in table.column("v").to_pylist()], axis=0)
         return pa.table({"word": table.column("word").slice(0, 1), "v": pa.array([total.tobytes()], pa.binary())})
 
-    out = np.zeros_like(m)
-    for word, v in (rows.select("words").mapInArrow(partial, "word int, v binary")
-                    .groupBy("word").applyInArrow(summed, "word int, v binary").coalesce(FIT_TASKS).toLocalIterator()):
+    out = np.zeros(like.shape)
+    for word, v in (parts.groupBy("word").applyInArrow(summed, "word int, v binary")
+                    .coalesce(FIT_TASKS).toLocalIterator()):
         out[word] = np.frombuffer(bytes(v))
     return out
 
 
+def gram(staged: DataFrame, idf: np.ndarray, kind: str) -> DataFrame:
+    """word, v: row ``word`` of A'A over all passages of the occurrences, up to its diagonal (float64).
+
+    Words are numbered by rising weight. Tasks add up the half below the diagonal: the most frequent
+    words by a dense product, pairs with a rarer word one by one.
+    """
+    size = len(idf)
+    order = _by_weight(idf)
+    rank = np.argsort(order)
+    weight, top = idf[order], min(FREQUENT, size)
+    base = np.arange(size) * (np.arange(size) + 1) // 2
+    schema = pa.schema([("word", pa.int32()), ("cols", pa.binary()), ("v", pa.binary())])
+
+    def partial(batches):
+        below, dense = np.zeros(size * (size + 1) // 2), np.zeros((top, top))
+        for batch in batches:
+            for row, word, n in _fit_batches(batch, kind):
+                some = idf[word] > 0
+                row, col, value = _unit_rows(row[some], rank[word[some]], n, weight)
+                often = col < top
+                a = np.zeros((n, top), np.float32)
+                a[row[often], col[often]] = value[often]
+                dense += a.T @ a
+                # words ascend within a passage: a rarer word meets itself and those before it
+                held = np.bincount(row, minlength=n)
+                rare = np.flatnonzero(~often)
+                first = (np.cumsum(held) - held)[row[rare]]
+                met = rare - first + 1
+                other = tokens.ragged(first, met)
+                np.add.at(below, np.repeat(base[col[rare]], met) + col[other], np.repeat(value[rare], met) * value[other])
+        for k in range(top):
+            below[base[k]:base[k] + k + 1] += dense[k, :k + 1]
+        words, cols, v = [], [], []
+        for k in range(size):
+            own = below[base[k]:base[k] + k + 1]
+            at = np.flatnonzero(own)
+            if len(at):
+                words.append(k)
+                cols.append(at.astype("<u2").tobytes())
+                v.append(own[at].astype("<f4").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.int32()), pa.array(cols, pa.binary()), pa.array(v, pa.binary())],
+                                         schema=schema)
+
+    def summed(table: pa.Table) -> pa.Table:
+        word = table.column("word")[0].as_py()
+        out = np.zeros(word + 1)
+        for cols, v in zip(table.column("cols").to_pylist(), table.column("v").to_pylist()):
+            out[np.frombuffer(cols, "<u2")] += np.frombuffer(v, "<f4")
+        return pa.table({"word": table.column("word").slice(0, 1), "v": pa.array([out.tobytes()], pa.binary())})
+
+    parts = few_tasks(staged.select("words", "places")).mapInArrow(partial, "word int, cols binary, v binary")
+    return stage_table(parts.groupBy("word").applyInArrow(summed, "word int, v binary").coalesce(FIT_TASKS), "decon-gram")
+
+
+def _by_weight(idf: np.ndarray) -> np.ndarray:
+    """Words by rising weight, those without weight at the end."""
+    return np.argsort(np.where(idf > 0, idf, np.inf), kind="stable")
+
+
+def products(table: DataFrame, idf: np.ndarray, m: np.ndarray, most: int = 256) -> np.ndarray:
+    """A'A @ m from the rows of ``gram``."""
+    order = _by_weight(idf)
+    own = m[order]
+    schema = pa.schema([("word", pa.int32()), ("v", pa.binary())])
+
+    def partial(batches):
+        acc = np.zeros(m.shape)
+        for batch in batches:
+            for at in range(0, batch.num_rows, most):
+                words, rows = (batch.column(k).slice(at, most).to_pylist() for k in (0, 1))
+                a = np.zeros((len(words), len(own)))
+                for k, v in enumerate(rows):
+                    a[k, :words[k] + 1] = np.frombuffer(v)
+                acc[words] += a @ own
+                a[np.arange(len(words)), words] = 0.0
+                acc += a.T @ own[words]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(acc)), pa.int32()),
+                                          pa.array([v.tobytes() for v in acc], pa.binary())], schema=schema)
+
+    out = np.empty(m.shape)
+    out[order] = _sum_words(table.select("word", "v").mapInArrow(partial, "word int, v binary"), m)
+    return out
+
+
+def few_tasks(rows: DataFrame) -> DataFrame:
+    """In fewer, longer tasks: each one returns a product of the block's words."""
+    return rows.coalesce(max(2 * rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // 16))
+
+
 def latent_basis(rows: DataFrame, item_words: list[bytes], idf: np.ndarray, rank: int = RANK, power: int = 1,
-                 seed: int = 5) -> np.ndarray:
-    """Orthonormal columns that span the leading right singular vectors of A (randomised range finder)."""
-    weight = max(1, rows.count())
+                 seed: int = 5, kind: str | None = None) -> np.ndarray:
+    """Orthonormal columns that span the leading right singular vectors of A (randomised range finder).
+
+    A: the items and ``rows``, as ``gram_times`` takes them. Staged occurrences are read once for A'A where
+    it has at most ``GRAM_WORDS`` words, else for each product.
+    """
+    table = gram(rows, idf, kind) if kind is not None and len(idf) <= GRAM_WORDS else None
+    weight = max(1, rows.count() if kind is None else passage_count(rows))
     own = _rows_times(_weights(item_words, idf), len(item_words), np.eye(len(idf)))
-    times = lambda m: gram_times(rows, idf, m) + weight * own.T @ (own @ m)
+
+    def times(m):
+        fitted = gram_times(rows, idf, m, kind) if table is None else products(table, idf, m)
+        return fitted + weight * own.T @ (own @ m)
+
     v = len(idf)
     thin = min(v, rank + 8)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((v, thin)))[0]
     for _ in range(power + 1):
         q = np.linalg.qr(times(q))[0]
     b = times(q)
+    drop_tables(*([] if table is None else [table]))
     value, vector = np.linalg.eigh(q.T @ b)
     lead = np.argsort(-value)[:rank]
     return (q @ vector[:, lead[value[lead] > 1e-12 * max(value.max(), 1e-30)]]).astype(np.float64)
@@ -349,7 +489,8 @@ def _matches(staged: DataFrame, queries: list[Query], widths: list[int], item_wo
     wanted = (wanted / np.maximum(np.linalg.norm(wanted, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     classes = {x: np.flatnonzero(np.array(widths) == x) for x in sorted(set(widths))}
     chunk, most = min(classes) // 2, max(classes) // min(classes)
-    projected = np.concatenate([weight[:, None] * basis, np.zeros((1, basis.shape[1]))]).astype(np.float32)   # last: no word
+    projected = (weight[:, None] * basis).astype(np.float32)
+    buffer = np.empty((1024, basis.shape[1]), np.float32)
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()),
                         ("lcs", pa.float64()), ("answer", pa.float64())])
 
@@ -359,23 +500,34 @@ def _matches(staged: DataFrame, queries: list[Query], widths: list[int], item_wo
         ends = np.cumsum(n)
         halves = -(-(place[ends - 1] // chunk + 1) // most) * most
         base = np.cumsum(halves) - halves
-        # a half window has a slot for each of its words, so the sum over its words is one gather for each slot
-        slots = np.full((chunk, int(halves.sum())), len(weight), np.int64)
-        slots[place % chunk, base[row] + place // chunk] = word
-        narrow = projected[slots[0]]
-        for k in range(1, chunk):
-            narrow += projected[slots[k]]
+        # half windows by falling number of words with a weight: their k-th words are one gather for the first of them
+        some = weight[word] > 0
+        half = base[row[some]] + place[some] // chunk
+        held = np.bincount(half, minlength=int(halves.sum()))
+        by = np.argsort(-held, kind="stable")
+        at = np.empty_like(by)
+        at[by] = np.arange(len(by))
+        nth = np.arange(len(half)) - (np.cumsum(held) - held)[half]
+        slots = np.zeros((chunk, len(held)), np.int64)
+        slots[nth, at[half]] = word[some]
+        narrow = np.zeros((len(held), projected.shape[1]), np.float32)
+        for lo in range(0, len(held), len(buffer)):
+            own, hi = narrow[lo:lo + len(buffer)], lo + len(buffer)
+            for k in range(int(held[by[lo]])):
+                more = int((held[by[lo:hi]] > k).sum())
+                own[:more] += np.take(projected, slots[k, lo:lo + more], 0, buffer[:more], "clip")
+        narrow = narrow[at]
         for width, items in classes.items():
             m = width // 2 // chunk
             part = narrow if m == 1 else narrow.reshape(-1, m, narrow.shape[1]).sum(1)
             owner = np.repeat(np.arange(len(n)), halves // m)
             passage = part.copy()
-            on = np.flatnonzero(owner[1:] == owner[:-1])
-            passage[on] += part[on + 1]
-            norm = np.sqrt(np.einsum("ij,ij->i", passage, passage))
-            cosine = passage @ wanted[items].T
-            cosine /= np.maximum(norm, 1e-9)[:, None]
-            hit, which = np.nonzero(cosine >= COSINE)
+            passage[:-1] += part[1:]
+            end = np.cumsum(halves // m) - 1
+            passage[end] = part[end]
+            norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", passage, passage)), 1e-9)
+            cosine = passage @ wanted[items].T      # times the norm
+            hit, which = np.divmod(np.flatnonzero(cosine >= (COSINE * norm)[:, None]), len(items))
             last, span, said = -1, [], set()
             for p, k in zip(hit.tolist(), which.tolist()):
                 r = owner[p]
@@ -384,7 +536,7 @@ def _matches(staged: DataFrame, queries: list[Query], widths: list[int], item_wo
                     lo, hi = np.searchsorted(place[ends[r] - n[r]:ends[r]], (begin, begin + 2 * width)) + ends[r] - n[r]
                     span, last = word[lo:hi].tolist(), p
                     said = set(span)
-                query, near = queries[items[k]], float(cosine[p, k])
+                query, near = queries[items[k]], float(cosine[p, k] / norm[p])
                 got = query.check(span, said, near)
                 if got is not None:
                     out.append((ids[r], query.item_id, near, *got))
@@ -456,9 +608,7 @@ def _find_block(docs: DataFrame, items: list[Item]) -> DataFrame:
     if not weight.any():
         return empty
     item_words = [n.astype("<i4").tobytes() for n in numbers]
-    sample = fit_rows(staged, vocabulary.kind)
-    basis = latent_basis(sample, item_words, weight)
-    drop_tables(sample)
+    basis = latent_basis(staged, item_words, weight, kind=vocabulary.kind)
     number = {w: int(k) for i, n in zip(items, numbers) for w, k in zip(i.words, n)}
     return _matches(staged, [Query(i, number, weight) for i in items], widths, item_words, weight, basis, vocabulary.kind)
 

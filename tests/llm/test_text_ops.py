@@ -460,3 +460,32 @@ def test_parity_join_null_repeated_and_empty(spark, empty):
     assert sorted(i for i in ids if i is not None) == sorted(
         {r.doc_id for r in got if r.doc_id is not None and r.component_id == r.doc_id})
     assert parity_join.near_duplicates(empty, rule).count() == 0 and parity_join.keep_first(empty, rule).count() == 0
+
+
+def test_latent_decon_is_fitted_on_the_passages_of_all_documents(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 60, rng.integers(1, 200))) for _ in range(2_300)]
+    item = " ".join(f"w{x}" for x in range(60))
+    monkeypatch.setattr(latent_decon, "FREQUENT", 20)
+    idf = {}
+    whole = latent_decon.latent_basis
+
+    def spied(rows, items, weight, **k):
+        m = rng.random((60, 3))
+        idf.update(n=latent_decon.passage_count(rows), m=m, weight=weight, products=[
+            latent_decon.gram_times(rows, weight, m, k["kind"]),
+            latent_decon.products(latent_decon.gram(rows, weight, k["kind"]), weight, m)])
+        return whole(rows, items, weight, **k)
+
+    monkeypatch.setattr(latent_decon, "latent_basis", spied)
+    latent_decon.find(brute.table(spark, list(enumerate(texts))), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    vocabulary = latent_decon.Vocabulary(latent_decon.hashes(latent_decon.words_of(item)))
+    passages = []
+    for t in texts:
+        word = vocabulary.find(latent_decon.hashes(latent_decon.words_of(t)))[1].astype("<i4")
+        passages += [word[a:a + 64].tobytes() for a in range(0, len(word), 32)]
+    assert idf["n"] == len(passages)
+    r, c, v = latent_decon._weights(passages, idf["weight"])
+    a = np.zeros((len(passages), 60))
+    a[r, c] = v
+    assert all(np.allclose(x, a.T @ (a @ idf["m"]), rtol=1e-4) for x in idf["products"])
