@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from settlekit.operators import ingest
+from settlekit.plans import registry
 from settlekit.plans.pipeline import run_batch
 from settlekit.schemas import PAYMENT_EVENT_COLUMNS
 from settlekit.sinks.contracts import assert_contract, check_contract
@@ -15,7 +16,7 @@ from settlekit.sources.fixtures import payment_events, raw_deliveries
 from settlekit.sources.tables import jdbc_options, read_table
 from settlekit.sinks.snapshots import Snapshots
 from settlekit.streaming.ingest import REJECTED, IngestSink, read_stored, read_stream, run_available_now, start_ingest
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, plan_text
 
 
 def _rows(df):
@@ -230,3 +231,16 @@ def test_incremental_batch_equals_full_recompute(spark, tmpdir_path):
         a = read_table(spark, name, root=full).drop("computed_at")
         b = read_table(spark, name, root=inc).drop("computed_at")
         assert a.count() == b.count() and a.exceptAll(b).count() == 0, name
+
+
+def test_sink_moves_no_whole_rows_to_find_copies(spark, tmp_path):
+    """Only rows whose key repeats are compared as a whole; a batch's other rows pass by a broadcast."""
+    rows = spark.createDataFrame([(f"e{k % 50}", k) for k in range(53)], "event_id string, x long")
+    keys = rows.groupBy("event_id").count().filter("count > 1").selectExpr("event_id as _key")
+    out = ingest.dedup_repeated(rows, keys)
+    assert sorted(map(tuple, out.collect())) == sorted((f"e{k}", k) for k in range(50))
+    plan = plan_text(out)
+    assert "BroadcastHashJoin LeftAnti" in plan and "SortMergeJoin" not in plan
+    root = str(tmp_path / "inbox")
+    files = registry._inbox(spark, "/root/testdata/sf0.001", root)
+    assert files >= 2 and all(f.endswith(".gz") for f in spark.read.text(root).inputFiles())
