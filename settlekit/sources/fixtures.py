@@ -4,7 +4,7 @@ Every order becomes one transaction whose lifecycle events are generated by
 integer rules on the order key, so that any SQL engine can recompute the same
 rows (see FIXTURES.md). The derivation is one scan of ``orders`` with a
 broadcast of at most ten supplier rows and an in-task explode; the only
-shuffle spreads an input of fewer partitions than cores.
+shuffle spreads the narrow rows of ``orders`` evenly over tasks.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ MERCHANT_COUNTRIES = ["NL", "DE", "FR", "GB", "US"]          # by s_nationkey %
 METHOD_BY_KEY = ["visa", "visa", "mastercard", "ideal", "amex", "klarna", "sofort"]  # by k % 7
 ISSUER_COUNTRIES = ["NL", "DE", "BE", "SE"]                  # by k % 4
 DECLINE_CODES = {17: "05", 18: "51", 19: "54"}              # by k % 20 on authorizations
+ORDERS_A_TASK = 250_000
 CARD_METHODS = ["visa", "mastercard", "amex"]
 MERCHANT_CATEGORY_CODE = "5999"
 SHOPPER_INTERACTION = "ecommerce"
@@ -49,11 +50,10 @@ def _orders_with_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate"),
         (F.col("o_custkey") % 10).alias("m"),
     )
-    # A small input stored as few row groups scans as few tasks; spread it over
-    # the cores. A large input already has more partitions than cores.
-    cores = spark.sparkContext.defaultParallelism
-    if orders.rdd.getNumPartitions() < cores:
-        orders = orders.repartition(cores)
+    # An input of few row groups scans as few tasks, however its bytes are split;
+    # spread the narrow rows evenly, as each becomes several wide ones.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-orders.count() // ORDERS_A_TASK))
+    orders = orders.repartition(tasks)
     # Only suppliers 0..9 (and the negative mirror keys) can match
     # o_custkey % 10: the filter is pushed to the scan, and the broadcast side
     # is counted before it is shipped.
