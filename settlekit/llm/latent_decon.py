@@ -63,6 +63,7 @@ WEAK = 0.6
 PARAPHRASE = 0.4
 ANSWER = 0.8
 CHUNKS = 1 << 14         # half windows projected at once
+ENTRIES = 4096           # of a sparse matrix, or rows of a thin one, that the driver works on at once
 MATCHES = "doc_id long, item_id long, cosine double, lcs double, answer double"
 SMALL_ROWS = 1_000_000   # (long) rows that may be broadcast: 8 MB
 
@@ -265,26 +266,47 @@ def _unit_rows(rows: np.ndarray, cols: np.ndarray, n: int, idf: np.ndarray) -> t
     return rows, cols, value / np.maximum(norm, 1e-12)[rows]
 
 
-def _rows_times(triples, n: int, m: np.ndarray) -> np.ndarray:
-    """A @ m for the sparse rows."""
-    rows, cols, value = triples
-    out = np.zeros((n, m.shape[1]), np.float64)
-    if len(rows):
+def _rows_times(triples, n: int, m: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """A @ m for the sparse rows, some entries at a time; added to ``out`` where it is given."""
+    out = np.zeros((n, m.shape[1]), np.float64) if out is None else out
+    for at in range(0, len(triples[0]), ENTRIES):
+        rows, cols, value = (x[at:at + ENTRIES] for x in triples)
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        out[rows[first]] = np.add.reduceat(value[:, None] * m[cols], first)
+        out[rows[first]] += np.add.reduceat(value[:, None] * m[cols], first)
     return out
 
 
+def _transposed(triples) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows, cols, value = triples
+    by = np.argsort(cols, kind="stable")
+    return cols[by], rows[by], value[by]
+
+
+def orthonormal(m: np.ndarray) -> np.ndarray:
+    """Orthonormal columns of the same span in place of ``m``: QR of some rows at a time, then of their R."""
+    upper, held = [], 0
+    for at in range(0, len(m), ENTRIES):
+        q, r = np.linalg.qr(m[at:at + ENTRIES])
+        m[at:at + ENTRIES, :q.shape[1]] = q
+        upper.append(r)
+    last = np.linalg.qr(np.concatenate(upper))[0] if len(m) else m
+    for k, r in enumerate(upper):
+        own = m[k * ENTRIES:(k + 1) * ENTRIES]
+        own[:] = own[:, :len(r)] @ last[held:held + len(r)]
+        held += len(r)
+    return m
+
+
 def gram_times(rows: DataFrame, idf: np.ndarray, m: np.ndarray, kind: str | None = None) -> np.ndarray:
     """A'A @ m over all rows: partial products per task (in float32, added up in float64), summed word by word.
 
     The rows are passages (``words``), or with ``kind`` staged occurrences, cut into passages in the tasks.
     """
     schema = pa.schema([("word", pa.int32()), ("v", pa.binary())])
-    thin = np.ascontiguousarray(m, np.float32)
+    thin, shape = np.ascontiguousarray(m, np.float32), m.shape
 
     def partial(batches):
-        acc, number = np.zeros(m.shape), np.zeros(len(idf), np.int64)
+        acc, number = np.zeros(shape), np.zeros(len(idf), np.int64)
         for batch in batches:
             for row, word, n in _fit_batches(batch, kind):
                 row, col, value = _unit_rows(row, word, n, idf)
@@ -382,7 +404,7 @@ def products(table: DataFrame, idf: np.ndarray, m: np.ndarray, most: int = 256)
     schema = pa.schema([("word", pa.int32()), ("v", pa.binary())])
 
     def partial(batches):
-        acc = np.zeros(m.shape)
+        acc = np.zeros(own.shape)
         for batch in batches:
             for at in range(0, batch.num_rows, most):
                 words, rows = (batch.column(k).slice(at, most).to_pylist() for k in (0, 1))
@@ -414,22 +436,24 @@ def latent_basis(rows: DataFrame, item_words: list[bytes], idf: np.ndarray, rank
     """
     table = gram(rows, idf, kind) if kind is not None and len(idf) <= GRAM_WORDS else None
     weight = max(1, rows.count() if kind is None else passage_count(rows))
-    own = _rows_times(_weights(item_words, idf), len(item_words), np.eye(len(idf)))
+    v, n = len(idf), len(item_words)
+    own = _weights(item_words, idf)
+    word, item, value = _transposed(own)
+    back = word, item, weight * value
 
     def times(m):
         fitted = gram_times(rows, idf, m, kind) if table is None else products(table, idf, m)
-        return fitted + weight * own.T @ (own @ m)
+        return _rows_times(back, v, _rows_times(own, n, m), fitted)
 
-    v = len(idf)
     thin = min(v, rank + 8)
-    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((v, thin)))[0]
+    q = orthonormal(np.random.default_rng(seed).standard_normal((v, thin)))
     for _ in range(power + 1):
-        q = np.linalg.qr(times(q))[0]
-    b = times(q)
+        q = orthonormal(times(q))
+    inner = q.T @ times(q)
     drop_tables(*([] if table is None else [table]))
-    value, vector = np.linalg.eigh(q.T @ b)
+    value, vector = np.linalg.eigh(inner)
     lead = np.argsort(-value)[:rank]
-    return (q @ vector[:, lead[value[lead] > 1e-12 * max(value.max(), 1e-30)]]).astype(np.float64)
+    return q @ vector[:, lead[value[lead] > 1e-12 * max(value.max(), 1e-30)]]
 
 
 class Query:
@@ -489,7 +513,7 @@ def _matches(staged: DataFrame, queries: list[Query], widths: list[int], item_wo
     wanted = (wanted / np.maximum(np.linalg.norm(wanted, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     classes = {x: np.flatnonzero(np.array(widths) == x) for x in sorted(set(widths))}
     chunk, most = min(classes) // 2, max(classes) // min(classes)
-    projected = (weight[:, None] * basis).astype(np.float32)
+    projected = np.multiply(weight[:, None], basis, out=np.empty(basis.shape, np.float32), casting="same_kind")
     buffer = np.empty((1024, basis.shape[1]), np.float32)
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()),
                         ("lcs", pa.float64()), ("answer", pa.float64())])

@@ -1,6 +1,7 @@
 """The operators on awkward documents, against brute force."""
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -298,6 +299,37 @@ def test_randomised_svd_spans_the_leading_singular_vectors(spark):
     assert basis.shape == (50, 6) and np.linalg.svd(lead @ basis)[1].min() > 0.95
 
 
+def test_latent_basis_takes_little_of_the_drivers_memory(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    idf = rng.random(4000) + 0.5
+    rows = [rng.integers(0, 4000, 50).astype("<i4").tobytes() for _ in range(300)]
+    items = [rng.integers(0, 4000, 40).astype("<i4").tobytes() for _ in range(200)]
+    table = spark.createDataFrame([(bytearray(w),) for w in rows], "words binary")
+    tracemalloc.start()
+    basis = latent_decon.latent_basis(table, items, idf, rank=20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+    monkeypatch.setattr(latent_decon, "ENTRIES", 1 << 20)
+    again = latent_decon.latent_basis(table, items, idf, rank=20)
+    assert np.allclose(basis @ (basis.T @ again), again) and np.allclose(basis.T @ basis, np.eye(20))
+
+
+def test_products_and_orthonormal_columns_by_blocks(monkeypatch):
+    monkeypatch.setattr(latent_decon, "ENTRIES", 16)
+    rng = np.random.default_rng(3)
+    a = rng.random((30, 70)) * (rng.random((30, 70)) < 0.3)
+    sparse = *np.nonzero(a), a[np.nonzero(a)]
+    m = rng.random((70, 20))
+    assert np.allclose(latent_decon._rows_times(sparse, 30, m), a @ m)
+    back = latent_decon._transposed(sparse)
+    assert np.allclose(latent_decon._rows_times(back, 70, a @ m, m.copy()), m + a.T @ (a @ m))
+    for v, wide in ((70, 20), (70, 5), (20, 20), (7, 7)):      # blocks of fewer rows than columns, too
+        m = rng.random((v, wide))
+        q = latent_decon.orthonormal(m.copy())
+        assert np.allclose(q.T @ q, np.eye(wide)) and np.allclose(q @ (q.T @ m), m)
+
+
 def test_common_subsequence():
     def slow(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
