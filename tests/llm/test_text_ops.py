@@ -5,6 +5,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from settlekit.llm import (decision_lists, hilbert_pack, latent_decon, line_runs, parity_join, scan, suffix_cover,
@@ -58,6 +59,23 @@ def test_words_lines_and_shingles_are_those_of_the_text():
         for t in rows]
 
 
+def test_slices_keep_the_arrays_of_many_texts_small():
+    rng = np.random.default_rng(4)
+    vocabulary = [f"word{k}" for k in range(5000)]
+    texts = [" ".join(rng.choice(vocabulary, 200)) for _ in range(2000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(2000)), "text": pa.array(texts)})
+    scan.powers(1 << 21)     # kept by the worker
+    bands, rows = parity_join.Bands(parity_join.Rule()), 0
+    tracemalloc.start()
+    for part in scan.slices(batch):
+        h, doc, n_docs = parity_join.sets_of(scan.payloads(part.column(1)), parity_join.Rule())
+        parity_join.sketch_keys(h, doc, parity_join.fingerprints(h, doc, n_docs)[0], bands)
+        rows += n_docs
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 2000 and peak < 12 << 20, peak
+
+
 # -- op 1 --------------------------------------------------------------------
 
 
