@@ -24,12 +24,16 @@ and never paired. Buckets never emit all pairs: in each star round the members o
 bucket are paired with its hub only (another one each round); pairs that may be
 links are verified on the exact sets and components are joined. When a star round
 finds no link, or after ``STAR_ROUNDS``, the pairs that share a bucket and still lie in
-different components are tried too, so the components are those of all links.
+different components are tried too, so the components are those of all links. The
+hubs have been tried by then; the other members meet in blocks of bounded size, where
+a task compares sizes and sketches of many pairs at a time.
 Whether two classes may be linked is seen from their sizes and their bit sketches
 (``BITS`` bits, one toggled per shingle): a Hamming distance beyond the symmetric
 difference that a link allows rules it out. Sketches of 2048 bits tell sets of a
 thousand shingles apart to a few shingles, so what passes is mostly linked, and
-near copies just below the similarity leave the join where they meet. Tables of a
+near copies just below the similarity leave the join where they meet. Larger sets
+fill such a sketch, so their pairs are compared once more on a sketch of at least
+``WIDE`` bits a shingle before the sets themselves are brought together. Tables of a
 finished round are dropped.
 
 Defined results: null and empty texts, and texts without words, have an empty
@@ -59,6 +63,9 @@ STAR_ROUNDS = 4
 WORDS = 32                 # 64-bit words of a bit sketch
 QUICK_WORDS = 4            # of them compared first
 BITS = 64 * WORDS
+WIDE = 4                   # bits a shingle of a wide sketch, at least
+BLOCK = 2048               # members of a bucket that meet in one block of the last round
+TRIED = 1 << 17            # pairs of a block that are compared at a time
 SPARE = 0.3                # spare segments for each one that the pigeonhole needs: more keys, smaller buckets
 SMALL_ROWS = 1_000_000     # (long, long) rows that may be broadcast: 16 MB
 SKETCH_ROWS = 100_000      # rows with a bit sketch that may be broadcast: 27 MB
@@ -136,6 +143,63 @@ def bit_sketches(h: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
     return np.packbits(odd.reshape(n_docs, BITS), axis=1, bitorder="little").view("<i8")
 
 
+def wide_sketch(h: np.ndarray) -> bytes | None:
+    """Like ``bit_sketches`` with at least ``WIDE`` bits a shingle, a power of two; None if that is no more than BITS.
+
+    Halves combined by XOR are the sketch of half the bits, so sets of different sizes compare.
+    """
+    bits = BITS
+    while bits < WIDE * len(h):
+        bits *= 2
+    if bits == BITS:
+        return None
+    bit = (scan.mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def wide_apart(x: bytes, y: bytes) -> int:
+    """Bits that two wide sketches differ in, after folding the longer one."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def block_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: np.ndarray, side: np.ndarray | None,
+                rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (i, j) of a block's pairs of different components that sizes and bit sketches don't rule out.
+
+    ``side`` tells the two parts of a block apart of which only the pairs across are asked for; None for all pairs.
+    """
+    by = np.argsort(n, kind="stable")  # a row's partners of linkable size are a range behind it
+    n, comp, bits = n[by], comp[by], bits[by]
+    side = None if side is None else side[by]
+    many = np.searchsorted(n, n * rule.q // rule.p, "right") - np.arange(len(n)) - 1
+    ends = np.cumsum(many)
+    out, done = [np.zeros((2, 0), np.int64)], 0
+    while done < len(n):
+        base = ends[done - 1] if done else 0
+        stop = max(done + 1, int(np.searchsorted(ends, base + TRIED, "right")))
+        i = np.repeat(np.arange(done, stop), many[done:stop])
+        j = np.arange(len(i)) - np.repeat(ends[done:stop] - many[done:stop] - base, many[done:stop]) + i + 1
+        keep = comp[i] != comp[j]
+        if side is not None:
+            keep &= side[i] != side[j]
+        i, j = i[keep], j[keep]
+        apart = np.zeros(len(i), np.int64)
+        for first, last in ((0, QUICK_WORDS), (QUICK_WORDS, 4 * QUICK_WORDS), (4 * QUICK_WORDS, WORDS)):
+            for k in range(first, last):
+                apart += np.bitwise_count(bits[i, k] ^ bits[j, k])
+            keep = apart * (rule.q + rule.p) <= (n[i] + n[j]) * (rule.q - rule.p)
+            i, j, apart = i[keep], j[keep], apart[keep]
+        out.append(np.stack([by[i], by[j]]))
+        done = stop
+    i, j = np.concatenate(out, axis=1)
+    return i, j
+
+
 def sketch_keys(h: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands) -> tuple[np.ndarray, ...]:
     """(key, document, tag) of every segment that a document is joined on.
 
@@ -221,50 +285,122 @@ def bucket_rows(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def set_rows(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """node, n, bit sketch s0 .. and hashes (sorted uint64) of the documents ``nodes``."""
+    """node, n, bit sketch s0 .., wide sketch (null for small sets) and hashes (sorted uint64) of the documents ``nodes``."""
     bits = [f"s{k}" for k in range(WORDS)]
-    schema = pa.schema([*((c, pa.int64()) for c in ("node", "n", *bits)), ("hashes", pa.binary())])
+    schema = pa.schema([*((c, pa.int64()) for c in ("node", "n", *bits)), ("wide", pa.binary()),
+                        ("hashes", pa.binary())])
 
     def run(batches):
         for batch in batches:
             for part in scan.slices(batch):
                 h, doc, count = sets_of(scan.payloads(part.column(1)), rule)
                 ends = np.searchsorted(doc, np.arange(count + 1))
+                wide = [wide_sketch(h[a:b]) for a, b in zip(ends[:-1], ends[1:])]
                 rows = [h[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
                 s = bit_sketches(h, doc, count)
                 yield pa.RecordBatch.from_arrays([part.column(0), *_longs(np.diff(ends).astype(np.int64)), *_longs(*s.T),
-                                                  pa.array(rows, pa.binary())], schema=schema)
+                                                  pa.array(wide, pa.binary()), pa.array(rows, pa.binary())], schema=schema)
 
     wanted = join_small_side(docs, nodes.select(F.col("node").alias("doc_id")), "doc_id", max_rows=SMALL_ROWS)
     return wanted.select("doc_id", "text").mapInArrow(
-        run, ", ".join(f"{c} long" for c in ("node", "n", *bits)) + ", hashes binary")
+        run, ", ".join(f"{c} long" for c in ("node", "n", *bits)) + ", wide binary, hashes binary")
+
+
+def _sides(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """The pairs (a, b, ca, cb) with ``columns`` of both sides' sets: only the sets that a side needs are shuffled."""
+    names = ["a", "b", "ca", "cb"]
+    for side in ("a", "b"):
+        needed = pairs.select(F.col(side).alias("node")).distinct()
+        own = join_small_side(sets.select("node", *columns), needed, "node", max_rows=SMALL_ROWS)
+        pairs = pairs.join(own.select(F.col("node").alias(side), *[F.col(c).alias(c + side) for c in columns]), side)
+        names += [c + side for c in columns]
+    return pairs.select(*names)
+
+
+def _pair_filter(pairs: DataFrame, test) -> DataFrame:
+    """The pairs (a, b, ca, cb) of the rows whose further values pass ``test``."""
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "ca", "cb")])
+
+    def run(batches):
+        for batch in batches:
+            keep = [test(*values) for values in zip(*batch.columns[4:])]
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], schema=schema).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(run, "a long, b long, ca long, cb long")
+
+
+def nearer(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The rows of ``pairs`` (a, b, ca, cb) that the wide sketches don't rule out."""
+    def test(na, x, nb, y):
+        return not (x.is_valid and y.is_valid) or (wide_apart(x.as_buffer(), y.as_buffer()) * (rule.q + rule.p)
+                                                   <= (na.as_py() + nb.as_py()) * (rule.q - rule.p))
+
+    return _pair_filter(_sides(pairs, sets, "n", "wide"), test)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The rows of ``pairs`` (a, b, ca, cb) whose exact sets are linked."""
+    def test(x, y):
+        u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        both = 0
+        if len(u) and len(v):
+            at = np.minimum(np.searchsorted(v, u), len(v) - 1)
+            both = int((v[at] == u).sum())
+        return both > 0 and rule.linked(both, len(u), len(v))
+
+    return _pair_filter(_sides(pairs, sets, "hashes"), test).distinct()
+
+
+def bucket_pairs(members: DataFrame, sketches: DataFrame, turns: int, rule: Rule) -> DataFrame:
+    """a, b, ca, cb of the pairs of ``members`` (key, node, component) that share a bucket, lie in different
+    components and aren't ruled out, without those of the hubs of the star rounds 0 .. ``turns`` - 1.
+
+    A bucket is dealt into parts of about ``BLOCK`` members by a hash of the node; a block holds one
+    part or two, so a bucket of any size is many bounded blocks.
+    """
+    hubs = members.groupBy("key").agg(F.array_distinct(F.array(*[_hub(t)["hub"] for t in range(turns)])).alias("hubs"),
+                                      F.count("*").alias("size"))
+    left = (members.join(hubs.filter(F.col("size") > F.size("hubs") + 1), "key")
+            .filter(~F.array_contains("hubs", F.col("node"))))
+    parts = F.ceil((F.col("size") - F.size("hubs")) / BLOCK).cast("int")
+    dealt = left.select("key", "node", "component", parts.alias("parts")).withColumn(
+        "part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    bits = [f"s{k}" for k in range(WORDS)]
+    rows = join_small_side(dealt, sketches, "node", max_rows=SKETCH_ROWS).select(
+        "key", F.least("part", "other").cast("long").alias("lo"), F.greatest("part", "other").cast("long").alias("hi"),
+        F.col("part").cast("long").alias("part"), "node", "component", "n", *bits)
     schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "ca", "cb")])
 
     def run(batches):
+        held = np.zeros((7 + WORDS, 0), np.int64)   # rows of a block whose end hasn't been seen
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(4), batch.column(5)):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = 0
-                if len(u) and len(v):
-                    at = np.minimum(np.searchsorted(v, u), len(v) - 1)
-                    both = int((v[at] == u).sum())
-                keep.append(both > 0 and rule.linked(both, len(u), len(v)))
-            yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(4)], schema=schema).filter(
-                pa.array(keep, pa.bool_()))
-
-    def side(name, hashes):
-        """The sets that one side of the pairs needs: only they are shuffled."""
-        needed = pairs.select(F.col(name).alias("node")).distinct()
-        return join_small_side(sets, needed, "node", max_rows=SMALL_ROWS).select(
-            F.col("node").alias(name), F.col("hashes").alias(hashes))
-
-    return (pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "ca", "cb", "x", "y")
-            .mapInArrow(run, "a long, b long, ca long, cb long").distinct())
+            held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+            cut = np.flatnonzero((held[:3, 1:] != held[:3, :-1]).any(axis=0)) + 1
+            yield from blocks(held, cut)
+            held = held[:, cut[-1]:] if len(cut) else held
+        yield from blocks(held, np.array([held.shape[1]]))
+
+    def blocks(held, ends):
+        found = []
+        for first, last in zip(np.concatenate([[0], ends[:-1]]), ends):
+            if last - first < 2:
+                continue
+            _, lo, hi, part, node, comp, n = held[:7, first:last]
+            i, j = block_pairs(node, comp, n, np.ascontiguousarray(held[7:, first:last].T).view(np.uint64),
+                               part if lo[0] < hi[0] else None, rule)
+            found.append(np.stack([node[i], node[j], comp[i], comp[j]]))
+        if found:
+            yield pa.RecordBatch.from_arrays(_longs(*np.concatenate(found, axis=1)), schema=schema)
+
+    return (rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+            .mapInArrow(run, "a long, b long, ca long, cb long"))
+
+
+def _hub(turn: int):
+    """The member of a bucket that the others are paired with in a star round (hub, hub_component)."""
+    return F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), F.col("node").alias("hub"),
+                          F.col("component").alias("hub_component")))
 
 
 def met_rows(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -340,7 +476,8 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
         nonlocal tested, labels
         pairs = stage_table(pairs.coalesce(some), "parity-pairs")
         done.append(pairs)
-        new = stage_table(verified(pairs, sets, rule).coalesce(some), "parity-links")
+        close = stage_table(nearer(pairs, sets, rule).coalesce(some), "parity-close")
+        new = stage_table(verified(close, sets, rule).coalesce(some), "parity-links")
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         found = new.count()
         if found:
@@ -350,7 +487,7 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
             labels = stage_table(join_small_side(labels, merged, "component", "left", max_rows=SMALL_ROWS).select(
                 "node", F.coalesce("to", "component").alias("component")).coalesce(few), "parity-labels")
             drop_tables(old)
-        drop_tables(new)
+        drop_tables(close, new)
         return found
 
     def ordered(pairs):
@@ -361,9 +498,7 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
 
     for turn in range(STAR_ROUNDS):
         members = across()
-        hubs = members.groupBy("key").agg(F.min_by(
-            F.struct(F.col("node").alias("hub"), F.col("component").alias("hub_component")),
-            F.xxhash64("node", F.lit(turn))).alias("h")).select("key", "h.*")
+        hubs = members.groupBy("key").agg(_hub(turn).alias("h")).select("key", "h.*")
         near = members.join(hubs, "key").filter("component <> hub_component").select(
             F.col("node").alias("a"), F.col("hub").alias("b"), F.col("component").alias("ca"),
             F.col("hub_component").alias("cb"))
@@ -371,12 +506,8 @@ def link_components(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
         drop_tables(members, free=True)
         if not found:
             break
-    bits = [f"s{k}" for k in range(WORDS)]
     members = across()
-    rest = join_small_side(members, sketches, "node", max_rows=SKETCH_ROWS)
-    x, y = (rest.select("key", F.col("node").alias(v), F.col("component").alias(f"c{v}"), F.col("n").alias(f"n{v}"),
-                        *[F.col(c).alias(f"{c}{v}") for c in bits]) for v in ("a", "b"))
-    settle(ordered(x.join(y, "key").filter((F.col("ca") < F.col("cb")) & _may_link(rule)).select("a", "b", "ca", "cb")))
+    settle(ordered(bucket_pairs(members, sketches, turn + 1, rule)))
     drop_tables(members, live, sets, *done)
     if hasattr(labels, "_staged_path"):   # else no link was found, and the labels are the nodes
         drop_tables(nodes)

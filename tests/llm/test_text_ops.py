@@ -497,6 +497,74 @@ def test_sketches_share_enough_keys():
                 assert any(hit[tag == t].sum() >= t % 4096 for t in np.unique(tag))
 
 
+def _family(rng, size: int, members: int, changed: float) -> list[np.ndarray]:
+    """Sets of a family: each is the base with a share of its hashes replaced."""
+    base = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+    out = []
+    for _ in range(members):
+        keep = base[rng.random(len(base)) > rng.random() * changed]
+        out.append(np.unique(np.concatenate([keep, rng.integers(0, 2**64, len(base) - len(keep), dtype=np.uint64)])))
+    return out
+
+
+def test_blocks_of_a_bucket_keep_every_linked_pair_and_few_others(monkeypatch):
+    rule, rng = parity_join.Rule(5, 80, 100), np.random.default_rng(6)
+    sets = _family(rng, 300, 120, 0.5)
+    n = np.array([len(s) for s in sets])
+    doc = np.repeat(np.arange(len(sets)), n)
+    bits = parity_join.bit_sketches(np.concatenate(sets), doc, len(sets)).view(np.uint64)
+    comp, side = rng.integers(0, 100, len(sets)), rng.integers(0, 2, len(sets))
+    linked = {(i, j) for i in range(len(sets)) for j in range(i)
+              if rule.linked(len(np.intersect1d(sets[i], sets[j])), n[i], n[j]) and comp[i] != comp[j]}
+    assert len(linked) > 50
+    for tried in (1, 300, 1 << 17):
+        monkeypatch.setattr(parity_join, "TRIED", tried)
+        for part, wanted in ((None, linked), (side, {(i, j) for i, j in linked if side[i] != side[j]})):
+            i, j = parity_join.block_pairs(np.arange(len(sets)), comp, n, bits, part, rule)
+            got = [(max(x), min(x)) for x in zip(i.tolist(), j.tolist())]
+            assert len(got) == len(set(got)) and wanted <= set(got)
+            assert len(got) < 3 * len(wanted) and all(part is None or part[a] != part[b] for a, b in got)
+
+
+def test_wide_sketches_differ_in_no_more_bits_than_the_sets():
+    rng, rule = np.random.default_rng(7), parity_join.Rule(5, 80, 100)
+    assert parity_join.wide_sketch(np.arange(512, dtype=np.uint64)) is None
+    sets = _family(rng, 4000, 12, 1.0) + _family(rng, 5000, 4, 1.0)
+    wide = [parity_join.wide_sketch(s) for s in sets]
+    assert len({len(w) for w in wide}) == 2
+    for a, x in zip(sets, wide):
+        for b, y in zip(sets, wide):
+            apart, both = parity_join.wide_apart(x, y), len(np.intersect1d(a, b))
+            assert apart <= len(a) + len(b) - 2 * both
+            if 2 * both < len(a) + len(b) - 2 * both:   # far from linked: ruled out, though 2048 bits are full
+                assert apart * (rule.q + rule.p) > (len(a) + len(b)) * (rule.q - rule.p)
+
+
+def test_last_round_of_the_parity_join_tries_all_pairs_but_the_hubs_in_blocks(spark, monkeypatch):
+    rule, rng = parity_join.Rule(5, 80, 100), np.random.default_rng(8)
+    sets = _family(rng, 300, 40, 0.25)
+    n = [len(s) for s in sets]
+    bits = parity_join.bit_sketches(np.concatenate(sets), np.repeat(np.arange(40), n), 40)
+    names = ["node", "n", *[f"s{k}" for k in range(parity_join.WORDS)]]
+    sketches = spark.createDataFrame([(k, n[k], *map(int, bits[k])) for k in range(40)],
+                                     ", ".join(f"{c} long" for c in names))
+    rows = [(1, k, k // 2) for k in range(40)] + [(2, k, k // 2) for k in range(3)] + [(3, 5, 2), (3, 9, 4)]
+    members = spark.createDataFrame(rows, "key long, node long, component long")
+    hubs = {k: set() for k in (1, 2, 3)}
+    for turn in (0, 1):
+        for r in members.groupBy("key").agg(parity_join._hub(turn).alias("h")).collect():
+            hubs[r.key].add(r.h.hub)
+    linked = {(j, i) for i in range(40) for j in range(i) if i // 2 != j // 2
+              and rule.linked(len(np.intersect1d(sets[i], sets[j])), n[i], n[j]) and not {i, j} & hubs[1]}
+    assert len(linked) > 20
+    for block in (5, 2048):     # eight parts of the first bucket, or one
+        monkeypatch.setattr(parity_join, "BLOCK", block)
+        found = [tuple(r) for r in parity_join.bucket_pairs(members, sketches, 2, rule).collect()]
+        pairs = [(min(a, b), max(a, b)) for a, b, _, _ in found]
+        assert linked <= set(pairs) and len(pairs) == len(set(pairs))
+        assert all(ca == a // 2 and cb == b // 2 and ca != cb and not {a, b} & hubs[1] for a, b, ca, cb in found)
+
+
 def test_parity_join_null_repeated_and_empty(spark, empty):
     rule = parity_join.Rule()
     table = brute.table(spark, repeated=True)
