@@ -12,16 +12,19 @@ in the shuffle.
 
 0. A text that a smaller document has as a whole loses all its bytes (where it
    has ``length`` of them); such copies, however many, take no further part.
-1. The other documents are dealt to blocks; each block sends the ranks (hashes) of its
-   distinct sample grams to their bucket, which answers unique, shared or hot.
+1. The other documents are dealt to blocks of some ``BLOCK_BYTES``; each block sends the ranks
+   (hashes) of its distinct sample grams to their bucket, with the number of different
+   stretches around each, and the bucket answers unique, shared or hot (many stretches in all).
 2. For shared samples only, the block sends the bytes of the suffixes that the
-   sample stands for (at most 2 * length - GRAM bytes). Within a block equal stretches
-   are sent once, for their smallest document. Windows of hot samples are sent
-   one by one, dealt by their own content, so no gram gathers in one bucket.
+   sample stands for (at most 2 * length - GRAM bytes). Windows of hot samples are sent
+   one by one, dealt by their own content, so no gram gathers in one bucket. Within a
+   block equal stretches (and equal hot windows) are sent once, for their smallest
+   document: a bucket gets a row for each block at most, however often a text repeats itself.
 3. A bucket sorts its suffixes one offset to the sample at a time, so that ties
    meet, compares the bytes of equal ranks, and marks every window that a
    smaller document also has. Memory is that of one bucket.
-4. The block removes the marked windows from its documents.
+4. The block removes the marked windows from its documents; a repeat inside one document
+   (or inside rows of one doc_id) shares the fate of the row that was sent for it.
 
 The documents are shuffled once (the three readers share the exchange); the
 whole is one lazy plan, recomputed from lineage where executors are lost.
@@ -49,20 +52,22 @@ from settlekit.session import stage_table
 
 LENGTH = 50
 GRAM = 24
-HOT_BLOCKS = 512          # a gram in more blocks than this is hot
+HOT_ROWS = 1 << 15        # a gram with more different stretches than this (summed over blocks) is hot: 3 MB of a bucket
 SMALL_ROWS = 1_000_000    # ids of whole copies that may be broadcast: 8 MB
 SLICE_BYTES = 1 << 19     # text scanned at once: a task's arrays take some 80 times as much
-BLOCKS = 2                # blocks (and buckets) for each shuffle partition: a task holds one of them
+BLOCK_BYTES = 8 << 20     # text of a block at most, on average: a task holds one block, or one bucket
+BLOCKS = 2                # blocks (and buckets) for each shuffle partition at least
 LAST_ID = (1 << 63) - 1   # stands for a null doc_id
 
 UNIQUE, SHARED, HOT = 0, 1, 2
 
 
-def window_samples(buf: np.ndarray, starts: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sample position of each window start, and the hash of the gram at every position."""
+def window_samples(buf: np.ndarray, starts: np.ndarray, length: int, gram: int,
+                   c: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sample position of each window start, and the hash of the gram at every position; ``c``: the prefix hash."""
     reach = length - gram + 1            # gram positions inside a window
     n = len(buf) - gram + 1
-    c = scan.prefix_hash(buf)
+    c = scan.prefix_hash(buf) if c is None else c
     at = np.arange(n)
     h = scan.span_hash(c, at, at + gram)
     # rank in the high bits, position in the low ones: the leftmost smallest wins
@@ -86,6 +91,9 @@ class Block:
         self.doc_ids = doc_ids[order]
         self.texts = [texts[k] for k in order]
         self.length, self.gram = length, gram
+        self.whole = np.frombuffer(b"".join(self.texts), np.uint8)
+        sizes = np.fromiter(map(len, self.texts), np.int64, len(texts))
+        self.first = np.cumsum(sizes) - sizes    # first byte of each document in ``whole``
 
     def slices(self):
         """(first document, Joined) of runs of documents of about ``SLICE_BYTES``."""
@@ -99,17 +107,33 @@ class Block:
             k = m
 
     def samples(self):
-        """Per slice: joined buffer, document, sample position, first and last window of each sample, gram hash."""
+        """Per slice: document, its sample positions, first and last window of each (in the document), gram and stretch hash."""
         for k, j in self.slices():
             n = np.maximum(j.last - j.first - self.length + 1, 0)
             starts = ragged(j.first, n)
             if not len(starts):
                 continue
-            at, h = window_samples(j.buf, starts, self.length, self.gram)
+            c = scan.prefix_hash(j.buf)
+            at, h = window_samples(j.buf, starts, self.length, self.gram, c)
             new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
             last = np.concatenate([new[1:], [len(at)]]) - 1
-            doc = np.searchsorted(j.last, at[new], "left")
-            yield k, j, doc, at[new], starts[new], starts[last], h[at[new]]
+            at, lo, hi = at[new], starts[new], starts[last]
+            doc = np.searchsorted(j.last, at, "left")
+            content = _placed(scan.span_hash(c, lo, hi + self.length), at - lo)
+            first = j.first[doc]
+            # mixed again: a sample has the smallest rank of its window, so ranks as they are would crowd the first buckets
+            yield k + doc, at - first, lo - first, hi - first, scan.mix(h[at]), content
+
+    def spans(self, rows: dict[str, np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of some rows' stretches, end to end, and their sizes."""
+        size = rows["back"][at] - rows["front"][at] + self.length
+        return self.whole[ragged(self.first[rows["doc"][at]] + rows["pos"][at] - rows["back"][at], size)], size
+
+
+def _placed(h: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """Hash of a stretch together with where its sample lies in it."""
+    with np.errstate(over="ignore"):
+        return scan.mix(h + back.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -122,110 +146,147 @@ def _five(h: np.ndarray) -> np.ndarray:
 
 
 def _distinct_grams(block: Block):
-    """Sorted distinct gram hashes of a block and whether two of its documents hold each."""
-    grams, docs = [], []
-    for k, _, doc, _, _, _, h in block.samples():
+    """Sorted distinct gram hashes of a block, whether two of its documents hold each, and the different stretches of each."""
+    grams, docs, all_grams, contents = [], [], [], []
+    for doc, _, _, _, h, content in block.samples():
         u, d, _ = scan.distinct(h, doc)
         grams.append(u)
-        docs.append(d + k)
+        docs.append(d)
+        all_grams.append(h)
+        contents.append(content)
     if not grams:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
+        return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64)
     u, n = np.unique(np.concatenate(grams), return_counts=True)
-    return u, n > 1
+    _, first = np.unique(np.concatenate(contents), return_index=True)
+    rows = np.bincount(np.searchsorted(u, np.concatenate(all_grams)[first]), minlength=len(u))
+    return u, n > 1, rows
+
+
+MOST = (1 << 16) - 1
 
 
-def answer_grams(blobs: list[bytes], hot_blocks: int = HOT_BLOCKS) -> list[bytes]:
-    """UNIQUE, SHARED or HOT for each gram of each block's list (5-byte hashes)."""
-    rows = [np.frombuffer(b, np.uint8).reshape(-1, 5) for b in blobs]
-    full = np.zeros((sum(map(len, rows)), 8), np.uint8)
-    full[:, :5] = np.concatenate(rows)
+def gram_list(grams: np.ndarray, rows: np.ndarray) -> bytes:
+    """5-byte hashes of grams, then the number of stretches of each in 2 bytes."""
+    return _five(grams).tobytes() + np.minimum(rows, MOST).astype("<u2").tobytes()
+
+
+def answer_grams(blobs: list[bytes], hot_rows: int = HOT_ROWS) -> list[bytes]:
+    """UNIQUE, SHARED or HOT for each gram of each block's list (see ``gram_list``)."""
+    sizes = [len(b) // 7 for b in blobs]
+    full = np.zeros((sum(sizes), 8), np.uint8)
+    full[:, :5] = np.concatenate([np.frombuffer(b, np.uint8, 5 * n).reshape(-1, 5) for b, n in zip(blobs, sizes)])
+    rows = np.concatenate([np.frombuffer(b, "<u2", n, 5 * n) for b, n in zip(blobs, sizes)])
     _, which, n = np.unique(full.view("<u8")[:, 0], return_inverse=True, return_counts=True)
-    code = np.where(n > hot_blocks, HOT, np.where(n > 1, SHARED, UNIQUE)).astype(np.uint8)[which]
-    ends = np.cumsum([len(r) for r in rows])
-    return [code[e - len(r):e].tobytes() for r, e in zip(rows, ends)]
+    total = np.bincount(which, rows, len(n))
+    code = np.where(n == 1, UNIQUE, np.where(total > hot_rows, HOT, SHARED)).astype(np.uint8)[which]
+    ends = np.cumsum(sizes)
+    return [code[e - n:e].tobytes() for n, e in zip(sizes, ends)]
 
 
 _CONTEXT = struct.Struct("<IIQ")  # block, rows, span bytes
+_OWN = struct.Struct("<III")      # marks, hot windows and stretches that repeat a row of their document
+
+
+def _pick(rows: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
+    return {name: x[at] for name, x in rows.items()}
+
 
+def _window_bits(rows: dict[str, np.ndarray]) -> np.ndarray:
+    """A bit for each window of a stretch, by the offset of its sample."""
+    one = np.int64(1)
+    return (one << (rows["back"] + 1)) - (one << rows["front"])
 
-def _suffixes(block: Block, codes: np.ndarray, grams: np.ndarray, inside: np.ndarray, buckets: int):
-    """Rows to send (by bucket) and windows that a smaller document of the block already marks.
 
-    A row is (document number, sample, first window, last window, bytes from
-    the first window's start to the last one's end).
+def _fold(block: Block, rows: dict[str, np.ndarray]):
+    """Rows of different content, windows that a smaller document of the block marks, and repeats: (row, its lead) each.
+
+    Rows come in the order of their documents, so the first row of a content is the smallest document's.
     """
-    length = block.length
-    sent: list[tuple] = []
-    marked: list[tuple] = []
-    for k, j, doc, at, lo, hi, h in block.samples():
-        place = np.searchsorted(grams, h)
-        code = np.maximum(codes[place], np.where(inside[place], SHARED, UNIQUE))
-        use = np.flatnonzero(code > UNIQUE)
-        doc, at, lo, hi, h, code = doc[use], at[use], lo[use], hi[use], h[use], code[use]
-        hot = np.flatnonzero(code == HOT)
-        if len(hot):  # windows of hot samples stand alone
-            n = hi[hot] - lo[hot] + 1
-            one = ragged(lo[hot], n)
-            cold = np.flatnonzero(code != HOT)
-            doc, at, h = (np.concatenate([x[cold], np.repeat(x[hot], n)]) for x in (doc, at, h))
-            lo, hi = np.concatenate([lo[cold], one]), np.concatenate([hi[cold], one])
-            code = np.concatenate([code[cold], np.full(len(one), HOT, code.dtype)])
-        c = scan.prefix_hash(j.buf)
-        content = scan.span_hash(c, lo, hi + length)
+    _, first, which = np.unique(rows["content"], return_index=True, return_inverse=True)
+    lead = first[which]
+    later = np.flatnonzero(lead != np.arange(len(lead)))
+    lead = lead[later]
+    same = (rows["back"][later] == rows["back"][lead]) & (rows["front"][later] == rows["front"][lead])
+    for cut in range(0, len(later), 1 << 13):    # in pieces: the index arrays are 8 times the bytes they address
+        part = slice(cut, cut + (1 << 13))
+        if same[part].all():
+            a, size = block.spans(rows, later[part])
+            b, _ = block.spans(rows, lead[part])
+            same[part] = np.logical_and.reduceat(a == b, np.cumsum(size) - size)
+    # two contents with one 64-bit hash: both are sent
+    later, lead = later[same], lead[same]
+    keep = np.ones(len(which), bool)
+    keep[later] = False
+    larger = block.doc_ids[rows["doc"][later]] > block.doc_ids[rows["doc"][lead]]
+    marked, alike = later[larger], np.flatnonzero(~larger)
+    marks = np.stack([rows["doc"][marked], rows["pos"][marked], _window_bits(_pick(rows, marked))], 1)
+    again, lead = _pick(rows, later[alike]), _pick(rows, lead[alike])
+    repeats = np.stack([again["doc"], again["pos"], _window_bits(again), lead["doc"], lead["pos"]], 1)
+    return _pick(rows, np.flatnonzero(keep)), marks, repeats
+
+
+def _windows(block: Block, rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The windows of some stretches, one by one."""
+    n = rows["back"] - rows["front"] + 1
+    which = np.repeat(np.arange(len(n)), n)
+    out = _pick(rows, which)
+    out["back"] = out["front"] = ragged(rows["front"], n)
+    power, _ = scan.powers(block.length)
+    content = np.zeros(len(which), np.uint64)
+    for cut in range(0, len(which), 1 << 13):
+        part = np.arange(cut, min(cut + (1 << 13), len(which)))
+        text = block.spans(out, part)[0].reshape(len(part), block.length)
         with np.errstate(over="ignore"):
-            content = scan.mix(content + (at - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        raw = j.buf.tobytes()
-        deal = np.where(code == HOT, content, h)
-        bucket = _bucket(deal, buckets)
-        keep = np.ones(len(doc), bool)
-        # equal stretches inside the slice: the first document's (the smallest) is sent; a repeat
-        # inside that document is sent too, as its fate is for smaller documents elsewhere to say
-        _, first, which = np.unique(content, return_index=True, return_inverse=True)
-        order = np.argsort(doc, kind="stable")
-        lead = np.full(len(first), len(doc))
-        np.minimum.at(lead, which[order], np.arange(len(doc)))
-        lead = order[lead][which] if len(doc) else lead
-        for r in np.flatnonzero(lead != np.arange(len(doc))):
-            f = lead[r]
-            if (block.doc_ids[k + doc[r]] > block.doc_ids[k + doc[f]]
-                    and raw[lo[r]:hi[r] + length] == raw[lo[f]:hi[f] + length]):
-                keep[r] = False
-                marked.append((k + doc[r], lo[r] - j.first[doc[r]], hi[r] - j.first[doc[r]]))
-        rows = np.flatnonzero(keep)
-        sent.append((k, j, doc[rows], at[rows], lo[rows], hi[rows], bucket[rows]))
-    return sent, marked
-
-
-def context_blobs(block_no: int, block: Block, sent) -> dict[int, bytes]:
+            for col in range(block.length):
+                content[part] += scan._BYTE[text[:, col]] * power[col]
+    out["content"] = _placed(scan.mix(content), out["back"])
+    return out
+
+
+def _suffixes(block: Block, codes: np.ndarray, grams: np.ndarray, inside: np.ndarray, counted: np.ndarray, buckets: int):
+    """Rows to send, their buckets, and what the block knows itself (see ``_fold``).
+
+    A row is (document number, sample, bytes from the sample back to the first
+    window's start and to the last one's, gram, content).
+    """
+    code_of = np.maximum(codes, np.where(inside, np.where(counted > HOT_ROWS, HOT, SHARED), UNIQUE).astype(codes.dtype))
+    cols: dict[str, list] = {c: [] for c in ("doc", "pos", "back", "front", "deal", "content", "hot")}
+    for doc, at, lo, hi, h, content in block.samples():
+        code = code_of[np.searchsorted(grams, h)]
+        use = np.flatnonzero(code > UNIQUE)
+        for name, x in (("doc", doc), ("pos", at), ("back", at - lo), ("front", at - hi), ("deal", h), ("content", content),
+                        ("hot", code == HOT)):
+            cols[name].append(x[use])
+    none = np.zeros((0, 3), np.int64), np.zeros((0, 5), np.int64), np.zeros((0, 5), np.int64)
+    if not cols["doc"]:
+        return None, None, none
+    rows, marks, repeats = _fold(block, {name: np.concatenate(x) for name, x in cols.items()})
+    del cols
+    hot = rows.pop("hot")
+    alone, more, windows = _fold(block, _windows(block, _pick(rows, np.flatnonzero(hot))))
+    cold = _pick(rows, np.flatnonzero(~hot))
+    alone["deal"] = alone["content"]    # windows of hot samples are dealt by themselves
+    sent = {name: np.concatenate([x, alone[name]]) for name, x in cold.items()}
+    return sent, _bucket(sent["deal"], buckets), (np.concatenate([marks, more]), windows, repeats)
+
+
+def own_blob(own: tuple[np.ndarray, np.ndarray, np.ndarray]) -> bytes:
+    """Marks, repeated windows and repeated stretches as bytes."""
+    return _OWN.pack(*map(len, own)) + b"".join(x.astype("<u4").tobytes() for x in own)
+
+
+def context_blobs(block_no: int, block: Block, rows: dict[str, np.ndarray] | None, bucket: np.ndarray) -> dict[int, bytes]:
     """Rows of each bucket as one blob."""
-    cols: dict[str, list] = {c: [] for c in ("id", "doc", "pos", "back", "front", "bucket")}
-    spans = []
-    for k, j, doc, at, lo, hi, bucket in sent:
-        cols["id"].append(block.doc_ids[k + doc])
-        cols["doc"].append(k + doc)
-        cols["pos"].append(at - j.first[doc])
-        cols["back"].append(at - lo)
-        cols["front"].append(at - hi)
-        cols["bucket"].append(bucket)
-        size = hi - lo + block.length
-        spans.append((j.buf[ragged(lo, size)], size))
-    if not spans:
+    if rows is None or not len(bucket):
         return {}
-    c = {name: np.concatenate(x) for name, x in cols.items()}
-    size = np.concatenate([s for _, s in spans])
-    text = np.concatenate([t for t, _ in spans])
-    start = np.cumsum(size) - size
-    by = np.argsort(c["bucket"], kind="stable")
-    cut = np.flatnonzero(np.diff(c["bucket"][by])) + 1
+    by = np.argsort(bucket, kind="stable")
     out = {}
-    for rows in np.split(by, cut):
-        if not len(rows):
-            continue
-        body = text[ragged(start[rows], size[rows])].tobytes()
-        out[int(c["bucket"][rows[0]])] = b"".join([
-            _CONTEXT.pack(block_no, len(rows), len(body)), c["id"][rows].astype("<i8").tobytes(),
-            c["doc"][rows].astype("<u4").tobytes(), c["pos"][rows].astype("<u4").tobytes(),
-            c["back"][rows].astype("u1").tobytes(), c["front"][rows].astype("u1").tobytes(), body])
+    for at in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
+        body = block.spans(rows, at)[0].tobytes()
+        out[int(bucket[at[0]])] = b"".join([
+            _CONTEXT.pack(block_no, len(at), len(body)), block.doc_ids[rows["doc"][at]].astype("<i8").tobytes(),
+            rows["doc"][at].astype("<u4").tobytes(), rows["pos"][at].astype("<u4").tobytes(),
+            rows["back"][at].astype("u1").tobytes(), rows["front"][at].astype("u1").tobytes(), body])
     return out
 
 
@@ -288,25 +349,42 @@ def mark_bucket(blobs: list[bytes], length: int = LENGTH, gram: int = GRAM) -> d
     return out
 
 
-def removed_mask(block: Block, marked: list[tuple], blobs: list[bytes]):
+def _joined(key: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, all bits of each."""
+    by = np.argsort(key, kind="stable")
+    key, bits = key[by], bits[by]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[new], np.bitwise_or.reduceat(bits, new) if len(key) else bits
+
+
+def _verdicts(own: bytes, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(document << 32 | sample, bits by offset) of all windows to remove: answered, known, and what repeats those."""
+    n, m, r = _OWN.unpack_from(own)
+    cells = np.frombuffer(own, "<u4", offset=_OWN.size).astype(np.int64)
+    doc, pos, bits = (np.concatenate(x) for x in zip(
+        cells[:3 * n].reshape(-1, 3).T, *(np.frombuffer(b, "<u4").astype(np.int64).reshape(3, -1) for b in blobs)))
+    key, bits = _joined(doc << 32 | pos, bits)
+    # windows first: a stretch that repeats another shares what is known of each of its windows
+    for again in (cells[3 * n:3 * n + 5 * m].reshape(-1, 5).T, cells[3 * n + 5 * m:].reshape(-1, 5).T):
+        lead = again[3] << 32 | again[4]
+        place = np.searchsorted(key, lead)
+        found = np.flatnonzero(place < len(key))
+        found = found[key[place[found]] == lead[found]]
+        more = again[2][found] & bits[place[found]]
+        key, bits = _joined(np.concatenate([key, again[0][found] << 32 | again[1][found]]), np.concatenate([bits, more]))
+    return key, bits
+
+
+def removed_mask(block: Block, own: bytes, blobs: list[bytes]):
     """Per slice of the block: (first document, Joined, mask of removed bytes)."""
-    doc = [np.array([m[0] for m in marked], np.int64)]
-    start = [np.array([m[1] for m in marked], np.int64)]
-    end = [np.array([m[2] for m in marked], np.int64) + block.length]
-    for b in blobs:
-        d, pos, bits = np.frombuffer(b, "<u4").astype(np.int64).reshape(3, -1)
-        for offset in range(block.length - block.gram + 1):
-            r = np.flatnonzero(bits >> offset & 1)
-            doc.append(d[r])
-            start.append(pos[r] - offset)
-            end.append(pos[r] - offset + block.length)
-    doc, start, end = np.concatenate(doc), np.concatenate(start), np.concatenate(end)
-    by = np.argsort(doc, kind="stable")
-    doc, start, end = doc[by], start[by], end[by]
+    key, bits = _verdicts(own, blobs)
+    doc, pos = key >> 32, key & ((1 << 32) - 1)
     for k, j in block.slices():
         a, z = np.searchsorted(doc, [k, k + j.docs])
-        edge = np.bincount(j.first[doc[a:z] - k] + start[a:z], minlength=len(j.buf) + 1).astype(np.int64)
-        edge -= np.bincount(j.first[doc[a:z] - k] + end[a:z], minlength=len(j.buf) + 1)
+        at = j.first[doc[a:z] - k] + pos[a:z]
+        start = np.concatenate([at[bits[a:z] >> o & 1 == 1] - o for o in range(block.length - block.gram + 1)])
+        edge = np.bincount(start, minlength=len(j.buf) + 1).astype(np.int64)
+        edge -= np.bincount(start + block.length, minlength=len(j.buf) + 1)
         yield k, j, np.cumsum(edge[:-1]) > 0
 
 
@@ -317,10 +395,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
           parts: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (and the kept bytes)."""
     spark = docs.sparkSession
-    parts = parts or BLOCKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    parts = parts or _blocks(docs)
     single, copies = _split_copies(docs)
-    block_of = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
+    # by the text too: rows without an id, or with the same one, spread as well
+    block_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")
     dealt = single.withColumn("block", block_of).repartition(parts, "block")
 
     def load(table: pa.Table) -> Block:
@@ -329,13 +408,14 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
         return Block(ids, [b"" if t is None else t for t in table.column("text").to_pylist()], length, gram)
 
     def lists(table: pa.Table) -> pa.Table:
-        grams, _ = _distinct_grams(load(table))
+        grams, _, counted = _distinct_grams(load(table))
         bucket = _bucket(grams, parts)    # ascending, as the grams are
         ends = np.searchsorted(bucket, np.arange(parts + 1))
         some = np.flatnonzero(np.diff(ends))
         return pa.table({"block": pa.array(np.full(len(some), table.column("block")[0].as_py()), pa.int32()),
                          "bucket": pa.array(some, pa.int32()),
-                         "grams": pa.array([_five(grams[ends[b]:ends[b + 1]]).tobytes() for b in some], pa.binary())})
+                         "grams": pa.array([gram_list(grams[ends[b]:ends[b + 1]], counted[ends[b]:ends[b + 1]])
+                                            for b in some], pa.binary())})
 
     def answers(table: pa.Table) -> pa.Table:
         codes = answer_grams(table.column("grams").to_pylist())
@@ -344,22 +424,21 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
 
     def scanned(block: Block, table: pa.Table):
         """The block's grams again, with the answers in their order."""
-        grams, inside = _distinct_grams(block)
+        grams, inside, counted = _distinct_grams(block)
         by = np.argsort(table.column("bucket").to_numpy(), kind="stable")
         codes = table.column("codes").to_pylist()
         code = np.frombuffer(b"".join(codes[r] for r in by), np.uint8)
         if len(code) != len(grams):
             raise ValueError("answers don't fit the block")
-        return _suffixes(block, code, grams, inside, parts)
+        return _suffixes(block, code, grams, inside, counted, parts)
 
     def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         block = load(left)
-        sent, marked = scanned(block, right)
-        blobs = context_blobs(left.column("block")[0].as_py(), block, sent)
-        # what the block marked itself travels along as an answer in bucket -1
-        own = np.array(marked, np.int64).reshape(-1, 3)
+        sent, bucket, own = scanned(block, right)
+        blobs = context_blobs(left.column("block")[0].as_py(), block, sent, bucket)
+        # what the block knows itself travels along as an answer in a bucket below 0
         return pa.table({"bucket": pa.array([-1 - left.column("block")[0].as_py(), *blobs], pa.int32()),
-                         "rows": pa.array([own.astype("<u4").tobytes(), *blobs.values()], pa.binary())})
+                         "rows": pa.array([own_blob(own), *blobs.values()], pa.binary())})
 
     def marks(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -374,9 +453,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         block = load(left)
         own, rows = right.column("own").to_pylist(), right.column("rows").to_pylist()
-        marked = [m for o, r in zip(own, rows) if o for m in np.frombuffer(r, "<u4").astype(np.int64).reshape(-1, 3)]
+        known = next((r for o, r in zip(own, rows) if o), own_blob((np.zeros(0),) * 3))
         cols: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-        for _, j, gone in removed_mask(block, marked, [r for o, r in zip(own, rows) if not o]):
+        for _, j, gone in removed_mask(block, known, [r for o, r in zip(own, rows) if not o]):
             total = np.concatenate([[0], np.cumsum(gone)])
             rise = np.concatenate([[0], np.cumsum(gone & ~np.concatenate([[False], gone[:-1]]))])
             for a, z in zip(j.first.tolist(), j.last.tolist()):
@@ -404,6 +483,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
     return out.unionByName(_emptied(copies, length, with_bytes))
 
 
+def _blocks(docs: DataFrame) -> int:
+    """How many blocks hold the text in ``BLOCK_BYTES`` each; ``BLOCKS`` for each shuffle partition at least."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(BLOCKS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
+
+
 def _split_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows whose text no smaller document has as a whole, and the others."""
     keys = docs.select("doc_id", F.sha2("text", 256).alias("sha")).filter("sha is not null")

@@ -183,6 +183,51 @@ def test_suffix_cover_null_and_repeated_ids(spark):
     assert [r.n_removed for r in got if r.doc_id == 1] == [0, 0]
 
 
+def _sent(texts, buckets, hot=False):
+    """Rows that a block sends where other blocks hold all of its grams, by bucket."""
+    block = suffix_cover.Block(np.arange(len(texts)), [t.encode() for t in texts], suffix_cover.LENGTH, suffix_cover.GRAM)
+    grams, inside, counted = suffix_cover._distinct_grams(block)
+    codes = np.full(len(grams), suffix_cover.HOT if hot else suffix_cover.SHARED, np.uint8)
+    rows, bucket, own = suffix_cover._suffixes(block, codes, grams, inside, counted, buckets)
+    return np.bincount(bucket, minlength=buckets), suffix_cover.context_blobs(0, block, rows, bucket)
+
+
+def test_suffix_cover_deals_samples_evenly():
+    rng = np.random.default_rng(5)
+    rows, blobs = _sent([" ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(3000)) for _ in range(12)], 40)
+    assert rows.min() > 0 and rows.max() < 2 * rows.mean()
+    assert max(map(len, blobs.values())) < 2 * sum(map(len, blobs.values())) / 40
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_suffix_cover_sends_a_repeating_text_once(hot, monkeypatch):
+    monkeypatch.setattr(suffix_cover, "SLICE_BYTES", 2000)     # copies lie in different slices too
+    rows, _ = _sent(["the " * 2000, "lead " + "the " * 900] + ["x" + "the " * 400] * 20, 8, hot)
+    assert rows.sum() < 120                                    # not one for each of some 500 samples a document
+
+
+def test_suffix_cover_repeats_and_blocks_of_bounded_bytes(spark, monkeypatch):
+    monkeypatch.setattr(suffix_cover, "BLOCK_BYTES", 4000)
+    rows = [(d, f"{d % 7} own start {d * d}. " + "the " * (50 + 40 * (d % 5)) + f"tail {d % 3} " + brute.PASSAGE * (1 + d % 2))
+            for d in range(40)]
+    rows += [(None, "the " * 300 + brute.PASSAGE), (None, "null " * 60), (None, "null " * 50)]
+    docs = brute.table(spark, rows)
+    size = sum(len(t) for _, t in rows)
+    least = suffix_cover.BLOCKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert suffix_cover._blocks(docs) == max(least, -(-size // 4000)) and size > 4000
+    monkeypatch.setattr(suffix_cover, "BLOCK_BYTES", size // (2 * least))
+    assert suffix_cover._blocks(docs) >= 2 * least             # by the text, not by the shuffle partitions
+    want = brute.byte_dedup([r for r in rows if r[0] is not None])
+    for parts in (2, 30):
+        for hot in (2, 1 << 15):
+            monkeypatch.setattr(suffix_cover.answer_grams, "__defaults__", (hot,))
+            got = suffix_cover.dedup(docs, parts=parts).collect()
+            assert all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id] for r in got if r.doc_id is not None)
+            # rows without an id are later than all others, and leave each other alone
+            assert sorted((r.n_bytes, r.n_removed) for r in got if r.doc_id is None) == [
+                (250, 0), (300, 0), (1200 + len(brute.PASSAGE), 1200 + len(brute.PASSAGE))]
+
+
 # -- op 4 --------------------------------------------------------------------
 
 
