@@ -244,3 +244,18 @@ def test_sink_moves_no_whole_rows_to_find_copies(spark, tmp_path):
     root = str(tmp_path / "inbox")
     files = registry._inbox(spark, "/root/testdata/sf0.001", root)
     assert files >= 2 and all(f.endswith(".gz") for f in spark.read.text(root).inputFiles())
+
+
+def test_compacted_stream_keeps_no_replaced_part_and_a_compressed_inbox(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "scratch_path", lambda *_: str(tmp_path))
+    stored = registry.stream_compacted(spark, SF_SMALL)
+    inbox = spark.read.text(f"{tmp_path}/inbox").inputFiles()
+    assert len(inbox) >= 4 and all(f.endswith(".gz") for f in inbox)
+    snapshot = Snapshots(spark, str(tmp_path)).latest()
+    assert len(snapshot.runs) == 2 and max(snapshot.runs.values()) >= 2     # batches of a part of the files, then all again
+    assert max(p.level for p in snapshot.of("raw.payment_events")) >= 2     # merged two by two
+    for table in ("raw.payment_events", "keys"):
+        there = {os.path.basename(d) for d, _, _ in os.walk(f"{tmp_path}/{table}") if os.path.basename(d).startswith("part=")}
+        assert there == {f"part={p.id}" for p in snapshot.of(table)}
+    ids = stored.select("event_id")
+    assert ids.count() == ids.distinct().count() > 0
